@@ -7,6 +7,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .bpe import round_trip
 from .common import read_table
+from .html_text import extract
+from .language import identify, train
+from .licenses import license_report
+from .quality import judged, learn_from
+from .secrets import secret_report
 from .separators import document_lengths
 from .token_files import token_file_digests
 
@@ -14,17 +19,44 @@ VOCABULARY = "byte_bpe_50k.json"
 END_OF_TEXT = 50256
 
 
+def op2_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_report(read_table(spark, sf_dir, "documents"))
+
+
+def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_report(read_table(spark, sf_dir, "documents"))
+
+
 def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_file_digests(read_table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY))
 
 
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    return judged(docs, learn_from(docs, read_table(spark, sf_dir, "labels")))
+
+
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return document_lengths(read_table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY), END_OF_TEXT)
 
 
+def op7_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract(read_table(spark, sf_dir, "pages"))
+
+
 def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip(read_table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY))
 
 
-QUERIES = {f.__name__: f for f in (op4_token_files, op6_token_counts, op8_bpe)}
+def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    return identify(docs, train(docs))
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op2_licenses, op3_secrets, op4_token_files, op5_quality, op6_token_counts, op7_html, op8_bpe, op10_language,
+    )
+}
 ORACLE_SQL: dict[str, str] = {}
