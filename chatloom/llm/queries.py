@@ -7,6 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .bpe import round_trip
 from .common import read_table
+from .decontaminate import ORACLE_SQL as OP9_SQL
+from .decontaminate import contamination
 from .html_text import extract
 from .language import identify, train
 from .licenses import license_report
@@ -48,6 +50,10 @@ def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip(read_table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY))
 
 
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contamination(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
 def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     return identify(docs, train(docs))
@@ -56,7 +62,8 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        op2_licenses, op3_secrets, op4_token_files, op5_quality, op6_token_counts, op7_html, op8_bpe, op10_language,
+        op2_licenses, op3_secrets, op4_token_files, op5_quality, op6_token_counts, op7_html, op8_bpe,
+        op9_decontamination, op10_language,
     )
 }
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op9_decontamination": OP9_SQL}
