@@ -93,9 +93,8 @@ def _bitmap(windows: DataFrame, length: int, column: str) -> Column:
         .groupBy("cell").agg(F.bit_or("bit").alias("bits")).collect()
     )
     filled = {r.cell: r.bits for r in cells}
-    text = ",".join(str(filled.get(i, 0)) for i in range(BITS // 64))
     # the optimiser folds this into one array literal
-    return F.expr(f"transform(split('{text}', ','), x -> cast(x as bigint))")
+    return F.expr("array(" + ",".join(f"{filled.get(i, 0)}L" for i in range(BITS // 64)) + ")")
 
 
 def _has(bitmap: Column, hashed: Column) -> Column:
@@ -128,12 +127,12 @@ def occurrences(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
                 ends = ends & _has(last, _pair(w, i + (length - 2), False))
             return ends & _has(whole, _whole(w, i, length))
 
-        return F.when(n >= length, F.filter(F.sequence(F.lit(0), n - length), hit)).otherwise(F.array().cast("array<int>"))
+        found = F.when(n >= length, F.filter(F.sequence(F.lit(0), n - length), hit)).otherwise(F.array().cast("array<int>"))
+        return F.transform(found, lambda i: F.struct(i.alias("at"), F.lit(length).alias("length")))
 
     marked = split.select(
         "row_key", "doc_id", "text", n.cast("bigint").alias("n_words"),
-        *([F.concat(*[F.transform(places(k), lambda i, k=k: F.struct(i.alias("at"), F.lit(k).alias("length"))) for k in maps]).alias("places")]
-          if maps else [F.lit(None).cast("array<struct<at:int,length:int>>").alias("places")]),
+        (F.concat(*map(places, maps)) if maps else F.lit(None).cast("array<struct<at:int,length:int>>")).alias("places"),
     )
     raw = marked.select(
         "row_key", "doc_id", "n_words", "places", F.when(F.size("places") > 0, _raw(F.col("text"))).alias("raw")
