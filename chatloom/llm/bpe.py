@@ -15,19 +15,21 @@ are read, so extra columns never clash.
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import json
+import operator
 import re
 from array import array
 from functools import lru_cache
-from itertools import filterfalse
+from itertools import compress
 
 from pyspark.sql import DataFrame
 
 from .common import map_batches
 
 #: Words whose ids a worker remembers before it starts anew.
-MEMO_WORDS = 600_000
+MEMO_WORDS = 900_000
 MEMO_PAIRS = 1_000_000
 
 # The letters, numbers and spaces among the code points below
@@ -42,6 +44,9 @@ _SPLIT = re.compile(
     rf"| ?[^{_SPACES}{_LETTERS}{_NUMBERS}]+|[{_SPACES}]+(?![^{_SPACES}])|[{_SPACES}]+"
 )
 
+_LED = re.compile(rf" [^{_SPACES}]")
+_IS_NONE = functools.partial(operator.is_, None)
+
 
 def _byte_letters() -> dict[str, int]:
     """The printable letter that stands for each byte in byte-level vocabularies."""
@@ -82,8 +87,7 @@ class TrieBpe:
         self._spines: tuple[dict, dict] = ({}, {})
         self._follows: dict[int, bool] = {}
         self.memo: dict[str, bytes] = {}
-        self.piece_memo: dict[str, bytes] = {}
-        self._pieces: set[str] = set()
+        self.pieces: dict[str, bytes] = {}
         self._library = None
         self._added = re.compile("(" + "|".join(map(re.escape, self.added)) + ")") if self.added else None
 
@@ -161,7 +165,10 @@ class TrieBpe:
                 tokens.append(last[depth])
                 depth -= sizes[last[depth]]
             tokens.reverse()
-            self.memo[word] = tokens.tobytes()
+            if _LED.match(word):
+                self.pieces[word[1:]] = tokens.tobytes()
+            else:
+                self.memo[word] = tokens.tobytes()
             before = path
 
     # -- texts -----------------------------------------------------------
@@ -180,50 +187,58 @@ class TrieBpe:
 
         ``specials=False`` takes the strings of added tokens as ordinary text. A
         space before anything but a space starts a new word in every case, so texts
-        are cut there first, and the pieces' ids are remembered as well.
+        are cut there first, and the ids of these pieces are remembered.
         """
-        parts: list[tuple[list[str], list[str | int]]] = []
+        if len(self.memo) + len(self.pieces) > MEMO_WORDS:
+            self.memo.clear()
+            self.pieces.clear()
+        memo, pieces = self.memo, self.pieces
+        parts: list[tuple[list[str | int], list[str], list[bytes | None]]] = []
         new: set[str] = set()
+        missing: set[str] = set()
         for text in texts:
             plain: list[str] = []
-            mixed: list[str | int] = []
+            head: list[str | int] = []
+            ids: list[bytes | None] = []
             if text:
                 marked = specials and self._added and any(s in text for s in self.added)
                 if marked or "  " in text or text[0] == " " or text[-1] == " " or _OTHER_CODES.search(text):
                     for i, piece in enumerate(self._added.split(text) if marked else [text]):
                         if marked and i % 2:
-                            mixed.append(self.added[piece])
+                            head.append(self.added[piece])
                         elif piece:
-                            mixed += self.split(piece)
-                    new.update(w for w in mixed if isinstance(w, str) and w not in self.memo)
+                            head += self.split(piece)
                 else:
                     plain = text.split(" ")
                     # the first piece has no space before it
-                    mixed = self.split(plain[0])
+                    head = self.split(plain[0])
                     del plain[0]
-                    new.update(w for w in mixed if w not in self.memo)
-                    self._pieces.update(filterfalse(self.piece_memo.__contains__, plain))
-            parts.append((plain, mixed))
-        cut = {piece: _SPLIT.findall(" " + piece) for piece in self._pieces}
-        new.update(w for words in cut.values() for w in words if w not in self.memo)
-        if len(self.memo) + len(new) > MEMO_WORDS or len(self.piece_memo) + len(cut) > MEMO_WORDS:
-            self.memo.clear()
-            self.piece_memo.clear()
-            cut = {piece: _SPLIT.findall(" " + piece) for plain, _ in parts for piece in set(plain)}
-            new = {w for words in cut.values() for w in words}
-            new.update(w for _, mixed in parts for w in mixed if isinstance(w, str))
-        self._pieces.clear()
+                    ids = list(map(pieces.get, plain))
+                    if None in ids:
+                        missing.update(compress(plain, map(_IS_NONE, ids)))
+                new.update(w for w in head if isinstance(w, str) and self._known(w) is None)
+            parts.append((head, plain, ids))
+        cut = {}
+        for piece in missing:
+            if piece.isalpha():
+                new.add(" " + piece)
+            else:
+                cut[piece] = words = _SPLIT.findall(" " + piece)
+                new.update(w for w in words if self._known(w) is None)
         if new:
             self.learn(new)
-        memo, pieces = self.memo, self.piece_memo
         for piece, words in cut.items():
-            pieces[piece] = memo[words[0]] if len(words) == 1 else b"".join([memo[w] for w in words])
+            pieces[piece] = b"".join([self._known(w) for w in words])
         return [
-            b"".join([memo[w] if isinstance(w, str) else array("I", [w]).tobytes() for w in mixed])
-            + b"".join(map(pieces.__getitem__, plain))
-            for plain, mixed in parts
+            b"".join([self._known(w) if isinstance(w, str) else array("I", [w]).tobytes() for w in head])
+            + b"".join([pieces[p] if x is None else x for p, x in zip(plain, ids, strict=True)] if None in ids else ids)
+            for head, plain, ids in parts
         ]
 
+    def _known(self, word: str) -> bytes | None:
+        """The ids of a word if it was learned; one led by a space is kept as its piece."""
+        return self.pieces.get(word[1:]) if _LED.match(word) else self.memo.get(word)
+
     def decode(self, ids: bytes) -> str:
         """The text of packed ids, added tokens included; broken UTF-8 is replaced."""
         return b"".join(map(self.token_bytes.__getitem__, array("I", ids))).decode("utf-8", "replace")

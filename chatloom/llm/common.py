@@ -11,10 +11,10 @@ import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 
 #: Rows handed to one Python call. Small, as single texts may be very long.
-ROWS_PER_BATCH = 512
+ROWS_PER_BATCH = 2048
 BYTES_PER_BATCH = 8 << 20
 #: Characters of text handled together inside one Python call.
-CHARS_PER_STEP = 2_000_000
+CHARS_PER_STEP = 5_000_000
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

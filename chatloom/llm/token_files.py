@@ -32,7 +32,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 
 from .bpe import encoder
-from .common import bound_batches, commit_file, fresh_dir, open_store
+from .common import CHARS_PER_STEP, bound_batches, commit_file, fresh_dir, open_store
 
 MAGIC = b"PLN1"
 BLOCK_IDS = 1 << 16
@@ -196,7 +196,7 @@ def write_shards(
 
         def documents() -> Iterator[tuple[int | None, np.ndarray]]:
             for batch in (b for bs in ([first], batches) for b in bs):
-                rows = max(1, batch.num_rows * 2_000_000 // max(batch.nbytes, 1))
+                rows = max(1, batch.num_rows * CHARS_PER_STEP // max(batch.nbytes, 1))
                 for a in range(0, batch.num_rows, rows):
                     part = batch.slice(a, rows)
                     texts = part.column(1).to_pylist()
