@@ -25,62 +25,83 @@ from pyspark.sql import functions as F
 from .common import fresh_dir, open_store
 from .token_files import shard_name, shard_rows, write_shards
 
-#: Ids in a block: 4 MB of file.
+#: Ids in a block: 2 MB of a file of 16-bit ids.
 BLOCK = 1 << 20
 
 
-def _separators(folder: str, shard: int, block: int, size: int, end_id: int) -> np.ndarray:
+def _separators(folder: str, shard: int, block: int, size: int, end_id: int, kind: str) -> np.ndarray:
     """Places of the separators in one block, counted from the start of the file."""
     fs, path = open_store(shard_name(folder, shard))
+    width = np.dtype(kind).itemsize
     with fs.open_input_file(path) as f:
-        f.seek(4 * block * size)
-        ids = np.frombuffer(f.read(4 * size), "<u4")
+        f.seek(width * block * size)
+        ids = np.frombuffer(f.read(width * size), kind)
     return np.flatnonzero(ids == end_id) + block * size
 
 
-def scan_flat(files: DataFrame, folder: str, end_id: int, size: int = BLOCK) -> DataFrame:
-    """Documents of the flat shards in ``files`` (shard, start, n_ids, doc_no).
+def _keys(folder: str, shard: int, first: int, count: int, n_docs: int) -> list[int | None]:
+    """The doc_ids of documents ``first`` to ``first + count`` of a shard."""
+    fs, path = open_store(shard_name(folder, shard) + ".keys")
+    with fs.open_input_file(path) as f:
+        f.seek(8 * first)
+        keys = np.frombuffer(f.read(8 * count), "<i8").tolist()
+        f.seek(8 * n_docs + first)
+        known = f.read(count)
+    return [k if ok else None for k, ok in zip(keys, known, strict=True)]
+
 
-    Returns doc_no (its place among all documents), start (ids before it in all
-    files) and n_tokens (its ids, the end id included).
+def scan_flat(files: DataFrame, folder: str, end_id: int, size: int = BLOCK, kind: str = "<u4") -> DataFrame:
+    """Documents of the flat shards in ``files`` (shard, start, n_ids, doc_no, n_docs).
+
+    Returns doc_no (its place among all documents), doc_id (from the list beside
+    the shard), start (ids before it in all files) and n_tokens (its ids, the end
+    id included).
     """
-    last_block = F.greatest(F.lit(0), F.floor((F.col("n_ids") - 1) / size))
-    blocks = files.where("n_ids > 0").select(
-        "shard", "start", "doc_no", F.explode(F.sequence(F.lit(0), last_block.cast("bigint"))).alias("block")
-    )
+    carry = ("shard", "start", "doc_no", "n_docs")
+    last_block = F.floor((F.col("n_ids") - 1) / size).cast("bigint")
+    blocks = files.where("n_ids > 0").select(*carry, F.explode(F.sequence(F.lit(0).cast("bigint"), last_block)).alias("block"))
 
     def summarise(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [_separators(folder, r["shard"], r["block"], size, end_id) for r in batch.to_pylist()]
-            more = {"n_seps": pa.array([len(p) for p in found], pa.int64()), "last": pa.array([int(p[-1]) if len(p) else -1 for p in found], pa.int64())}
+            found = [_separators(folder, r["shard"], r["block"], size, end_id, kind) for r in batch.to_pylist()]
+            more = {
+                "n_seps": pa.array([len(p) for p in found], pa.int64()),
+                "last": pa.array([int(p[-1]) if len(p) else -1 for p in found], pa.int64()),
+            }
             yield pa.RecordBatch.from_arrays([*batch.columns, *more.values()], names=[*batch.schema.names, *more])
 
     def finish(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for r in batch.to_pylist():
-                ends = _separators(folder, r["shard"], r["block"], size, end_id)
+                ends = _separators(folder, r["shard"], r["block"], size, end_id, kind)
                 firsts = np.concatenate([[r["begin"]], ends[:-1] + 1])
-                yield pa.RecordBatch.from_pydict(
-                    {"doc_no": r["doc_no"] + r["seps_before"] + np.arange(len(ends)), "start": r["start"] + firsts, "n_tokens": ends + 1 - firsts}
-                )
-
-    summed = blocks.mapInArrow(summarise, "shard bigint, start bigint, doc_no bigint, block bigint, n_seps bigint, last bigint")
+                keys = _keys(folder, r["shard"], r["seps_before"], len(ends), r["n_docs"])
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(r["doc_no"] + r["seps_before"] + np.arange(len(ends))), pa.array(keys, pa.int64()),
+                        pa.array(r["start"] + firsts), pa.array(ends + 1 - firsts),
+                    ],
+                    names=["doc_no", "doc_id", "start", "n_tokens"],
+                )
+
+    summed = blocks.mapInArrow(summarise, ", ".join(f"{c} bigint" for c in (*carry, "block", "n_seps", "last")))
     before = Window.partitionBy("shard").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     carried = summed.select(
         "*",
         F.coalesce(F.sum("n_seps").over(before), F.lit(0)).alias("seps_before"),
         (F.coalesce(F.max("last").over(before), F.lit(-1)) + 1).alias("begin"),
     ).where("n_seps > 0")
-    return carried.mapInArrow(finish, "doc_no bigint, start bigint, n_tokens bigint")
+    return carried.mapInArrow(finish, "doc_no bigint, doc_id bigint, start bigint, n_tokens bigint")
 
 
-def document_lengths(docs: DataFrame, vocabulary: str, end_id: int, size: int = BLOCK) -> DataFrame:
+def document_lengths(docs: DataFrame, vocabulary: str, end_id: int, size: int = BLOCK, kind: str = "<u2") -> DataFrame:
     """Write ``docs`` as flat shards in the shared folder and count their tokens.
 
     Texts are encoded with added tokens as ordinary text, so ``end_id`` is found
-    nowhere but at a document's end. Each shard ends with a separator.
+    nowhere but at a document's end. Each shard ends with a separator. ``kind`` has
+    to hold every id of the vocabulary.
     """
     spark = docs.sparkSession
     folder = fresh_dir(spark, "token-flat")
-    shards = write_shards(docs, vocabulary, folder, end_id, specials=False, layout="flat")
-    return scan_flat(shard_rows(spark, shards), folder, end_id, size)
+    shards = write_shards(docs, vocabulary, folder, end_id, specials=False, flat=kind, ordered=False)
+    return scan_flat(shard_rows(spark, shards), folder, end_id, size, kind)

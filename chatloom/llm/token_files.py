@@ -176,13 +176,14 @@ def shard_name(folder: str, number: int) -> str:
 
 def write_shards(
     docs: DataFrame, vocabulary: str, folder: str, end_id: int = 0, specials: bool = True,
-    layout: str = "planes", plane: str = "byte", block: int = BLOCK_IDS,
+    plane: str = "byte", block: int = BLOCK_IDS, flat: str | None = None, ordered: bool = True,
 ) -> list[tuple[int, int, int]]:
     """Encode ``docs`` and write their shards; (shard, ids, documents) of each.
 
-    ``docs`` is range-partitioned by doc_id, so shard numbers ascend with doc_id.
-    One small row a shard reaches the driver. ``layout="flat"`` writes bare
-    little-endian u32 and no index at all.
+    With ``ordered``, ``docs`` is range-partitioned by doc_id, so shard numbers
+    ascend with doc_id; else each input partition is a shard, without a shuffle.
+    One small row a shard reaches the driver. ``flat`` ("<u2" or "<u4") writes bare
+    ids of that type and no index at all; a file of doc_ids lies beside each shard.
     """
     bound_batches(docs.sparkSession)
 
@@ -205,18 +206,30 @@ def write_shards(
 
         def planes(out) -> None:
             nonlocal n_docs, n_ids
-            n_docs = n_ids = 0
-            writer = PlaneWriter(out, plane, block) if layout == "planes" else None
+            writer = PlaneWriter(out, plane, block)
             for key, ids in documents():
-                writer.add(key, ids) if writer else out.write(ids.tobytes())
+                writer.add(key, ids)
                 n_docs, n_ids = n_docs + 1, n_ids + len(ids)
-            if writer:
-                writer.close()
+            writer.close()
 
-        commit_file(shard_name(folder, number), planes)
+        def bare(out) -> None:
+            nonlocal n_docs, n_ids
+            keys: list[int | None] = []
+            for key, ids in documents():
+                out.write(ids.astype(flat).tobytes())
+                keys.append(key)
+                n_ids += len(ids)
+            n_docs = len(keys)
+            known = np.array([k is not None for k in keys], np.uint8)
+            data = np.array([k or 0 for k in keys], "<i8").tobytes() + known.tobytes()
+            commit_file(shard_name(folder, number) + ".keys", lambda f: f.write(data))
+
+        commit_file(shard_name(folder, number), bare if flat else planes)
         yield pa.RecordBatch.from_pydict({"shard": [number], "n_ids": [n_ids], "n_docs": [n_docs]})
 
-    dealt = docs.select("doc_id", "text").repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
+    dealt = docs.select("doc_id", "text")
+    if ordered:
+        dealt = dealt.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
     rows = dealt.mapInArrow(write, "shard bigint, n_ids bigint, n_docs bigint").collect()
     return sorted((r.shard, r.n_ids, r.n_docs) for r in rows)
 
@@ -225,8 +238,8 @@ def shard_rows(spark: SparkSession, shards: list[tuple[int, int, int]]) -> DataF
     """One row and one partition a shard: shard, start (ids before it), doc_no (documents before it)."""
     starts = np.cumsum([0, *(n for _, n, _ in shards)]).tolist()
     firsts = np.cumsum([0, *(n for _, _, n in shards)]).tolist()
-    rows = [(s, a, n, d) for (s, n, _), a, d in zip(shards, starts, firsts)]
-    schema = "shard bigint, start bigint, n_ids bigint, doc_no bigint"
+    rows = [(s, a, n, d, k) for (s, n, k), a, d in zip(shards, starts, firsts)]
+    schema = "shard bigint, start bigint, n_ids bigint, doc_no bigint, n_docs bigint"
     return spark.createDataFrame(spark.sparkContext.parallelize(rows, max(1, len(rows))), schema)
 
 
