@@ -12,6 +12,8 @@ from .decontaminate import contamination
 from .html_text import extract
 from .language import identify, train
 from .licenses import license_report
+from .ngram_join import ORACLE_SQL as OP1_SQL
+from .ngram_join import join_components
 from .quality import judged, learn_from
 from .secrets import secret_report
 from .separators import document_lengths
@@ -21,6 +23,10 @@ VOCABULARY = "byte_bpe_50k.json"
 END_OF_TEXT = 50256
 
 
+def op1_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return join_components(read_table(spark, sf_dir, "documents"))
+
+
 def op2_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_report(read_table(spark, sf_dir, "documents"))
 
@@ -62,8 +68,8 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        op2_licenses, op3_secrets, op4_token_files, op5_quality, op6_token_counts, op7_html, op8_bpe,
+        op1_ngram_jaccard, op2_licenses, op3_secrets, op4_token_files, op5_quality, op6_token_counts, op7_html, op8_bpe,
         op9_decontamination, op10_language,
     )
 }
-ORACLE_SQL: dict[str, str] = {"op9_decontamination": OP9_SQL}
+ORACLE_SQL: dict[str, str] = {"op1_ngram_jaccard": OP1_SQL, "op9_decontamination": OP9_SQL}
