@@ -272,8 +272,8 @@ def decode_documents(encoded: DataFrame, path: str, key: str = "doc_id") -> Data
     return map_batches(encoded, [key, "ids"], f"`{key}` {kind}, text string", step)
 
 
-def round_trip(docs: DataFrame, path: str) -> DataFrame:
-    """Encode and decode every text; digests of both results per document."""
+def encode_with_digest(docs: DataFrame, path: str) -> DataFrame:
+    """Encode and decode every text: doc_id, n_tokens, ids, and digests of ids and decoded text."""
 
     def step(rows: dict[str, list]) -> dict[str, list]:
         bpe = encoder(path)
@@ -282,11 +282,17 @@ def round_trip(docs: DataFrame, path: str) -> DataFrame:
         return {
             "doc_id": rows["doc_id"],
             "n_tokens": [len(x) // 4 for x in ids],
+            "ids": ids,
             "ids_sha256": [digest(x) for x in ids],
             "decoded_sha256": [digest(bpe.decode(x).encode()) for x in ids],
         }
 
     return map_batches(
         docs, ["doc_id", "text"],
-        "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string", step,
+        "doc_id bigint, n_tokens bigint, ids binary, ids_sha256 string, decoded_sha256 string", step,
     )
+
+
+def round_trip(docs: DataFrame, path: str) -> DataFrame:
+    """Encode and decode every text; digests of both results per document."""
+    return encode_with_digest(docs, path).drop("ids")

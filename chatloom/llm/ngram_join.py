@@ -434,6 +434,19 @@ def join_components(docs: DataFrame, parts: int | None = None) -> DataFrame:
     )
 
 
+def one_of_each(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that stand for their component: those of its least doc_id.
+
+    Rows with a null doc_id stay; of rows that share a doc_id the one with the least text stays.
+    """
+    found = stored(join_components(docs).where("doc_id = component_id").select(F.col("doc_id").alias("first_id")), "firsts")
+    kept = docs.join(found.distinct().hint("shuffle_hash"), docs["doc_id"] == F.col("first_id"), "left_semi")
+    if found.groupBy("first_id").count().where("count > 1").limit(1).count():
+        order = Window.partitionBy("doc_id").orderBy("text")
+        kept = kept.select(F.struct(*docs.columns).alias("row"), F.row_number().over(order).alias("at")).where("at = 1").select("row.*")
+    return kept.unionByName(docs.where("doc_id is null"))
+
+
 ORACLE_SQL = r"""
 WITH RECURSIVE d AS (
   SELECT row_number() OVER () AS rk, doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''),

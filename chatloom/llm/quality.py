@@ -84,15 +84,15 @@ def _count(raw: bytes, kind: np.ndarray) -> int:
 COUNTS = (*BASE, "n_lines", "n_distinct", "n_upper", "n_digits", "n_pipes", "n_bytes")
 
 
-def with_statistics(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """The columns ``keep`` of ``docs`` and the counts of each whole text."""
+def with_statistics(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), text: str = "text") -> DataFrame:
+    """The columns ``keep`` of ``docs`` and the counts of each whole ``text``."""
 
     def step(rows: dict[str, list]) -> dict[str, list]:
-        counts = list(zip(*map(statistics, rows["text"]), strict=True)) or [[] for _ in COUNTS]
+        counts = list(zip(*map(statistics, rows[text]), strict=True)) or [[] for _ in COUNTS]
         return {c: rows[c] for c in keep} | dict(zip(COUNTS, counts, strict=True))
 
     schema = ", ".join([f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep] + [f"{c} bigint" for c in COUNTS])
-    return map_batches(docs, list(dict.fromkeys([*keep, "text"])), schema, step)
+    return map_batches(docs, list(dict.fromkeys([*keep, text])), schema, step)
 
 
 def features() -> dict[str, Column]:
@@ -241,3 +241,12 @@ def judged(docs: DataFrame, rules: list[Rule], keep: tuple[str, ...] = ("doc_id"
     return counted.select(
         *keep, *BASE, "base_failed", (~F.col("base_failed") & F.col("rule").isNull()).alias("kept"), "rule"
     )
+
+
+def kept_rows(docs: DataFrame, rules: list[Rule]) -> DataFrame:
+    """The rows of ``docs`` that are kept, with its columns, whatever their names."""
+    names = [f"own_{i}" for i in range(len(docs.columns))]
+    own = docs.toDF(*names)
+    at = names[docs.columns.index("text")]
+    counted = with_statistics(own, tuple(names), at).where(~F.expr(BASE_FAILED) & verdict(rules).isNull())
+    return counted.select(*[F.col(n).alias(c) for n, c in zip(names, docs.columns, strict=True)])

@@ -18,7 +18,6 @@ import re
 from dataclasses import dataclass
 
 import numpy as np
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
 from .common import map_batches
@@ -152,13 +151,13 @@ class SecretScanner:
                     found.append((at, run.end(), "random"))
         return sorted(found, key=lambda x: (x[0], KINDS.index(x[2]), x[1]))
 
-    def redact(self, text: str | None, mark: str = "[SECRET]") -> str | None:
+    def redact(self, text: str | None, mark: str = "[SECRET]", runs: bool = True) -> str | None:
         """The text with every span, joined where they overlap, replaced by ``mark``."""
         if not text:
             return text
         out, at = [], 0
         merged: list[list[int]] = []
-        for a, b, _ in self.spans(text):
+        for a, b, _ in self.spans(text, runs):
             if merged and a <= merged[-1][1]:
                 merged[-1][1] = max(merged[-1][1], b)
             else:
@@ -201,13 +200,21 @@ def scan(docs: DataFrame, samples: list[tuple[str, int]] | None = None, threshol
 
 
 def redact(docs: DataFrame, samples: list[tuple[str, int]] | None = None) -> DataFrame:
-    """(doc_id, row_no, text) with secrets replaced; ``row_no`` is passed through."""
+    """All rows and columns of ``docs``, secrets in ``text`` replaced.
+
+    Where a text changes, ``n_chars``, if there is such a column of numbers, follows.
+    """
     scanner = SecretScanner(samples)
+    counted = dict(docs.dtypes).get("n_chars") in ("int", "bigint")
 
     def step(rows: dict[str, list]) -> dict[str, list]:
-        has = with_runs(rows["text"])
-        texts = [scanner.redact(t) if r or (t and _ASSIGN_WORDS.search(t)) else t for t, r in zip(rows["text"], has, strict=True)]
-        return {c: texts if c == "text" else rows[c] for c in rows}
+        out, sizes = [], list(rows.get("n_chars", ()))
+        for i, (text, runs) in enumerate(zip(rows["text"], with_runs(rows["text"]), strict=True)):
+            new = scanner.redact(text, runs=runs)
+            if counted and new != text:
+                sizes[i] = len(new)
+            out.append(new)
+        return rows | {"text": out} | ({"n_chars": sizes} if counted else {})
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
     return map_batches(docs, docs.columns, schema, step)
