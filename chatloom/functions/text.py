@@ -28,6 +28,8 @@ REDACTION_MARK = "[הוסר]"
 EMAIL = "[A-Za-z0-9._%+\\-]+@[A-Za-z0-9.\\-]+\\.[A-Za-z]{2,}"
 PHONE = "(?U)(?<![\\w])\\+?[\\d][\\d\\s().\\-]{7,}\\d(?![\\w])"
 SHORT_PHONE = "(?U)(?<![\\w])(?:\\*\\d{3,5}\\b|\\(\\d{3,5}\\*\\)|\\b\\d{3,5}\\*(?![\\w]))"
+MOTHER_NOUN = "([למכבוש]?)ה?(?:אמא|אימא|אמהות|אימהות)[\\s\u05be\\-]+(ה?)(פונדקאי(?:ות|ת))"
+MOTHER_WORD = "([למכ])אם[\\s\u05be\\-]+(ה?)(פונדקאי(?:ות|ת))"
 WEBSITE = "(?:https?://|www\\.)[^\\s<>\"')\\]]+"
 
 
@@ -171,3 +173,14 @@ def batch_id(c: Column) -> Column:
 def json_block(c: Column) -> Column:
     """The outermost object or list in a model's answer, code fences left out."""
     return F.regexp_extract(c, "(?s)(\\{.*\\}|\\[.*\\])", 1)
+
+
+def correct_term(c: Column) -> Column:
+    """Drop the word for mother before the word for surrogate. The article stays, but
+    merges into the prepositions that take it in."""
+    # a mark stands for the article until it is known what is before it
+    for pattern in (MOTHER_NOUN, MOTHER_WORD):
+        c = F.regexp_replace(c, f"(?U){pattern}", "$1\u0001$2\u0002$3")
+        c = F.regexp_replace(c, "([לבכ])\u0001ה\u0002", "$1")
+        c = F.regexp_replace(c, "[\u0001\u0002]", "")
+    return c

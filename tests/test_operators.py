@@ -12,7 +12,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from chatloom.functions import text as T
-from chatloom.operators import aggregate, edits, entities, graph, pages, sequences, similarity, support, views
+from chatloom.operators import aggregate, edits, entities, graph, pages, sequences, similarity, store, support, views
 from chatloom.sources import artifacts, exports
 from chatloom.streaming import threads
 
@@ -278,3 +278,42 @@ def test_stream_gives_what_a_batch_gives(spark, tmp_path):
     pd.testing.assert_frame_equal(
         out.sort_values(key)[[*key, "thread_no"]].reset_index(drop=True), want.sort_values(key)[[*key, "thread_no"]].reset_index(drop=True)
     )
+
+
+# -- page store and member edits ------------------------------------------------
+def test_actions_fold_in_order(spark):
+    claims = spark.createDataFrame([("c1", "positive"), ("c2", None), ("c3", "negative")], "claim_id string, stance string")
+    actions = spark.createDataFrame([
+        ("p", 1, "S", None, "one", ["c1", " c2 ", "c1"]), ("p", 2, "S", None, "", ["c1"]), ("p", 3, None, "p-s1", "new text", ["c3", "gone"]),
+        ("p", 4, "T", "p-s9", "two", ["c2"]), ("p", 5, "T", None, "none", ["gone"]), ("q", 6, None, None, "other", ["c1"]),
+    ], "page_id string, ord int, section string, statement_id string, text string, claim_ids array<string>")
+    got = store.fold_statements(actions, claims)
+    assert sorted((r.statement_id, r.section, r.text, r.claim_ids) for r in got.collect()) == [
+        ("p-s1", "S", "new text", ["c1", "c2", "c3"]), ("p-s2", "T", "two", ["c2"]), ("q-s1", "", "other", ["c1"]),
+    ]
+    people = spark.createDataFrame([("c1", "a"), ("c1", "b"), ("c2", "b"), ("c3", "c")], "claim string, user string")
+    m = {r.statement_id: (r.support_count, r.stance_breakdown) for r in store.statement_measures(got, claims, people).collect()}
+    assert m["p-s1"] == (3, {"positive": 1, "neutral": 1, "negative": 1}) and m["p-s2"] == (1, {"neutral": 1})
+    pages_ = spark.createDataFrame([("p", "Page")], "page_id string, title string")
+    text = store.page_markdown(pages_, got, store.statement_measures(got, claims, people)).first().markdown
+    assert text == "# Page\n\n## S\n\n- new text (3)\n\n## T\n\n- two (1)\n"
+
+
+def test_member_edits(spark):
+    m = spark.createDataFrame([("e1", "a", [1, 2]), ("e2", "b", [3])], "entity_id string, name string, claim_ids array<int>")
+    rows = lambda df: sorted((r.entity_id, r.name, r.claim_ids) for r in df.collect())
+    assert rows(edits.reject_entity(m, "e1"))[0] == ("e1/a", "a", [1, 2])
+    assert rows(edits.move_claims(m, "a", "e1", "e2", [2, 9])) == [("e1", "a", [1]), ("e2", "a", [2]), ("e2", "b", [3])]
+    assert rows(edits.move_claims(m, "a", "e1", "e2", [2], copy=True))[0] == ("e1", "a", [1, 2])
+    gone = spark.createDataFrame([("e1", 1)], "entity_id string, claim_id int")
+    assert rows(edits.exclude_claims(m, gone)) == [("e1", "a", [2]), ("e2", "b", [3])]
+    g = spark.createDataFrame([("g", 1, 1), ("g", 1, 2), ("g", 1, 3), ("h", 4, 4), ("h", 4, 5)], "group_id string, representative int, member int")
+    assert sorted((r.group_id, r.representative, r.member) for r in edits.decouple(edits.decouple(g, "g", 1), "h", 5).collect()) == [("g", 2, 2), ("g", 2, 3)]
+
+
+@pytest.mark.parametrize("text, want", [
+    ("לאם הפונדקאית", "לפונדקאית"), ("האמא הפונדקאית", "הפונדקאית"), ("אמהות פונדקאיות", "פונדקאיות"), ("אם הפונדקאית חתמה", "אם הפונדקאית חתמה"),
+    ("מהאמא הפונדקאית", "מהפונדקאית"),
+])
+def test_term_correction(spark, text, want):
+    assert spark.createDataFrame([(text,)], "t string").select(T.correct_term(F.col("t"))).first()[0] == want
