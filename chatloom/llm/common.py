@@ -74,11 +74,13 @@ def shared_dir(spark: SparkSession) -> str:
     Only where the cluster names none (tests on one machine) is a folder made.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        jvm = spark.sparkContext._jsc.sc().getCheckpointDir()
-        folder = jvm.get() if jvm.isDefined() else "file://" + tempfile.mkdtemp(prefix="shared-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    if folder:
+        return folder
+    own = spark.sparkContext._jsc.sc().getCheckpointDir()
+    if not own.isDefined():
+        spark.sparkContext.setCheckpointDir("file://" + tempfile.mkdtemp(prefix="shared-"))
+        own = spark.sparkContext._jsc.sc().getCheckpointDir()
+    return own.get()
 
 
 def fresh_dir(spark: SparkSession, label: str) -> str:

@@ -12,9 +12,11 @@ Signatures travel as compressed blocks, one for each batch and partition, not as
 rows. Sets that share a signature form a bucket. Small buckets give their pairs;
 larger ones first only pairs with their least member. These are verified exactly
 and joined to components. In buckets that still span components, cost-based
-allocation drops each set's fullest buckets as far as its spare segments go, and
-the remaining pairs between components are verified too. So no link between
-different components is left out, and no pair within one is made.
+allocation drops each set's fullest buckets as far as its spare segments go. Sets in
+what remains are searched again, over the universe without the shingles that
+unlinked pairs were found to share (passages that many texts have); the pairs
+between components that this gives are verified too. So no link between different
+components is left out, and no pair within one is made.
 
 Defined results: null and empty texts have no shingles and stand alone; fewer
 than five words are one shingle; rows with a null doc_id stand alone with a null
@@ -40,10 +42,15 @@ from .common import bound_batches, map_batches, stored
 WORDS = 5
 #: Buckets of up to this many sets give all their pairs.
 SMALL = 4
+#: Bands of sets up to this size have twice the segments that they need, others an eighth more.
+SMALL_SETS = 200
 #: Words whose hashes a worker remembers.
 MEMO_WORDS = 1_000_000
 #: Members verified against one copy of their partner's text.
 SALT_ROWS = 2_000
+#: Shingles that this many unlinked pairs share are left out of the second search; at most so many.
+COMMON_PAIRS = 8
+COMMON_SHINGLES = 500_000
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _MUL = np.uint64(0xBF58476D1CE4E5B9)
 
@@ -103,7 +110,8 @@ def plan(k: int) -> tuple[int, int]:
     """Segments of band ``k``, and how many of them have deletion neighbourhoods."""
     top = band_top(k)
     most = needed(top * 5 // 4, k)
-    segments = most + 1 + most // 8
+    # small sets may share a passage over most of their length: they get more to spare
+    segments = 2 * most if top <= SMALL_SETS else most + 1 + most // 8
     return segments, segments if segments <= 16 else 2 + segments // 32
 
 
@@ -124,9 +132,11 @@ def bands(size: int) -> list[int]:
     return [k, k - 1] if below else [k]
 
 
-def signatures(s: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, int]:
-    """Signatures of a set in band ``k``, which of them are of segments with deletions, and spare units."""
+def signatures(s: np.ndarray, k: int, size: int | None = None) -> tuple[np.ndarray, np.ndarray, int]:
+    """Signatures of (part of) a set of ``size`` elements in band ``k``, the number from 1 of their segment if that has deletions (else 0), and spare units."""
     segments, deletable = plan(k)
+    if not len(s):
+        return s, np.zeros(0, np.uint16), -needed(size or 0, k)
     where = (s >> np.uint64(32)) * np.uint64(segments) >> np.uint64(32)
     order = np.argsort(where, kind="stable")
     seg, own = where[order], s[order]
@@ -139,22 +149,22 @@ def signatures(s: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, int]:
     less = np.repeat(sums, counts)[part] - own[part]
     label = mix(np.concatenate([ids, seg[part]]) + np.uint64(k << 32) + np.uint64(1))
     sigs = mix(np.concatenate([sums, less]) ^ label)
-    flags = np.concatenate([ids < deletable, np.ones(len(less), bool)])
-    return sigs, flags, len(ids) + int(wide.sum()) - needed(len(s), k)
+    numbers = np.concatenate([np.where(wide, ids + np.uint64(1), 0), seg[part] + np.uint64(1)]).astype(np.uint16)
+    return sigs, numbers, len(ids) + int(wide.sum()) - needed(size or len(s), k)
 
 
 # -- blocks of signatures ------------------------------------------------
 _HEAD = struct.Struct("<II")
 
 
-def _pack(sigs: np.ndarray, who: np.ndarray, docs: np.ndarray, sizes: np.ndarray, spare: np.ndarray) -> bytes:
+def _pack(sigs: np.ndarray, who: np.ndarray, seg: np.ndarray, docs: np.ndarray, sizes: np.ndarray, spare: np.ndarray) -> bytes:
     """Sorted signatures as differences in byte planes, whose they are, and the documents named."""
     order = np.argsort(sigs, kind="stable")
-    sigs, who = sigs[order], who[order]
-    used, own = np.unique(who & np.uint16(0x1FFF), return_inverse=True)
-    who = own.astype(np.uint16) | (who & np.uint16(0xE000))
+    sigs, who, seg = sigs[order], who[order], seg[order]
+    used, own = np.unique(who & np.uint16(0x7FFF), return_inverse=True)
+    who = own.astype(np.uint16) | (who & np.uint16(0x8000))
     steps = np.diff(sigs, prepend=np.uint64(0)).view(np.uint8).reshape(-1, 8).T
-    body = b"".join(np.ascontiguousarray(x).tobytes() for x in (steps, who, docs[used], sizes[used], spare[:, used]))
+    body = b"".join(np.ascontiguousarray(x).tobytes() for x in (steps, who, seg, docs[used], sizes[used], spare[:, used]))
     return _HEAD.pack(len(sigs), len(used)) + zstandard.ZstdCompressor(level=1).compress(body)
 
 
@@ -165,19 +175,32 @@ def _unpack(data: bytes) -> tuple[np.ndarray, ...]:
     sigs = np.cumsum(np.ascontiguousarray(planes.T).view(np.uint64).reshape(-1), dtype=np.uint64)
     at = 8 * n
     who = np.frombuffer(raw, np.uint16, n, at)
-    docs = np.frombuffer(raw, np.int64, d, at + 2 * n)
-    sizes = np.frombuffer(raw, np.uint32, d, at + 2 * n + 8 * d)
-    spare = np.frombuffer(raw, np.int16, 2 * d, at + 2 * n + 12 * d).reshape(2, d)
-    own = who & np.uint16(0x1FFF)
+    seg = np.frombuffer(raw, np.uint16, n, at + 2 * n)
+    at += 4 * n
+    docs = np.frombuffer(raw, np.int64, d, at)
+    sizes = np.frombuffer(raw, np.uint32, d, at + 8 * d)
+    spare = np.frombuffer(raw, np.int16, 2 * d, at + 12 * d).reshape(2, d)
+    own = who & np.uint16(0x7FFF)
     below = (who >> np.uint16(15)).astype(np.int64)
-    return sigs, docs[own], sizes[own], spare[below, own], (who >> np.uint16(14) & np.uint16(1)).astype(bool), below
+    return sigs, docs[own], sizes[own], spare[below, own], seg, below
 
 
-def _signature_blocks(docs: DataFrame, parts: int) -> DataFrame:
+def _rare(s: np.ndarray, common: np.ndarray) -> np.ndarray:
+    """A set without the elements of the sorted array ``common``."""
+    if not len(common) or not len(s):
+        return s
+    at = np.minimum(np.searchsorted(common, s), len(common) - 1)
+    return s[common[at] != s]
+
+
+def _signature_blocks(docs: DataFrame, parts: int, common: np.ndarray | None = None) -> DataFrame:
     """(part, block): the signatures of a batch of documents that belong to a part.
 
-    Part -1 lists documents whose units do not suffice.
+    Shingles in ``common`` are left out of every set alike: linked sets differ in no
+    more of the others, so the pigeonhole holds for these. Part -1 lists documents
+    whose units do not suffice.
     """
+    common = np.zeros(0, np.uint64) if common is None else common
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -185,31 +208,33 @@ def _signature_blocks(docs: DataFrame, parts: int) -> DataFrame:
                 rows = batch.slice(a, 2048)
                 ids = np.array(rows.column(0).to_pylist(), np.int64)
                 sizes, spare = np.zeros(len(ids), np.uint32), np.zeros((2, len(ids)), np.int16)
-                sigs, who, short = [], [], []
+                sigs, who, segs, short = [], [], [], []
                 for i, text in enumerate(rows.column(1).to_pylist()):
                     s = shingles(text)
-                    sizes[i] = len(s)
-                    for below, k in enumerate(bands(len(s)) if len(s) else ()):
-                        own = bands(len(s))[0]
-                        if plan(k)[0] <= 2 and needed(len(s), k) == 1:
+                    size = sizes[i] = len(s)
+                    s = _rare(s, common)
+                    for k in bands(int(size)) if size else ():
+                        own = bands(int(size))[0]
+                        if needed(int(size), k) == 1:
                             continue  # linked sets of this size are equal
-                        found, flags, units = signatures(s, k)
+                        found, numbers, units = signatures(s, k, int(size))
                         side = k != own
                         spare[int(side), i] = min(units, 30_000)
                         if units < 0:
                             short.append(ids[i])
                         sigs.append(found)
-                        who.append(np.uint16(i) | (flags.astype(np.uint16) << np.uint16(14)) | np.uint16(side << 15))
+                        segs.append(numbers)
+                        who.append(np.full(len(found), i | side << 15, np.uint16))
                 out_part, out_block = [], []
                 if sigs:
-                    sig, owner = np.concatenate(sigs), np.concatenate([np.broadcast_to(w, s.shape) for w, s in zip(who, sigs, strict=True)])
+                    sig, owner, seg = np.concatenate(sigs), np.concatenate(who), np.concatenate(segs)
                     part = (sig >> np.uint64(40)) % np.uint64(parts)
                     order = np.argsort(part, kind="stable")
-                    sig, owner, part = sig[order], owner[order], part[order]
+                    sig, owner, seg, part = sig[order], owner[order], seg[order], part[order]
                     edges = np.append(np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]])), len(part))
                     for x, y in zip(edges[:-1], edges[1:], strict=True):
                         out_part.append(int(part[x]))
-                        out_block.append(_pack(sig[x:y], owner[x:y], ids, sizes, spare))
+                        out_block.append(_pack(sig[x:y], owner[x:y], seg[x:y], ids, sizes, spare))
                 if short:
                     out_part.append(-1)
                     out_block.append(np.array(sorted(set(short)), np.int64).tobytes())
@@ -218,7 +243,7 @@ def _signature_blocks(docs: DataFrame, parts: int) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(run, "part bigint, block binary")
 
 
-BUCKETS = "kind int, a bigint, b bigint, size int, spare int, wide boolean, units int, n bigint"
+BUCKETS = "kind int, a bigint, b bigint, size int, spare int, seg int, units int, n bigint"
 
 
 def _buckets(blocks: DataFrame, parts: int) -> DataFrame:
@@ -228,7 +253,7 @@ def _buckets(blocks: DataFrame, parts: int) -> DataFrame:
     def close(held: list[bytes]) -> Iterator[pa.RecordBatch]:
         cols = [np.concatenate(c) for c in zip(*map(_unpack, held), strict=True)]
         order = np.lexsort((cols[1], cols[0]))
-        sig, doc, size, spare, wide, below = (c[order] for c in cols)
+        sig, doc, size, spare, seg, below = (c[order] for c in cols)
         first = np.flatnonzero(np.concatenate([[True], sig[1:] != sig[:-1]]))
         counts = np.diff(np.append(first, len(sig)))
         pairs = [np.zeros((0, 2), np.int64)]
@@ -240,15 +265,17 @@ def _buckets(blocks: DataFrame, parts: int) -> DataFrame:
                     ok = near(at + i, at + j)
                     pairs.append(np.stack([doc[at + i][ok], doc[at + j][ok]], 1))
         large = counts > SMALL
-        # buckets of the same members are kept once, with the number of units they stand for
+        # buckets of the same members in the same way are kept once, with the number of units they stand for
         of = np.repeat(np.arange(len(first)), counts)
-        print_ = np.add.reduceat(mix(doc.view(np.uint64) * np.uint64(2) + below.view(np.uint64)), first) if len(first) else first
-        flagged = np.logical_or.reduceat(wide, first) if len(first) else wide
-        keys = np.stack([print_.view(np.int64), counts, flagged.astype(np.int64)], 1)[large]
+        marks = mix(doc.view(np.uint64) * np.uint64(4) + below.view(np.uint64) * np.uint64(2) + np.uint64(1))
+        print_ = np.add.reduceat(marks, first) if len(first) else marks
+        numbered = np.add.reduceat((seg > 0).astype(np.int64), first) if len(first) else counts
+        # those with a segment that has deletions stay, as all its rows go or stay together
+        alone = np.where(numbered > 0, np.arange(len(first)) + 1, 0)
+        keys = np.stack([print_.view(np.int64), counts, alone], 1)[large]
         _, chosen, units = np.unique(keys, axis=0, return_index=True, return_counts=True)
-        chosen = np.flatnonzero(large)[chosen]
         keep = np.zeros(len(first), np.int64)
-        keep[chosen] = units
+        keep[np.flatnonzero(large)[chosen]] = units
         in_large = np.flatnonzero(keep[of] > 0)
         pivot = first[of[in_large]]
         ok = near(pivot, in_large)
@@ -259,7 +286,7 @@ def _buckets(blocks: DataFrame, parts: int) -> DataFrame:
             "a": (pair[:, 0], sig.view(np.int64)[in_large]), "b": (pair[:, 1], doc[in_large]),
             "size": (np.zeros(len(pair), np.int32), counts[of[in_large]].astype(np.int32)),
             "spare": (np.zeros(len(pair), np.int32), (spare[in_large].astype(np.int32) * 2 + below[in_large].astype(np.int32))),
-            "wide": (np.zeros(len(pair), bool), flagged[of[in_large]]),
+            "seg": (np.zeros(len(pair), np.int32), seg[in_large].astype(np.int32)),
             "units": (np.zeros(len(pair), np.int32), keep[of[in_large]].astype(np.int32)),
             "n": (np.zeros(len(pair), np.int64), size[in_large].astype(np.int64)),
         }
@@ -275,7 +302,7 @@ def _buckets(blocks: DataFrame, parts: int) -> DataFrame:
                     ids = np.frombuffer(block.as_py(), np.int64)
                     zero = np.zeros(len(ids), np.int32)
                     yield pa.RecordBatch.from_pydict(
-                        {"kind": zero + 2, "a": ids, "b": ids, "size": zero, "spare": zero, "wide": zero > 0, "units": zero, "n": ids * 0}
+                        {"kind": zero + 2, "a": ids, "b": ids, "size": zero, "spare": zero, "seg": zero, "units": zero, "n": ids * 0}
                     )
                     continue
                 if part != at and held:
@@ -290,8 +317,9 @@ def _buckets(blocks: DataFrame, parts: int) -> DataFrame:
 
 
 # -- verification and components -----------------------------------------
-def _verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
-    """The distinct pairs (a, b) whose sets are linked.
+def _verified(pairs: DataFrame, docs: DataFrame, label: str = "verified") -> tuple[DataFrame, DataFrame]:
+    """The distinct pairs (a, b) whose sets are linked; and (shingle, n), how many of the
+    other pairs have a shingle in common, counted by task.
 
     Members ``b`` bring their text to a copy of the text of ``a``; an ``a`` with
     many members has several copies, each for a share of them.
@@ -312,17 +340,36 @@ def _verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, pivot = None, np.zeros(0, np.uint64)
+        shared: list[np.ndarray] = []
+        held = 0
+
+        def counted() -> pa.RecordBatch:
+            value, n = np.unique(np.concatenate([*shared, np.zeros(0, np.uint64)]), return_counts=True)
+            value, n = value[n > 1], n[n > 1]
+            return pa.RecordBatch.from_pydict({"kind": np.ones(len(n), np.int32), "a": value.view(np.int64), "b": n})
+
         for batch in batches:
             out_a, out_b = [], []
             for a, b, text in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
                 if b is None:
                     at, pivot = a, shingles(text)
-                elif a == at and similar(pivot, shingles(text)):
-                    out_a.append(a)
-                    out_b.append(b)
-            yield pa.RecordBatch.from_pydict({"a": pa.array(out_a, pa.int64()), "b": pa.array(out_b, pa.int64())})
-
-    return rows.select("a", "b", "text").mapInArrow(run, "a bigint, b bigint")
+                elif a == at:
+                    own = shingles(text)
+                    both = np.intersect1d(pivot, own, assume_unique=True)
+                    if len(both) and 100 * len(both) >= 80 * (len(pivot) + len(own) - len(both)):
+                        out_a.append(a)
+                        out_b.append(b)
+                    else:
+                        shared.append(both)
+                        held += len(both)
+            yield pa.RecordBatch.from_pydict({"kind": np.zeros(len(out_a), np.int32), "a": pa.array(out_a, pa.int64()), "b": pa.array(out_b, pa.int64())})
+            if held > 1_000_000:
+                yield counted()
+                shared, held = [], 0
+        yield counted()
+
+    found = stored(rows.select("a", "b", "text").mapInArrow(run, "kind int, a bigint, b bigint"), label)
+    return found.where("kind = 0").select("a", "b"), found.where("kind = 1").select(F.col("a").alias("shingle"), F.col("b").alias("n"))
 
 
 def components(links: DataFrame, most: int = 50) -> DataFrame:
@@ -349,20 +396,36 @@ def components(links: DataFrame, most: int = 50) -> DataFrame:
     return edges.groupBy("b").agg(F.min("a").alias("component")).select(F.col("b").alias("node"), "component")
 
 
-def _open_pairs(members: DataFrame, found: DataFrame) -> DataFrame:
-    """Pairs between components in large buckets, without those that allocation drops."""
+def _open_rows(members: DataFrame, found: DataFrame) -> DataFrame:
+    """Members of large buckets that span components, and whether allocation keeps them."""
     label = F.coalesce("component", F.col("b"))
     labelled = members.join(found, members["b"] == found["node"], "left").select(
-        F.col("a").alias("bucket"), "size", "spare", "wide", "units", "n", F.col("b").alias("doc"), label.alias("label")
+        F.col("a").alias("bucket"), "size", "spare", "seg", "units", "n", F.col("b").alias("doc"), label.alias("label")
     )
     spans = labelled.groupBy("bucket", "size").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high")
     spans = spans.select(F.col("bucket").alias("open"), F.col("size").alias("open_size"))
     rows = labelled.join(spans, (F.col("bucket") == F.col("open")) & (F.col("size") == F.col("open_size")))
-    # the fullest buckets of a set in a band go first, as far as its spare units reach
-    order = Window.partitionBy("doc", "spare").orderBy(F.desc("size"), "bucket").rowsBetween(Window.unboundedPreceding, 0)
-    spent = F.sum(F.when(~F.col("wide"), F.col("units")).otherwise(0)).over(order)
-    rows = rows.withColumn("kept", F.col("wide") | (spent > F.shiftright("spare", 1)))
-    rows = stored(rows.select("bucket", "size", "doc", "label", "n", "kept"), "open-buckets")
+    # the fullest buckets of a set in a band go first, as far as its spare units reach; the
+    # buckets of a segment with deletions go together and cost two
+    item = F.when(F.col("seg") > 0, F.col("seg").cast("bigint")).otherwise(F.xxhash64("bucket"))
+    rows = rows.withColumns({"item": item, "cost": F.when(F.col("seg") > 0, 2).otherwise(F.col("units"))})
+    whole = Window.partitionBy("doc", "spare", "item")
+    order = Window.partitionBy("doc", "spare").orderBy(F.desc("most"), "item", "bucket").rowsBetween(Window.unboundedPreceding, 0)
+    first = F.row_number().over(whole.orderBy("bucket")) == 1
+    rows = rows.withColumns({"most": F.max("size").over(whole), "due": F.when(first, F.col("cost")).otherwise(0)})
+    rows = rows.withColumn("spent", F.sum("due").over(order))
+    rows = rows.withColumn("kept", F.max("spent").over(whole) > F.shiftright("spare", 1))
+    return stored(rows.select("bucket", "size", "doc", "label", "n", "kept"), "open-buckets")
+
+
+def _open_docs(rows: DataFrame) -> DataFrame:
+    """Documents in an open bucket that some member keeps."""
+    live = rows.where("kept").select("bucket", "size").distinct()
+    return rows.join(live, ["bucket", "size"], "left_semi").select(F.col("doc").alias("open_id")).distinct()
+
+
+def _open_pairs(rows: DataFrame) -> DataFrame:
+    """Pairs between components in open buckets."""
     x, y = rows.alias("x"), rows.alias("y")
     # the larger set's allocation decides
     cond = (
@@ -373,22 +436,61 @@ def _open_pairs(members: DataFrame, found: DataFrame) -> DataFrame:
     return x.join(y, cond).select(F.least("x.doc", "y.doc").alias("a"), F.greatest("x.doc", "y.doc").alias("b")).distinct()
 
 
-def _short_pairs(docs: DataFrame, short: DataFrame) -> DataFrame:
-    """Partners of sets without enough units: they hold one of more than a fifth of its shingles."""
+def _between(pairs: DataFrame, found: DataFrame) -> DataFrame:
+    """The pairs whose ends lie in different components."""
+    left, right = found.toDF("na", "ca"), found.toDF("nb", "cb")
+    rows = pairs.select("a", "b").distinct().join(left, F.col("a") == F.col("na"), "left").join(right, F.col("b") == F.col("nb"), "left")
+    return rows.where(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b")
+
 
-    def tokens(rows: dict[str, list]) -> dict[str, list]:
-        a, t = [], []
-        for key, text in zip(rows["doc_id"], rows["text"], strict=True):
-            s = shingles(text)
-            own = s if rows.get("all") else s[: len(s) // 5 + 1]
-            a += [key] * len(own)
-            t += own.view(np.int64).tolist()
-        return {"id": a, "token": t}
+def _short_pairs(docs: DataFrame, short: DataFrame, common: np.ndarray, found: DataFrame | None = None) -> DataFrame:
+    """Partners in other components of sets without enough units, which are of a set's size
+    or a neighbouring one.
 
+    Two linked sets share at least four fifths of the larger one. What common shingles
+    can't make up they share of the others, so they meet on one of a prefix of these;
+    or both are common shingles for four fifths, and meet on one of a prefix of all.
+    """
+    band = lambda n: int(np.log(n) / np.log(1.25))
+
+    def tokens(probe: bool):
+        def step(rows: dict[str, list]) -> dict[str, list]:
+            out: dict[str, list] = {"id": [], "label": [], "n": [], "shared": [], "band": [], "mostly": [], "token": []}
+            for key, label, text in zip(rows["doc_id"], rows["label"], rows["text"], strict=True):
+                s = shingles(text)
+                if not len(s):
+                    continue
+                rare = _rare(s, common)
+                need, at = -(-4 * len(s) // 5), band(len(s))
+                mostly = len(s) - len(rare) >= need
+                sides = [(False, rare[: len(rare) - max(need - len(s) + len(rare), 1) + 1] if probe else rare)]
+                if mostly:
+                    sides.append((True, s[: len(s) - need + 1] if probe else s))
+                for near in (at - 1, at, at + 1) if probe else (at,):
+                    for kind, own in sides:
+                        out["id"] += [key] * len(own)
+                        out["label"] += [label] * len(own)
+                        out["n"] += [len(s)] * len(own)
+                        out["shared"] += [len(s) - len(rare)] * len(own)
+                        out["band"] += [near] * len(own)
+                        out["mostly"] += [kind] * len(own)
+                        out["token"] += own.view(np.int64).tolist()
+            return out
+
+        return step
+
+    if found is None:
+        docs = docs.select("doc_id", "text", F.col("doc_id").alias("label"))
+    else:
+        docs = docs.join(found, docs["doc_id"] == found["node"], "left").select("doc_id", "text", F.coalesce("component", "doc_id").alias("label"))
+    schema = "id bigint, label bigint, n bigint, shared bigint, band int, mostly boolean, token bigint"
     probes = docs.join(short, docs["doc_id"] == short["a"], "left_semi")
-    probe = map_batches(probes, ["doc_id", "text"], "id bigint, token bigint", tokens)
-    every = map_batches(docs, ["doc_id", "text"], "id bigint, token bigint", lambda rows: tokens({**rows, "all": [True]}))
-    met = probe.select(F.col("id").alias("p"), "token").join(every, "token").where("p <> id")
+    probe = map_batches(probes, ["doc_id", "label", "text"], schema, tokens(True)).toDF("p", "plabel", "pn", "ps", "pband", "pmostly", "ptoken")
+    every = map_batches(docs, ["doc_id", "label", "text"], schema, tokens(False))
+    # without an uncommon shingle in common, two sets share no more than their common ones
+    enough = ~F.col("mostly") | (9 * F.least("ps", "shared") >= 4 * (F.col("pn") + F.col("n")))
+    same = (F.col("pband") == F.col("band")) & (F.col("pmostly") == F.col("mostly")) & (F.col("ptoken") == F.col("token"))
+    met = probe.join(every, same & enough & (F.col("plabel") != F.col("label")))
     return met.select(F.least("p", "id").alias("a"), F.greatest("p", "id").alias("b")).distinct()
 
 
@@ -413,16 +515,27 @@ def join_components(docs: DataFrame, parts: int | None = None) -> DataFrame:
     firsts = folded.where("n_shingles > 3").select("least")
     texts = docs.select("doc_id", "text").join(firsts.hint("shuffle_hash"), docs["doc_id"] == firsts["least"], "left_semi")
     found = stored(_buckets(_signature_blocks(texts, parts), parts), "buckets")
-    links = stored(_verified(found.where("kind = 0"), docs), "verified")
     short = found.where("kind = 2").select("a").distinct()
+    pairs = found.where("kind = 0").select("a", "b")
     if short.limit(1).count():
-        links = stored(links.unionByName(_verified(_short_pairs(docs, short), docs)), "verified")
-    reached = components(links)
-    members = found.where("kind = 1")
-    if members.limit(1).count():
-        more = _open_pairs(members, reached)
-        links = links.unionByName(_verified(more, docs))
-        reached = components(stored(links, "verified"))
+        pairs = pairs.unionByName(_short_pairs(docs, short, np.zeros(0, np.uint64)))
+    links, shared = _verified(pairs, docs)
+    reached = stored(components(links), "components")
+    rows = _open_rows(found.where("kind = 1"), reached)
+    opened = stored(_open_docs(rows), "open-documents")
+    if opened.limit(1).count():
+        # the sets left are searched again, without the shingles that unlinked sets share
+        top = shared.groupBy("shingle").agg(F.sum("n").alias("n")).where(F.col("n") >= COMMON_PAIRS).orderBy(F.desc("n"), "shingle").limit(COMMON_SHINGLES)
+        common = np.sort(np.array([r.shingle for r in top.collect()], np.int64).view(np.uint64))
+        left = docs.select("doc_id", "text").join(opened.hint("shuffle_hash"), docs["doc_id"] == opened["open_id"], "left_semi")
+        left = stored(left, "open-texts")
+        again = stored(_buckets(_signature_blocks(left, parts, common), parts), "buckets")
+        short = again.where("kind = 2").select("a").distinct()
+        pairs = again.where("kind = 0").select("a", "b").unionByName(_open_pairs(_open_rows(again.where("kind = 1"), reached)))
+        if short.limit(1).count():
+            pairs = pairs.unionByName(_short_pairs(left, short, common, reached))
+        more, _ = _verified(_between(pairs, reached), docs)
+        reached = components(links.unionByName(more))
     reached = stored(reached, "components")
     keyed = sets.join(
         folded.select(F.col("n_shingles").alias("n2"), F.col("p").alias("p2"), F.col("q").alias("q2"), "least"),
