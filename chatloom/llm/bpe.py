@@ -15,14 +15,11 @@ are read, so extra columns never clash.
 
 from __future__ import annotations
 
-import functools
 import hashlib
 import json
-import operator
 import re
 from array import array
 from functools import lru_cache
-from itertools import compress
 
 from pyspark.sql import DataFrame
 
@@ -44,8 +41,10 @@ _SPLIT = re.compile(
     rf"| ?[^{_SPACES}{_LETTERS}{_NUMBERS}]+|[{_SPACES}]+(?![^{_SPACES}])|[{_SPACES}]+"
 )
 
-_LED = re.compile(rf" [^{_SPACES}]")
-_IS_NONE = functools.partial(operator.is_, None)
+
+def _led(word: str) -> bool:
+    """Whether a word that starts with a space goes on with anything but a space."""
+    return len(word) > 1 and not word[1].isspace()
 
 
 def _byte_letters() -> dict[str, int]:
@@ -55,6 +54,19 @@ def _byte_letters() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
+class _Pieces(dict):
+    """Ids by piece; pieces that are asked for in vain are noted, and None is given."""
+
+    def __init__(self):
+        super().__init__()
+        self.missing: set[str] = set()
+        self.n_misses = 0
+
+    def __missing__(self, piece: str) -> None:
+        self.missing.add(piece)
+        self.n_misses += 1
+
+
 class TrieBpe:
     """A byte-level BPE vocabulary with its trie encoder."""
 
@@ -87,7 +99,7 @@ class TrieBpe:
         self._spines: tuple[dict, dict] = ({}, {})
         self._follows: dict[int, bool] = {}
         self.memo: dict[str, bytes] = {}
-        self.pieces: dict[str, bytes] = {}
+        self.pieces = _Pieces()
         self._library = None
         self._added = re.compile("(" + "|".join(map(re.escape, self.added)) + ")") if self.added else None
 
@@ -134,7 +146,9 @@ class TrieBpe:
         # by depth: the last token of the prefix, and where the longest ending of it
         # that begins some token starts, which never moves back
         last, left, before = [-1], [0], b""
-        for path, word in sorted((w.encode(), w) for w in words):
+        # code points order as their UTF-8 bytes do
+        for word in sorted(words):
+            path = word.encode()
             shared, most = 0, min(len(before), len(path))
             while shared < most and before[shared] == path[shared]:
                 shared += 1
@@ -165,7 +179,7 @@ class TrieBpe:
                 tokens.append(last[depth])
                 depth -= sizes[last[depth]]
             tokens.reverse()
-            if _LED.match(word):
+            if word[0] == " " and _led(word):
                 self.pieces[word[1:]] = tokens.tobytes()
             else:
                 self.memo[word] = tokens.tobytes()
@@ -193,16 +207,17 @@ class TrieBpe:
             self.memo.clear()
             self.pieces.clear()
         memo, pieces = self.memo, self.pieces
-        parts: list[tuple[list[str | int], list[str], list[bytes | None]]] = []
+        parts: list[tuple[list[str | int], list[str], list[bytes | None], bool]] = []
         new: set[str] = set()
-        missing: set[str] = set()
+        missing = pieces.missing = set()
         for text in texts:
             plain: list[str] = []
             head: list[str | int] = []
             ids: list[bytes | None] = []
+            before = pieces.n_misses
             if text:
                 marked = specials and self._added and any(s in text for s in self.added)
-                if marked or "  " in text or text[0] == " " or text[-1] == " " or _OTHER_CODES.search(text):
+                if marked or "  " in text or text[0] == " " or text[-1] == " " or not (text.isascii() or _OTHER_CODES.search(text) is None):
                     for i, piece in enumerate(self._added.split(text) if marked else [text]):
                         if marked and i % 2:
                             head.append(self.added[piece])
@@ -213,11 +228,9 @@ class TrieBpe:
                     # the first piece has no space before it
                     head = self.split(plain[0])
                     del plain[0]
-                    ids = list(map(pieces.get, plain))
-                    if None in ids:
-                        missing.update(compress(plain, map(_IS_NONE, ids)))
+                    ids = list(map(pieces.__getitem__, plain))
                 new.update(w for w in head if isinstance(w, str) and self._known(w) is None)
-            parts.append((head, plain, ids))
+            parts.append((head, plain, ids, pieces.n_misses > before))
         cut = {}
         for piece in missing:
             if piece.isalpha():
@@ -231,13 +244,13 @@ class TrieBpe:
             pieces[piece] = b"".join([self._known(w) for w in words])
         return [
             b"".join([self._known(w) if isinstance(w, str) else array("I", [w]).tobytes() for w in head])
-            + b"".join([pieces[p] if x is None else x for p, x in zip(plain, ids, strict=True)] if None in ids else ids)
-            for head, plain, ids in parts
+            + b"".join([pieces[p] if x is None else x for p, x in zip(plain, ids, strict=True)] if some else ids)
+            for head, plain, ids, some in parts
         ]
 
     def _known(self, word: str) -> bytes | None:
         """The ids of a word if it was learned; one led by a space is kept as its piece."""
-        return self.pieces.get(word[1:]) if _LED.match(word) else self.memo.get(word)
+        return self.pieces.get(word[1:]) if word[0] == " " and _led(word) else self.memo.get(word)
 
     def decode(self, ids: bytes) -> str:
         """The text of packed ids, added tokens included; broken UTF-8 is replaced."""

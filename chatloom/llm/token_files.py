@@ -36,7 +36,7 @@ from .common import CHARS_PER_STEP, bound_batches, commit_file, fresh_dir, open_
 
 MAGIC = b"PLN1"
 BLOCK_IDS = 1 << 16
-LEVEL = 3
+LEVEL = 1
 _TRAILER = struct.Struct("<QQQQQI4s")
 _CHUNK = struct.Struct("<QII")
 
