@@ -85,8 +85,7 @@ class TrieBpe:
         self.ids = {b: i for i, b in enumerate(self.token_bytes) if b}
         for content, i in self.added.items():
             self.token_bytes[i] = content.encode()
-        #: every beginning of a token -> its own id, or -1
-        self.starts = {b[:i]: self.ids.get(b[:i], -1) for b in self.ids for i in range(1, len(b) + 1)}
+        self._automaton()
         self.sizes = [len(b) for b in self.token_bytes]
         #: (left id, right id) -> rank; by token its own rank and parts
         self.ranks: dict[tuple[int, int], int] = {}
@@ -103,6 +102,38 @@ class TrieBpe:
         self._library = None
         self._added = re.compile("(" + "|".join(map(re.escape, self.added)) + ")") if self.added else None
 
+    def _automaton(self) -> None:
+        """Aho-Corasick over all tokens: ``step`` (node * 256 + byte -> node), ``back`` (the node of
+        the longest shorter ending) and ``ends`` (the tokens that end at a node, longest first)."""
+        self.step: dict[int, int] = {}
+        self.back, self.ends = [0], [()]
+        order: list[list[tuple[int, int, int]]] = []  # (node, parent, byte) by depth
+        own = [-1]
+        for raw, token in self.ids.items():
+            node = 0
+            for depth, byte in enumerate(raw):
+                key = node << 8 | byte
+                child = self.step.get(key)
+                if child is None:
+                    child = self.step[key] = len(own)
+                    own.append(-1)
+                    if depth == len(order):
+                        order.append([])
+                    order[depth].append((child, node, byte))
+                node = child
+            own[node] = token
+        self.back, self.ends = [0] * len(own), [()] * len(own)
+        for level in order:
+            for node, parent, byte in level:
+                at = parent
+                while at:
+                    at = self.back[at]
+                    if (found := self.step.get(at << 8 | byte)) is not None:
+                        self.back[node] = found
+                        break
+                rest = self.ends[self.back[node]]
+                self.ends[node] = (own[node], *rest) if own[node] >= 0 else rest
+
     # -- borders ---------------------------------------------------------
     def _spine(self, token: int, right: bool) -> list[tuple[int, float]]:
         """The pieces that lie at a token's right (left) end while it is built, each
@@ -140,39 +171,39 @@ class TrieBpe:
         the root, and only the states below the branch from the word before are
         computed.
         """
-        starts, known, sizes, follows = self.starts, self._follows, self.sizes, self.follows
+        step, back, ends = self.step, self.back, self.ends
+        known, sizes, follows = self._follows, self.sizes, self.follows
         if len(known) > MEMO_PAIRS:
             known.clear()
-        # by depth: the last token of the prefix, and where the longest ending of it
-        # that begins some token starts, which never moves back
-        last, left, before = [-1], [0], b""
+        # by depth: the last token of the prefix, and the automaton's node
+        last, nodes, before = [-1], [0], b""
         # code points order as their UTF-8 bytes do
         for word in sorted(words):
             path = word.encode()
             shared, most = 0, min(len(before), len(path))
             while shared < most and before[shared] == path[shared]:
                 shared += 1
-            del last[shared + 1 :], left[shared + 1 :]
-            start = left[shared]
+            del last[shared + 1 :], nodes[shared + 1 :]
+            node = nodes[shared]
             for depth in range(shared + 1, len(path) + 1):
-                token = starts.get(path[start:depth])
-                while token is None:
-                    start += 1
-                    token = starts.get(path[start:depth])
-                left.append(start)
-                at = start
-                while True:
-                    if token >= 0:
-                        if not at:
-                            break
-                        pair = last[at] << 32 | token
-                        fits = known.get(pair)
-                        if fits is None:
-                            fits = known[pair] = follows(last[at], token)
-                        if fits:
-                            break
-                    at += 1
-                    token = starts.get(path[at:depth], -1)
+                byte = path[depth - 1]
+                child = step.get(node << 8 | byte)
+                while child is None:
+                    node = back[node]
+                    child = step.get(node << 8 | byte)
+                node = child
+                nodes.append(node)
+                # the one token that ends here and may follow the state it leaves
+                for token in ends[node]:
+                    at = depth - sizes[token]
+                    if not at:
+                        break
+                    pair = last[at] << 32 | token
+                    fits = known.get(pair)
+                    if fits is None:
+                        fits = known[pair] = follows(last[at], token)
+                    if fits:
+                        break
                 last.append(token)
             tokens, depth = array("I"), len(path)
             while depth:
