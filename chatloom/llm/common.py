@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 from collections.abc import Callable, Iterable, Iterator
@@ -92,9 +93,17 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` into the shared folder and read it back, which cuts its lineage."""
     path = fresh_dir(df.sparkSession, label)
     df.write.parquet(path)
+    release(df.sparkSession)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of what is done, which it does as the driver's
+    garbage is collected; with a roomy heap that may be long after."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def open_store(uri: str) -> tuple[pafs.FileSystem, str]:
     """The pyarrow file system of ``uri`` and the path in it."""
     if "://" not in uri and not uri.startswith("file:"):
