@@ -66,6 +66,8 @@ class ThreadState:
     last_sender: str
     start: float
     open: bool = True
+    #: (last ids, their unit vectors, unit mean), made anew after a change
+    recent: tuple[np.ndarray, np.ndarray, np.ndarray] | None = None
 
 
 def cosine(a: np.ndarray, b: np.ndarray) -> float:
@@ -73,6 +75,11 @@ def cosine(a: np.ndarray, b: np.ndarray) -> float:
     return float(a @ b) / n if n else 0.0
 
 
+def unit(v: np.ndarray) -> np.ndarray:
+    n = float(np.linalg.norm(v)) if len(v) else 0.0
+    return v / n if n else v * 0.0
+
+
 def sparse_cosine(a: dict[str, float], b: dict[str, float]) -> float:
     n = math.sqrt(sum(x * x for x in a.values())) * math.sqrt(sum(x * x for x in b.values()))
     return sum(x * b[t] for t, x in a.items() if t in b) / n if n else 0.0
@@ -92,13 +99,22 @@ class Assigner:
 
     # -- similarity ------------------------------------------------------
     def _near(self, m: Message, t: ThreadState, of, mean, like) -> float:
+        """The best likeness to a recent message, less the further back, or to their mean."""
         ids = t.ids[-self.c.window :]
         best = max((like(of(m), of(self.messages[i])) * self.c.decay ** abs(m.idx - i) for i in ids), default=0.0)
         return max(best, 0.0, like(of(m), mean(ids)))
 
     def dense(self, m: Message, t: ThreadState) -> float:
-        mean = lambda ids: np.mean([self.messages[i].vector for i in ids], axis=0)
-        return self._near(m, t, lambda x: x.vector, mean, cosine)
+        """The same over vectors, with one product for all messages of the window."""
+        if t.recent is None:
+            ids = t.ids[-self.c.window :]
+            rows = [self.messages[i].vector for i in ids]
+            t.recent = (np.array(ids), np.array([unit(v) for v in rows]), unit(np.mean(rows, axis=0)))
+        ids, units, mean = t.recent
+        u = unit(m.vector)
+        if not len(u) or units.shape[1:] != u.shape:
+            return 0.0
+        return max(0.0, float((units @ u * self.c.decay ** np.abs(m.idx - ids)).max()), float(mean @ u))
 
     def semantic(self, m: Message, t: ThreadState) -> float:
         def merged(ids: list[int]) -> dict[str, float]:
@@ -136,6 +152,7 @@ class Assigner:
             thread = ThreadState(self.n_threads, [], set(), m.time, m.sender, m.time)
             self.open.append(thread)
         thread.ids.append(m.idx)
+        thread.recent = None
         thread.people |= {m.sender, *m.reactors}
         thread.last_time, thread.last_sender = m.time, m.sender
         self.thread_of[m.idx] = thread
@@ -232,6 +249,7 @@ class Assigner:
             tail = ThreadState(self.n_threads, ids, set(), 0.0, "", 0.0, t.open)
             for part in (t, tail):
                 own = [self.messages[i] for i in part.ids]
+                part.recent = None
                 part.people = {m.sender for m in own}
                 part.start, part.last_time, part.last_sender = own[0].time, own[-1].time, own[-1].sender
             for i in ids:
