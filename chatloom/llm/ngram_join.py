@@ -448,8 +448,9 @@ def _short_pairs(docs: DataFrame, short: DataFrame, common: np.ndarray, found: D
     or a neighbouring one.
 
     Two linked sets share at least four fifths of the larger one. What common shingles
-    can't make up they share of the others, so they meet on one of a prefix of these;
-    or both are common shingles for four fifths, and meet on one of a prefix of all.
+    can't make up they share of the others, so the least one that they share
+    lies in a prefix of these in both; or both are common shingles for four fifths, and the
+    least shared one lies in a prefix of all.
     """
     band = lambda n: int(np.log(n) / np.log(1.25))
 
@@ -463,9 +464,9 @@ def _short_pairs(docs: DataFrame, short: DataFrame, common: np.ndarray, found: D
                 rare = _rare(s, common)
                 need, at = -(-4 * len(s) // 5), band(len(s))
                 mostly = len(s) - len(rare) >= need
-                sides = [(False, rare[: len(rare) - max(need - len(s) + len(rare), 1) + 1] if probe else rare)]
+                sides = [(False, rare[: len(rare) - max(need - len(s) + len(rare), 1) + 1])]
                 if mostly:
-                    sides.append((True, s[: len(s) - need + 1] if probe else s))
+                    sides.append((True, s[: len(s) - need + 1]))
                 for near in (at - 1, at, at + 1) if probe else (at,):
                     for kind, own in sides:
                         out["id"] += [key] * len(own)
