@@ -372,15 +372,15 @@ def _verified(pairs: DataFrame, docs: DataFrame, label: str = "verified") -> tup
     return found.where("kind = 0").select("a", "b"), found.where("kind = 1").select(F.col("a").alias("shingle"), F.col("b").alias("n"))
 
 
-def components(links: DataFrame, most: int = 50) -> DataFrame:
+def components(links: DataFrame) -> DataFrame:
     """(node, component): the least node that each node of a link reaches.
 
-    Alternates large-star and small-star steps until nothing changes; only counts
-    and sums reach the driver.
+    Alternates large-star and small-star steps until nothing changes, however many
+    that takes; only counts and sums reach the driver.
     """
     edges = stored(links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a < b").distinct(), "links")
     before = None
-    for _ in range(most):
+    while True:
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         low = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("low")).select(F.col("a").alias("node"), "low")
         large = both.where("b > a").join(low, F.col("a") == F.col("node")).select(F.col("low").alias("a"), "b").where("a < b").distinct()

@@ -19,15 +19,16 @@ def _saved(df: DataFrame) -> DataFrame:
     return df.persist()
 
 
-def components(nodes: DataFrame, edges: DataFrame, most: int = 60) -> DataFrame:
+def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """(node, component): the least node that each node reaches over undirected ``edges`` (a, b).
 
     Labels spread along edges, and from a label to that label's own label, so long
-    chains shorten by half a round. Only a count a round reaches the driver.
+    chains shorten by half a round. Only a count a round reaches the driver. Labels
+    only fall, so the rounds end by themselves and have no bound.
     """
     both = _saved(edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).where("a <> b").distinct())
     labels = _saved(nodes.select("node", F.col("node").alias("component")).distinct())
-    for _ in range(most):
+    while True:
         far = both.join(labels, both["b"] == labels["node"]).groupBy("a").agg(F.min("component").alias("near"))
         step = labels.join(far, labels["node"] == far["a"], "left").select("node", "component", F.least("component", F.coalesce("near", "component")).alias("new"))
         up = step.select(F.col("node").alias("up"), F.col("new").alias("up_new"))
@@ -41,15 +42,14 @@ def components(nodes: DataFrame, edges: DataFrame, most: int = 60) -> DataFrame:
     return labels
 
 
-def closure(seeds: DataFrame, edges: DataFrame, most: int = 60) -> DataFrame:
-    """(seed, node): all nodes that each seed reaches over undirected ``edges``."""
-    both = edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct()
-    found = _saved(seeds.select(F.col("node").alias("seed"), "node").distinct())
-    front = found
-    for _ in range(most):
-        more = front.join(both, front["node"] == both["a"]).select("seed", F.col("b").alias("node")).distinct()
-        front = _saved(more.join(found, ["seed", "node"], "left_anti"))
-        if not front.limit(1).count():
-            break
-        found = _saved(found.unionByName(front))
-    return found
+def closure(seeds: DataFrame, edges: DataFrame) -> DataFrame:
+    """(seed, node): all nodes that each seed reaches over undirected ``edges``.
+
+    What a seed reaches is its component, so the rounds are those of ``components``
+    and do not grow with the length of a chain.
+    """
+    own = seeds.select("node").distinct()
+    nodes = own.unionByName(edges.select(F.col("a").alias("node"))).unionByName(edges.select(F.col("b").alias("node")))
+    labels = components(nodes, edges)
+    starts = labels.join(own, "node", "left_semi").select(F.col("node").alias("seed"), "component")
+    return starts.join(labels, "component").select("seed", "node")

@@ -182,6 +182,14 @@ def test_components_of_a_long_chain(spark):
     assert graph.closure(nodes.where("node = 5"), edges).count() == n
 
 
+def test_closure_reaches_the_ends_of_a_chain_of_any_length(spark):
+    n = 300
+    nodes = spark.createDataFrame([(i,) for i in range(n + 1)], "node int")
+    edges = spark.createDataFrame([(i, i + 1) for i in range(n - 1)], "a int, b int")
+    got = sorted(map(tuple, graph.closure(nodes.where(f"node in (5, 250, {n})"), edges).collect()))
+    assert got == [(s, i) for s in (5, 250) for i in range(n)] + [(n, n)]
+
+
 def test_histogram_of_equal_and_no_values(spark):
     one = spark.createDataFrame([(3.0,), (3.0,), (None,)], "v double")
     assert [(r.bucket, r.n) for r in views.histogram(one, "v").collect()] == [(0, 2)]
