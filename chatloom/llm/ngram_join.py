@@ -213,10 +213,9 @@ def _signature_blocks(docs: DataFrame, parts: int, common: np.ndarray | None = N
                     s = shingles(text)
                     size = sizes[i] = len(s)
                     s = _rare(s, common)
-                    for k in bands(int(size)) if size else ():
+                    # up to three shingles, linked sets are equal; four lie within five at 80 %
+                    for k in bands(int(size)) if size > 3 else ():
                         own = bands(int(size))[0]
-                        if needed(int(size), k) == 1:
-                            continue  # linked sets of this size are equal
                         found, numbers, units = signatures(s, k, int(size))
                         side = k != own
                         spare[int(side), i] = min(units, 30_000)

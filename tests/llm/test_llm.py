@@ -95,6 +95,25 @@ def test_join_is_that_of_brute_force(spark, seed):
     assert joined(spark.createDataFrame(rows, "doc_id bigint, text string"), parts=3) == brute_components(rows)
 
 
+def test_join_of_texts_that_are_a_word_longer(spark):
+    rng = random.Random(5)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(6))
+    rows = []
+    for n in (5, 6, 7, 8, 9, 10, 13, 14):
+        for at in range(4):
+            base = [word() for _ in range(n)]
+            rows += [" ".join(x) for x in (base, [word(), *base] if at % 2 else [*base, word()])]
+    # buckets of many texts, which differ in the word before or after them
+    for _ in range(2):
+        base = [word() for _ in range(8)]
+        rows += [" ".join(base), *(" ".join([word(), *base] if i % 2 else [*base, word()]) for i in range(9))]
+    rows = list(enumerate(rows))
+    rng.shuffle(rows)
+    want = brute_components(rows)
+    assert sum(n == 5 and i != c for i, n, c in want) > 20
+    assert joined(spark.createDataFrame(rows, "doc_id bigint, text string"), parts=3) == want
+
+
 def test_join_of_odd_rows(odd):
     rows = [(r.doc_id, r.text) for r in odd.select("doc_id", "text").collect()]
     assert joined(odd) == brute_components(rows)
