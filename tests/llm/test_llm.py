@@ -207,6 +207,20 @@ def test_models_tell_keys_from_names_they_have_not_seen():
     assert s.redact("a token = abcdef123 b") == "a [SECRET] b" and s.redact(None) is None
 
 
+def test_the_ratio_alone_decides():
+    held, s = secrets.labelled_samples(1000, seed=98), secrets.SecretScanner()
+    judged = [(s.is_random(x), label) for x, label in held if len(x) >= secrets.RANDOM_LENGTH]
+    assert sum(bool(label) == found for found, label in judged) / len(judged) > 0.97
+    rng = random.Random(4)
+    letters = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    for alphabet in (letters, letters + "0123456789"):
+        for n in (20, 24, 32):
+            keys = ["".join(rng.choice(alphabet) for _ in range(n)) for _ in range(300)]
+            assert sum(s.spans(f"key {k} end") == [(4, 4 + n, "random")] for k in keys) > 290
+    for name in ("12345678901234567890", "2024-01-02-2024-02-03", "=" * 30, "x" * 30, "MAX_CONNECTION_POOL_SIZE", "BENCHMARKDECONTAMINATION", "src/main/java/org/Apache/Http"):
+        assert s.spans(name) == []
+
+
 # -- 4 and 6 ----------------------------------------------------------------
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.integers(0, 2**32 - 1), max_size=300), st.sampled_from(["bit", "byte"]), st.integers(1, 64))
