@@ -72,19 +72,39 @@ def keyword_tags(texts: DataFrame, key: str, text: str, keywords: DataFrame, mos
     return texts.select(key, F.when(F.size(tags) > 0, tags).otherwise(F.array(F.lit("overview"))).alias("tags"))
 
 
-def contained(needles: DataFrame, hay: DataFrame, needle_words: int = 4) -> DataFrame:
-    """(needle_id, hay_id): texts that contain a needle as a substring.
-
-    The needle's first words are an equi-join key against all word sequences of that
-    length, so no pair is tried that does not share them; ``contains`` then decides.
-    Needles start at a word of the text, as quotes do.
+def contained(needles: DataFrame, hay: DataFrame, needle_words: int = 4, letters: int = 8) -> DataFrame:
+    """(needle_id, hay_id): texts that contain a needle as a substring, wherever in a word it begins or ends.
+
+    All words of a needle but its first and last are whole words of the text: the first
+    ``needle_words`` of these are an equi-join key against the word sequences of that
+    length. A needle of one or two words has none: the first ``letters`` characters of its
+    longest word are a key against the parts of that length of the text's words. Only
+    lengths that needles have are made. ``contains`` then decides. A needle without words
+    (empty or white space) is tried on every text; a short one of common words meets many.
     """
-    words = lambda c: F.split(F.trim(F.regexp_replace(c, "\\s+", " ")), " ")
-    head = lambda w, i: F.array_join(F.slice(w, i, needle_words), " ")
-    n = needles.select("needle_id", "needle", words(F.col("needle")).alias("w")).select(
-        "needle_id", "needle", F.array_join(F.slice("w", 1, F.least(F.size("w") - 1, F.lit(needle_words))), " ").alias("key"), F.size("w").alias("size")
+    words = lambda c: F.filter(F.split(F.regexp_replace(c, "\\s+", " "), " "), lambda w: w != "")
+    n = needles.where("needle is not null").select("needle_id", "needle", words(F.col("needle")).alias("w")).withColumn("size", F.size("w"))
+    inner = F.slice("w", 2, F.least(F.size("w") - 2, F.lit(needle_words)))
+    longest = F.array_max(F.transform("w", lambda x: F.struct(F.length(x).alias("n"), x.alias("x"))))["x"]
+    keyed = n.where("size > 2").select("needle_id", "needle", F.lit("words").alias("kind"), F.least(F.col("size") - 2, F.lit(needle_words)).alias("n"), F.array_join(inner, " ").alias("key"))
+    part = F.substring(longest, 1, letters)
+    keyed = keyed.unionByName(
+        n.where("size in (1, 2)").select("needle_id", "needle", F.lit("letters").alias("kind"), F.length(part).alias("n"), part.alias("key"))
     )
-    h = hay.select("hay_id", "hay", words(F.col("hay")).alias("w"))
-    grams = h.select("hay_id", F.explode(F.array_distinct(F.transform(F.sequence(F.lit(1), F.size("w")), lambda i: head(F.col("w"), i)))).alias("key"))
-    met = n.where(F.col("size") > needle_words).join(grams, "key").select("needle_id", "needle", "hay_id")
+    # at most needle_words + letters rows
+    lengths = {(r.kind, r.n) for r in keyed.select("kind", "n").distinct().collect()}
+    h = hay.where("hay is not null").select("hay_id", words(F.col("hay")).alias("w"))
+    windows = lambda size, m: F.when(size >= m, F.sequence(F.lit(1), size - m + 1)).otherwise(F.array().cast("array<int>"))
+
+    def grams(m: int):
+        return F.transform(windows(F.size("w"), m), lambda i: F.array_join(F.slice("w", i, m), " "))
+
+    def parts(m: int):
+        return F.flatten(F.transform(F.array_distinct("w"), lambda x: F.transform(windows(F.length(x), m), lambda i: F.substring(x, i, F.lit(m)))))
+
+    met = n.where("size = 0").crossJoin(hay.select("hay_id")).select("needle_id", "needle", "hay_id")
+    for kind, m in sorted(lengths):
+        made = h.select("hay_id", F.explode(F.array_distinct(grams(m) if kind == "words" else parts(m))).alias("key"))
+        own = keyed.where((F.col("kind") == kind) & (F.col("n") == m))
+        met = met.unionByName(own.join(made, "key").select("needle_id", "needle", "hay_id"))
     return met.join(hay, "hay_id").where(F.contains("hay", F.col("needle"))).select("needle_id", "hay_id").distinct()

@@ -211,6 +211,18 @@ def test_contained_needs_the_whole_needle(spark):
     assert [tuple(r) for r in pages.contained(n, h).collect()] == [(1, 1)]
 
 
+def test_contained_finds_needles_of_every_length(spark):
+    texts = ["the quick brown fox jumps over the lazy dog", "quickly  the\nfox", "öß the quick", "a", "", "fox jumps", "  x  y", None]
+    quotes = [
+        "fox", "ick", "k", "quick brown", "ck bro", "the quick brown", "he quick brow", "x jumps over t", "ick brown fox jumps over th", "own fox jumps over the lazy dog",
+        "  the", "the\nfox", "ly  the", "the fox", "", " ", "öß", "ß the q", "jumpsover", "quick quick", "a b c d e", None,
+    ]
+    n = spark.createDataFrame(list(enumerate(quotes)), "needle_id int, needle string")
+    h = spark.createDataFrame(list(enumerate(texts)), "hay_id int, hay string")
+    want = sorted((i, j) for i, q in enumerate(quotes) for j, t in enumerate(texts) if q is not None and t is not None and q in t)
+    assert sorted(map(tuple, pages.contained(n, h).collect())) == want
+
+
 def test_similarity_of_empty_vectors_is_zero(spark):
     df = spark.createDataFrame([([1.0, 0.0], [1.0, 0.0]), ([0.0, 0.0], [1.0, 0.0]), ([], [])], "a array<double>, b array<double>")
     assert [r[0] for r in df.select(similarity.cosine(F.col("a"), F.col("b"))).collect()] == [1.0, 0.0, 0.0]
