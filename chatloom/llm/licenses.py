@@ -17,7 +17,7 @@ any such word are passed over.
 from __future__ import annotations
 
 import re
-from collections import defaultdict
+from collections import Counter, defaultdict
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -141,11 +141,13 @@ class LicenseScanner:
         self.templates = {k: words(t) for k, t in (templates or TEMPLATES).items()}
         #: word -> (template, place) of each longer word
         self.seeds: dict[str, list[tuple[str, int]]] = defaultdict(list)
+        self.n_seeds: dict[str, int] = {}
         for name, seq in self.templates.items():
             long = [i for i, w in enumerate(seq) if len(w) >= SEED_LENGTH]
             # with this many, coverage can't be reached without one of them
             if len(long) <= len(seq) * (1 - coverage):
                 long = list(range(len(seq)))
+            self.n_seeds[name] = len(long)
             for i in long:
                 self.seeds[seq[i]].append((name, i))
 
@@ -154,25 +156,20 @@ class LicenseScanner:
         seq = words(text)
         if self.seeds.keys().isdisjoint(seq):
             return []
-        votes: dict[str, list[int]] = defaultdict(list)
+        votes: dict[str, list[tuple[int, int]]] = defaultdict(list)
         for p, w in enumerate(seq):
             for name, i in self.seeds.get(w, ()):
-                votes[name].append(p - i)
+                votes[name].append((p - i, i))
         found = []
-        for name, offsets in votes.items():
-            template = self.templates[name]
-            slack = 3 + len(template) // 4
-            offsets.sort()
-            first = last = offsets[0]
-            for o in [*offsets[1:], None]:
-                if o is not None and o - last <= slack:
-                    last = o
+        for name, given in votes.items():
+            slack = 3 + len(self.templates[name]) // 4
+            given.sort()
+            start = 0
+            for end in range(1, len(given) + 1):
+                if end < len(given) and given[end][0] - given[end - 1][0] <= slack:
                     continue
-                lo, hi = max(0, first - slack), min(len(seq), last + len(template) + slack)
-                pairs = align(seq[lo:hi], template)
-                if len(pairs) >= self.coverage * len(template):
-                    found.append(Found(name, len(pairs) / len(template), len(pairs), lo + pairs[0][0], lo + pairs[-1][0] + 1))
-                first = last = o
+                found += self._cluster(seq, name, given[start:end], slack)
+                start = end
         found.sort(key=lambda f: (-f.matched, f.start, f.license))
         kept: list[Found] = []
         for f in found:
@@ -181,6 +178,56 @@ class LicenseScanner:
         return sorted(kept, key=lambda f: f.start)
 
 
+    def _aligned(self, seq: list[str], name: str, lo: int, hi: int) -> Found | None:
+        """The template in words ``lo`` to ``hi``, if it is covered."""
+        template, lo = self.templates[name], max(0, lo)
+        pairs = align(seq[lo:hi], template)
+        if not pairs or len(pairs) < self.coverage * len(template):
+            return None
+        return Found(name, len(pairs) / len(template), len(pairs), lo + pairs[0][0], lo + pairs[-1][0] + 1)
+
+    def _cluster(self, seq: list[str], name: str, votes: list[tuple[int, int]], slack: int) -> list[Found]:
+        """Copies of a template in a cluster of its sorted votes (offset, place in the template)."""
+        size = len(self.templates[name])
+        out: list[Found] = []
+        for o in self._peaks(name, votes, slack):
+            # copies found before are a border; a peak that lies mostly in one is part of it
+            if any(min(f.end, o + size) - max(f.start, o) > size // 2 for f in out):
+                continue
+            below = max((f.end for f in out if f.start <= o), default=0)
+            above = min((f.start for f in out if f.start > o), default=len(seq))
+            tried = [self._aligned(seq, name, max(below, o - d), min(above, o + size + d)) for d in dict.fromkeys((slack, slack // 2, slack // 4, 1, 0))]
+            best = max((f for f in tried if f), key=lambda f: (f.matched, f.start - f.end), default=None)
+            if best:
+                out.append(best)
+        if len(out) < 2:
+            whole = self._aligned(seq, name, votes[0][0] - slack, votes[-1][0] + size + slack)
+            if whole and (not out or whole.matched > out[0].matched):
+                return [whole]
+        return out
+
+    def _peaks(self, name: str, votes: list[tuple[int, int]], slack: int) -> list[int]:
+        """Offsets, those of most votes first, with votes for enough places within ``slack`` for a copy."""
+        size = len(self.templates[name])
+        least = max(1, self.n_seeds[name] - int(size * (1 - self.coverage) + 1e-9))
+        exact = Counter(o for o, _ in votes)
+        near: Counter[int] = Counter()
+        a = b = 0
+        out = []
+        for o in exact:
+            while b < len(votes) and votes[b][0] <= o + slack:
+                near[votes[b][1]] += 1
+                b += 1
+            while votes[a][0] < o - slack:
+                near[votes[a][1]] -= 1
+                if not near[votes[a][1]]:
+                    del near[votes[a][1]]
+                a += 1
+            if len(near) >= least:
+                out.append(o)
+        return sorted(out, key=lambda o: (-exact[o], o))
+
+
 def license_report(docs: DataFrame, templates: dict[str, str] | None = None, coverage: float = COVERAGE) -> DataFrame:
     """One row a document: its best license (or null) and all found, in order of place."""
     scanner = LicenseScanner(templates, coverage)

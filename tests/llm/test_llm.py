@@ -151,6 +151,23 @@ def test_licenses():
     assert s.scan(None) == s.scan("") == s.scan("the software license of permission " * 3) == []
 
 
+@pytest.mark.parametrize("gap", [0, 1, 20, 60, 200])
+def test_copies_of_a_license_that_stand_near(gap):
+    s = licenses.LicenseScanner()
+    mit = licenses.words(licenses.TEMPLATES["MIT"])
+    edited = [w for i, w in enumerate(mit) if i % 14 != 5]
+    filler, around = ["filler"] * gap, ["other"] * 50
+    for copies in ((mit, mit), (mit, mit, mit), (mit, edited), (edited, mit, edited)):
+        text, want = list(around), []
+        for c in copies:
+            want.append((len(text), len(text) + len(c)))
+            text += [*c, *filler]
+        got = s.scan(" ".join([*text, *around]))
+        assert [(f.license, f.start, f.end) for f in got] == [("MIT", *x) for x in want]
+    notice = "Released under the MIT License. "
+    assert [f.start for f in s.scan("x " + notice * 4 + "y")] == [1, 6, 11, 16]
+
+
 def longest_common(a, b):
     row = [0] * (len(b) + 1)
     for x in a:
