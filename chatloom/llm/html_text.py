@@ -6,6 +6,10 @@ for its length and commas to its ancestors, less the further up; a container's
 score is discounted by its link density. The best container is kept with those
 siblings that score well or read as text, and gives its blocks in page order.
 
+An element that is no text (a button, an svg ...) but is not closed ends with its
+parent block; then what follows from its first block on is text after all. A head
+needs no end, as all that may stand in it is no text by itself.
+
 Defined results: null, empty and text-free html give the empty string; broken
 markup is read as browsers do it for paragraphs and list items; nothing is
 capped; repeated rows give repeated results.
@@ -26,7 +30,7 @@ BLOCKS = frozenset(
     "form h1 h2 h3 h4 h5 h6 header hgroup hr html li main menu nav ol p pre section summary table tbody td tfoot th "
     "thead tr ul".split()
 )
-SILENT = frozenset("script style noscript template head title iframe object svg canvas math select button textarea audio video".split())
+SILENT = frozenset("script style noscript template title iframe object svg canvas math select button textarea audio video".split())
 CUT_TAGS = frozenset("nav aside footer form dialog menu fieldset".split())
 CUT_ROLES = frozenset("navigation banner contentinfo complementary search alert dialog alertdialog menu menubar form".split())
 CUT_NAMES = frozenset(
@@ -40,6 +44,10 @@ CONTENT_NAMES = frozenset("article content main body entry post story text".spli
 #: What an open paragraph or item ends at.
 _ENDS = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th")}
 _SCOPE = {"li": ("ul", "ol", "menu"), "dt": ("dl",), "dd": ("dl",), "tr": ("table",), "td": ("tr", "table"), "th": ("tr", "table")}
+#: Silent elements that their own start tag ends, and those that a block's start ends outside of the listed elements.
+_SINGLE = frozenset(("button", "select"))
+_FOREIGN = frozenset(("svg", "math"))
+_FOREIGN_HTML = frozenset(("foreignobject", "annotation-xml"))
 _NAME = re.compile(r"[a-z0-9]+")
 
 
@@ -75,16 +83,64 @@ class Node:
 class TreeBuilder(HTMLParser):
     """Block elements as nodes; inline markup is only text, but for links."""
 
+    # of the others tags are seen, so that one without an end does not take the page along
+    CDATA_CONTENT_ELEMENTS = ("script", "style")
+    RCDATA_CONTENT_ELEMENTS = ()
+
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.root = self.at = Node("html", {}, None)
         self.links = self.silent = 0
         self.silent_tag = ""
+        #: what came since silence began, blocks opened in it, and silent tags that are read as text
+        self.held: list[tuple] = []
+        self.inside: list[str] = []
+        self.plain: set[str] = set()
+
+    def close(self):
+        super().close()
+        while self.silent:
+            self._release()
+
+    def _release(self) -> None:
+        """End a silent element that was not closed; from its first block on, what it held is read again."""
+        tag, held = self.silent_tag, self.held
+        self.silent, self.held, self.inside = 0, [], []
+        at = next((i for i, (kind, x, *_) in enumerate(held) if kind == "start" and x in BLOCKS), len(held))
+        # each tag is read as text within itself, so that a page is read again at most once for each
+        known, self.plain = self.plain, self.plain | {tag}
+        for kind, *args in held[at:]:
+            (self.handle_starttag if kind == "start" else self.handle_endtag if kind == "end" else self.handle_data)(*args)
+        while self.silent:
+            self._release()
+        self.plain = known
+
+    def _is_open(self, tags: tuple, stops: tuple = ()) -> bool:
+        node = self.at
+        while node is not None and node.parent is not None and node.tag not in stops:
+            if node.tag in tags:
+                return True
+            node = node.parent
+        return False
+
+    def _start_ends(self, tag: str) -> bool:
+        """Whether a start tag ends the silent element it stands in, or that element's parent."""
+        if tag == "body" or (tag == self.silent_tag and tag in _SINGLE):
+            return True
+        if self.silent_tag in _FOREIGN:
+            return tag in BLOCKS and _FOREIGN_HTML.isdisjoint(self.inside)
+        return tag in _ENDS and set(_SCOPE[tag]).isdisjoint(self.inside) and self._is_open(_ENDS[tag], _SCOPE[tag])
 
     def handle_starttag(self, tag, attrs):
         if self.silent:
-            self.silent += tag == self.silent_tag
-        elif tag in SILENT:
+            if not self._start_ends(tag):
+                self.held.append(("start", tag, attrs))
+                self.silent += tag == self.silent_tag
+                if tag in BLOCKS or tag in _FOREIGN_HTML:
+                    self.inside.append(tag)
+                return
+            self._release()
+        if tag in SILENT and tag not in self.plain:
             self.silent, self.silent_tag = 1, tag
         elif tag == "a":
             self.links = 1
@@ -107,8 +163,20 @@ class TreeBuilder(HTMLParser):
 
     def handle_endtag(self, tag):
         if self.silent:
-            self.silent -= tag == self.silent_tag
-        elif tag == "a":
+            if tag == self.silent_tag:
+                self.silent -= 1
+                if not self.silent:
+                    self.held, self.inside = [], []
+                    return
+            elif tag in self.inside:
+                while self.inside.pop() != tag:
+                    pass
+            elif tag in ("head", "body", "html") or (tag in BLOCKS and self._is_open((tag,))):
+                self._release()
+            if self.silent:
+                self.held.append(("end", tag))
+                return
+        if tag == "a":
             self.links = 0
         elif tag in BLOCKS and tag not in ("html", "body", "hr"):
             self.links = 0
@@ -126,7 +194,9 @@ class TreeBuilder(HTMLParser):
             node = node.parent
 
     def handle_data(self, data):
-        if not self.silent and data:
+        if self.silent:
+            self.held.append(("data", data))
+        elif data:
             self.at.parts.append((data, bool(self.links)))
 
 

@@ -346,6 +346,21 @@ def test_main_text():
     assert html_text.main_text("<article><p>" + "<div>" * 3000 + "deep") == "deep"
 
 
+def test_elements_without_an_end_do_not_take_the_text():
+    article = "<article><p>First, of all.</p><p>Second, too.</p></article>"
+    text = "First, of all. Second, too."
+    for page in (
+        "<html><head><title>t</title><meta charset=utf-8><body>{}</body></html>", "<head><title>t</title><script>s</script>{}", "<head><title>t<body>{}",
+        "<title>t</title><body>{}", "<head><title>a <p> b</title><noscript><img></noscript>{}", "<head><template><p>no</p></template>{}",
+        *(f"<body><div><{x}>no</div>{{}}</body>" for x in ("button", "select", "iframe", "object", "svg", "math", "canvas", "video", "textarea")),
+        *(f"<body><{x}>no{{}}</body>" for x in ("button", "select", "iframe", "object", "svg")), "<svg><path><title>no</title>{}", "<div><button>no<select><option>no</div>{}",
+        "<ul><li><button>no<li>no</ul>{}<button>no</button>", "<button>no{}<button>no</button>", "<div><svg><foreignObject><div>no</div></foreignObject></svg></div>{}",
+    ):
+        assert html_text.main_text(page.format(article)) == text, page
+    deep = "<button><p><select><p><object><p>" * 3000 + "x"
+    assert "x" in html_text.main_text(deep)
+
+
 def test_pages_have_their_article(spark):
     pages = spark.read.parquet(f"{DATA}/pages.parquet")
     for r in html_text.extract(pages).join(pages.select("page_id", "html"), "page_id").collect():
