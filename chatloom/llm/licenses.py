@@ -8,7 +8,7 @@ anywhere in a long text, and more than once, the places of the template's longer
 words vote for where a copy begins, and each cluster of votes is aligned alone.
 
 Defined results: a license is found if ``COVERAGE`` of its words are aligned in
-one place; of templates found there the one with most aligned words counts; null
+one place; of templates found there the one with most aligned words counts (then the shorter one); null
 and empty texts have none; repeated rows give repeated results. No text is left
 out: a copy needs at least one of the template's longer words, and texts without
 any such word are passed over.
@@ -52,6 +52,17 @@ TEMPLATES = {
         "License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any "
         "later version. This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY"
     ),
+    **{
+        name: (
+            f"This program is free software: you can redistribute it and/or modify it under the terms of the GNU {kind} "
+            f"License as published by the Free Software Foundation, either version {version} of the License, or (at your option) any "
+            "later version. This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY"
+        )
+        for name, kind, version in (
+            ("GPL-2.0", "General Public", "2"), ("LGPL-2.1", "Lesser General Public", "2.1"), ("LGPL-3.0", "Lesser General Public", "3"),
+            ("AGPL-3.0", "Affero General Public", "3"),
+        )
+    },
     "CC-BY-NC-4.0-notice": "Licensed under CC BY-NC 4.0.",
     "CC-BY-4.0": "This work is licensed under a Creative Commons Attribution 4.0 International License.",
     "BSD": (
@@ -170,7 +181,7 @@ class LicenseScanner:
                     continue
                 found += self._cluster(seq, name, given[start:end], slack)
                 start = end
-        found.sort(key=lambda f: (-f.matched, f.start, f.license))
+        found.sort(key=lambda f: (-f.matched, -f.coverage, f.start, f.license))
         kept: list[Found] = []
         for f in found:
             if all(f.end <= k.start or f.start >= k.end for k in kept):

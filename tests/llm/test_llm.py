@@ -168,6 +168,15 @@ def test_copies_of_a_license_that_stand_near(gap):
     assert [f.start for f in s.scan("x " + notice * 4 + "y")] == [1, 6, 11, 16]
 
 
+@pytest.mark.parametrize("name, kind, version", [
+    ("GPL-2.0", "General", "2"), ("GPL-3.0", "General", "3"), ("LGPL-2.1", "Lesser General", "2.1"), ("LGPL-3.0", "Lesser General", "3"), ("AGPL-3.0", "Affero General", "3"),
+])
+def test_gnu_notices_are_told_apart(name, kind, version):
+    text = licenses.TEMPLATES["GPL-3.0"].replace("General", kind).replace("version 3", f"version {version}")
+    (found,) = licenses.LicenseScanner().scan(f"x y {text} z")
+    assert (found.license, found.coverage) == (name, 1.0)
+
+
 def longest_common(a, b):
     row = [0] * (len(b) + 1)
     for x in a:
