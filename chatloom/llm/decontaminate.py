@@ -176,11 +176,18 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 
 def without_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose doc_id has no contaminated row; columns stay as they are."""
-    found = contamination(docs, benchmark).where("contaminated").select(F.col("doc_id").alias("hit_id")).distinct()
+    """The rows of ``docs`` that are not contaminated; columns stay as they are.
+
+    A row's text decides, so rows are known by their doc_id and a digest of their text:
+    clean rows with the doc_id of a contaminated one, or with none, stay.
+    """
+    digest = F.md5(F.col("text").cast("binary"))
+    rows = docs.select(F.struct("doc_id", digest.alias("digest")).alias("doc_id"), "text")
+    found = contamination(rows, benchmark).where("contaminated").select(F.col("doc_id.doc_id").alias("hit_id"), F.col("doc_id.digest").alias("hit_digest")).distinct()
     found = stored(found, "contaminated-ids")
     found = F.broadcast(found) if found.count() <= BROADCAST_IDS else found
-    return docs.join(found, docs["doc_id"].eqNullSafe(found["hit_id"]), "left_anti")
+    same = docs["doc_id"].eqNullSafe(found["hit_id"]) & (F.md5(docs["text"].cast("binary")) == found["hit_digest"])
+    return docs.join(found, same, "left_anti")
 
 
 def without_spans(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

@@ -550,13 +550,19 @@ def join_components(docs: DataFrame, parts: int | None = None) -> DataFrame:
 def one_of_each(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that stand for their component: those of its least doc_id.
 
-    Rows with a null doc_id stay; of rows that share a doc_id the one with the least text stays.
+    Rows with a null doc_id stay. Where a doc_id is repeated, rows are joined by a key of
+    their own, in order of doc_id and text, so unlike rows that share a doc_id both stay.
     """
-    found = stored(join_components(docs).where("doc_id = component_id").select(F.col("doc_id").alias("first_id")), "firsts")
-    kept = docs.join(found.distinct().hint("shuffle_hash"), docs["doc_id"] == F.col("first_id"), "left_semi")
-    if found.groupBy("first_id").count().where("count > 1").limit(1).count():
-        order = Window.partitionBy("doc_id").orderBy("text")
-        kept = kept.select(F.struct(*docs.columns).alias("row"), F.row_number().over(order).alias("at")).where("at = 1").select("row.*")
+    some = docs.where("doc_id is not null")
+    if some.groupBy("doc_id").count().where("count > 1").limit(1).count():
+        # written, so that a row has the same key whenever it is read
+        ordered = some.select(F.struct(*docs.columns).alias("row")).orderBy("row.doc_id", "row.text")
+        rows = stored(ordered.select(F.monotonically_increasing_id().alias("key"), "row"), "keyed-rows")
+        found = join_components(rows.select(F.col("key").alias("doc_id"), "row.text")).where("doc_id = component_id").select(F.col("doc_id").alias("first_key"))
+        kept = rows.join(stored(found, "firsts").hint("shuffle_hash"), rows["key"] == F.col("first_key"), "left_semi").select("row.*")
+    else:
+        found = stored(join_components(docs).where("doc_id = component_id").select(F.col("doc_id").alias("first_id")), "firsts")
+        kept = docs.join(found.hint("shuffle_hash"), docs["doc_id"] == F.col("first_id"), "left_semi")
     return kept.unionByName(docs.where("doc_id is null"))
 
 

@@ -442,6 +442,17 @@ def test_contamination(spark, docs, odd):
     assert cut[503] == "oneone" and cut[500] == "x y" and cut[502] == "οδοσ é"
 
 
+def test_stages_decide_by_row(spark):
+    passage = " ".join(f"w{i}" for i in range(12))
+    b = spark.createDataFrame([(1, passage)], "item_id bigint, text string")
+    rows = [(None, f"a {passage}"), (None, "clean without an id"), (None, None), (1, f"{passage} b"), (1, "clean beside a hit one"), (2, "other")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    assert sorted(map(tuple, decontaminate.without_contaminated(df, b).collect()), key=str) == sorted((rows[i] for i in (1, 2, 4, 5)), key=str)
+    rows = [(3, "one two three four five six"), (3, "seven eight nine ten eleven"), (3, "seven eight nine ten eleven"), (4, "Seven eight nine ten eleven"), (5, "x"), (None, "x")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    assert sorted(map(tuple, ngram_join.one_of_each(df).collect()), key=str) == sorted((rows[i] for i in (0, 1, 4, 5)), key=str)
+
+
 def test_decontamination_runs_no_python(docs, spark):
     plan = decontaminate.contamination(docs, spark.read.parquet(f"{DATA}/benchmark.parquet"))._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
