@@ -8,84 +8,73 @@ neighbourhood of others makes up for them: a segment that may differ by one
 element counts for two. A set's signatures are its non-empty segments, and for
 some segments the segment less each one of its elements as well.
 
-Signatures travel as compressed blocks, one for each batch and partition, not as
+Signatures travel as compressed blocks, one for each run of texts and part, not as
 rows. Sets that share a signature form a bucket. Small buckets give their pairs;
-larger ones first only pairs with their least member. These are verified exactly
-and joined to components. In buckets that still span components, cost-based
-allocation drops each set's fullest buckets as far as its spare segments go. Sets in
-what remains are searched again, over the universe without the shingles that
-unlinked pairs were found to share (passages that many texts have); the pairs
-between components that this gives are verified too. So no link between different
-components is left out, and no pair within one is made.
+larger ones first only pairs with their least member. These are verified exactly, on
+the words themselves, and joined to components. In buckets that still span components,
+cost-based allocation decides which units of a set are kept: the fullest buckets go, as
+far as its spare segments reach, and a segment with deletions counts for two. Sets in
+what remains are searched again, over the universe without the shingles that unlinked
+pairs were found to share (passages that many texts have); the pairs between components
+that this gives are verified too. So no link between different components is left
+out, and no pair within one is made. Sets of which too little is left meet on
+prefixes of their shingles instead, and a parity bitmap tells most unlike ones apart.
 
 Defined results: null and empty texts have no shingles and stand alone; fewer
 than five words are one shingle; rows with a null doc_id stand alone with a null
-component; rows that share a doc_id are one node of the graph; only doc_id and
-text are read.
+component; rows that share a doc_id are one node of the graph, linked with what any of
+them is linked with; ties have no bearing, as components are named by their least
+doc_id; texts of any length are taken whole, one beyond a run's size as a run of its
+own; an empty table gives no rows; only doc_id and text are read.
 """
 
 from __future__ import annotations
 
 import struct
 from collections.abc import Iterable, Iterator
-from functools import cache
+from functools import cache, reduce
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import bound_batches, map_batches, stored
+from .common import bound_batches, map_arrow, stored
+from .words import mix, shingle_sets
 
 WORDS = 5
 #: Buckets of up to this many sets give all their pairs.
 SMALL = 4
 #: Bands of sets up to this size have twice the segments that they need, others an eighth more.
 SMALL_SETS = 200
-#: Words whose hashes a worker remembers.
-MEMO_WORDS = 1_000_000
 #: Members verified against one copy of their partner's text.
-SALT_ROWS = 2_000
+SALT_ROWS = 200
 #: Shingles that this many unlinked pairs share are left out of the second search; at most so many.
 COMMON_PAIRS = 8
 COMMON_SHINGLES = 500_000
-_ODD = np.uint64(0x9E3779B97F4A7C15)
-_MUL = np.uint64(0xBF58476D1CE4E5B9)
+#: Signatures of one part, which a task holds at once, and those that a mapper gathers before it writes them.
+PART_SHINGLES = 2_000_000
+FLUSH_SIGNATURES, FLUSH_TEXTS = 1_500_000, 30_000
+#: Words of 64 bits in the parity bitmap of a set.
+BITMAP = 8
 
 
-class _Hashes(dict):
-    """Word -> 64-bit hash, forgetting all when it has grown too large."""
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= MEMO_WORDS:
-            self.clear()
-        value = self[word] = xxhash.xxh3_64_intdigest(word)
-        return value
-
-
-_HASHES = _Hashes()
+def shingles(text: str | None) -> np.ndarray:
+    """Sorted 64-bit hashes of the distinct word 5-grams of a whole text."""
+    return next(shingle_sets(pa.array([text], pa.string()), WORDS))
 
 
-def mix(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(30))) * _MUL
-    x = (x ^ (x >> np.uint64(27))) * _ODD
-    return x ^ (x >> np.uint64(31))
+def windows(text: str) -> set[tuple[bytes, ...]]:
+    """The distinct word 5-grams of a whole text themselves."""
+    words = text.encode().lower().split()
+    return set(zip(*(words[k:] for k in range(WORDS)), strict=False)) if len(words) > WORDS else {tuple(words)}
 
 
-def shingles(text: str | None) -> np.ndarray:
-    """Sorted 64-bit hashes of the distinct word 5-grams of a whole text."""
-    words = (text or "").encode().lower().split()
-    if not words:
-        return np.zeros(0, np.uint64)
-    h = np.fromiter(map(_HASHES.__getitem__, words), np.uint64, len(words))
-    size = min(WORDS, len(h))
-    out = h[: len(h) - size + 1].copy()
-    for k in range(1, size):
-        out = out * _ODD + h[k : len(h) - size + 1 + k]
-    # short texts are another kind of shingle than windows of five
-    return np.unique(mix(out + np.uint64(size)))
+def linked(a: set, b: set) -> bool:
+    """Whether two sets of windows are at least 80 % alike."""
+    both = len(a & b)
+    return both > 0 and 100 * both >= 80 * (len(a) + len(b) - both)
 
 
 def similar(a: np.ndarray, b: np.ndarray) -> bool:
@@ -197,47 +186,49 @@ def _signature_blocks(docs: DataFrame, parts: int, common: np.ndarray | None = N
     """(part, block): the signatures of a batch of documents that belong to a part.
 
     Shingles in ``common`` are left out of every set alike: linked sets differ in no
-    more of the others, so the pigeonhole holds for these. Part -1 lists documents
-    whose units do not suffice.
+    more of the others, so the pigeonhole holds for these. Parts below 0 list documents
+    whose units do not suffice. A mapper gathers many texts before it writes a block for
+    each part, so blocks stay long where there are many parts.
     """
     common = np.zeros(0, np.uint64) if common is None else common
 
+    def blocks(ids: list[int], sizes: list[int], spare: list[tuple[int, int]], found: list[tuple]) -> pa.RecordBatch:
+        out_part, out_block = [], []
+        short = sorted({i for i, units in zip(ids, spare, strict=True) if min(units) < 0})
+        if found:
+            sig, seg, owner = (np.concatenate(x) for x in zip(*found, strict=True))
+            docs_, sizes_, spare_ = np.array(ids, np.int64), np.array(sizes, np.uint32), np.array(spare, np.int16).T.copy()
+            part = (sig >> np.uint64(40)) % np.uint64(parts)
+            order = np.argsort(part, kind="stable")
+            sig, owner, seg, part = sig[order], owner[order], seg[order], part[order]
+            edges = np.append(np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]])), len(part))
+            for x, y in zip(edges[:-1], edges[1:], strict=True):
+                out_part.append(int(part[x]))
+                out_block.append(_pack(sig[x:y], owner[x:y], seg[x:y], docs_, sizes_, spare_))
+        if short:
+            out_part.append(-1 - short[0] % parts)
+            out_block.append(np.array(short, np.int64).tobytes())
+        return pa.RecordBatch.from_pydict({"part": pa.array(out_part, pa.int64()), "block": pa.array(out_block, pa.binary())})
+
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids, sizes, spare, found, held = [], [], [], [], 0
         for batch in batches:
-            for a in range(0, batch.num_rows, 2048):
-                rows = batch.slice(a, 2048)
-                ids = np.array(rows.column(0).to_pylist(), np.int64)
-                sizes, spare = np.zeros(len(ids), np.uint32), np.zeros((2, len(ids)), np.int16)
-                sigs, who, segs, short = [], [], [], []
-                for i, text in enumerate(rows.column(1).to_pylist()):
-                    s = shingles(text)
-                    size = sizes[i] = len(s)
-                    s = _rare(s, common)
-                    # up to three shingles, linked sets are equal; four lie within five at 80 %
-                    for k in bands(int(size)) if size > 3 else ():
-                        own = bands(int(size))[0]
-                        found, numbers, units = signatures(s, k, int(size))
-                        side = k != own
-                        spare[int(side), i] = min(units, 30_000)
-                        if units < 0:
-                            short.append(ids[i])
-                        sigs.append(found)
-                        segs.append(numbers)
-                        who.append(np.full(len(found), i | side << 15, np.uint16))
-                out_part, out_block = [], []
-                if sigs:
-                    sig, owner, seg = np.concatenate(sigs), np.concatenate(who), np.concatenate(segs)
-                    part = (sig >> np.uint64(40)) % np.uint64(parts)
-                    order = np.argsort(part, kind="stable")
-                    sig, owner, seg, part = sig[order], owner[order], seg[order], part[order]
-                    edges = np.append(np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]])), len(part))
-                    for x, y in zip(edges[:-1], edges[1:], strict=True):
-                        out_part.append(int(part[x]))
-                        out_block.append(_pack(sig[x:y], owner[x:y], seg[x:y], ids, sizes, spare))
-                if short:
-                    out_part.append(-1)
-                    out_block.append(np.array(sorted(set(short)), np.int64).tobytes())
-                yield pa.RecordBatch.from_pydict({"part": pa.array(out_part, pa.int64()), "block": pa.array(out_block, pa.binary())})
+            for key, s in zip(batch.column(0).to_pylist(), shingle_sets(batch.column(1), WORDS), strict=True):
+                size, units = len(s), [0, 0]
+                s = _rare(s, common)
+                # up to three shingles, linked sets are equal; four lie within five at 80 %
+                for side, k in enumerate(bands(size) if size > 3 else ()):
+                    sigs, numbers, units[side] = signatures(s, k, size)
+                    units[side] = min(units[side], 30_000)
+                    found.append((sigs, numbers, np.full(len(sigs), len(ids) | side << 15, np.uint16)))
+                    held += len(sigs)
+                ids.append(key)
+                sizes.append(size)
+                spare.append(tuple(units))
+                if held >= FLUSH_SIGNATURES or len(ids) >= FLUSH_TEXTS:
+                    yield blocks(ids, sizes, spare, found)
+                    ids, sizes, spare, found, held = [], [], [], [], 0
+        yield blocks(ids, sizes, spare, found)
 
     return docs.select("doc_id", "text").mapInArrow(run, "part bigint, block binary")
 
@@ -297,7 +288,7 @@ def _buckets(blocks: DataFrame, parts: int) -> DataFrame:
         at, held = None, []
         for batch in batches:
             for part, block in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                if part == -1:
+                if part < 0:
                     ids = np.frombuffer(block.as_py(), np.int64)
                     zero = np.zeros(len(ids), np.int32)
                     yield pa.RecordBatch.from_pydict(
@@ -312,7 +303,9 @@ def _buckets(blocks: DataFrame, parts: int) -> DataFrame:
         if held:
             yield from close(held)
 
-    return blocks.repartition(parts, "part").sortWithinPartitions("part").mapInArrow(run, BUCKETS)
+    # a task closes its parts one after another, so more parts than tasks take no more memory
+    tasks = min(parts, max(8, int(blocks.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
+    return blocks.repartition(tasks, "part").sortWithinPartitions("part").mapInArrow(run, BUCKETS)
 
 
 # -- verification and components -----------------------------------------
@@ -338,7 +331,7 @@ def _verified(pairs: DataFrame, docs: DataFrame, label: str = "verified") -> tup
     rows = pivots.unionByName(members).repartition("a", "salt").sortWithinPartitions("a", "salt", F.asc_nulls_first("b"))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, pivot = None, np.zeros(0, np.uint64)
+        at, pivot, pivot_text, pivot_words = None, np.zeros(0, np.uint64), "", None
         shared: list[np.ndarray] = []
         held = 0
 
@@ -349,15 +342,17 @@ def _verified(pairs: DataFrame, docs: DataFrame, label: str = "verified") -> tup
 
         for batch in batches:
             out_a, out_b = [], []
-            for a, b, text in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
+            for a, b, text, own in zip(*(batch.column(i).to_pylist() for i in range(3)), shingle_sets(batch.column(2), WORDS), strict=True):
                 if b is None:
-                    at, pivot = a, shingles(text)
+                    at, pivot, pivot_text, pivot_words = a, own, text, None
                 elif a == at:
-                    own = shingles(text)
                     both = np.intersect1d(pivot, own, assume_unique=True)
                     if len(both) and 100 * len(both) >= 80 * (len(pivot) + len(own) - len(both)):
-                        out_a.append(a)
-                        out_b.append(b)
+                        # hashes are linked: the words themselves decide
+                        pivot_words = pivot_words or windows(pivot_text)
+                        if linked(pivot_words, windows(text)):
+                            out_a.append(a)
+                            out_b.append(b)
                     else:
                         shared.append(both)
                         held += len(both)
@@ -442,6 +437,12 @@ def _between(pairs: DataFrame, found: DataFrame) -> DataFrame:
     return rows.where(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b")
 
 
+def parity(s: np.ndarray) -> np.ndarray:
+    """The parity bitmap of a set: two bitmaps differ in no more bits than their sets in elements."""
+    bits = np.bincount((s & np.uint64(64 * BITMAP - 1)).astype(np.int64), minlength=64 * BITMAP) & 1
+    return np.packbits(bits.astype(np.uint8)).view(np.int64)
+
+
 def _short_pairs(docs: DataFrame, short: DataFrame, common: np.ndarray, found: DataFrame | None = None) -> DataFrame:
     """Partners in other components of sets without enough units, which are of a set's size
     or a neighbouring one.
@@ -449,33 +450,34 @@ def _short_pairs(docs: DataFrame, short: DataFrame, common: np.ndarray, found: D
     Two linked sets share at least four fifths of the larger one. What common shingles
     can't make up they share of the others, so the least one that they share
     lies in a prefix of these in both; or both are common shingles for four fifths, and the
-    least shared one lies in a prefix of all.
+    least shared one lies in a prefix of all. Of the sets that meet so, those whose parity
+    bitmaps differ in more bits than linked sets have different elements are no pair.
     """
     band = lambda n: int(np.log(n) / np.log(1.25))
+    bits = [f"bits{i}" for i in range(BITMAP)]
 
     def tokens(probe: bool):
-        def step(rows: dict[str, list]) -> dict[str, list]:
-            out: dict[str, list] = {"id": [], "label": [], "n": [], "shared": [], "band": [], "mostly": [], "token": []}
-            for key, label, text in zip(rows["doc_id"], rows["label"], rows["text"], strict=True):
-                s = shingles(text)
+        def step(ids: pa.Array, labels: pa.Array, texts: pa.Array) -> Iterator[dict[str, object]]:
+            rows, own_tokens, maps = [], [], []
+            for key, label, s in zip(ids.to_pylist(), labels.to_pylist(), shingle_sets(texts, WORDS), strict=True):
                 if not len(s):
                     continue
                 rare = _rare(s, common)
                 need, at = -(-4 * len(s) // 5), band(len(s))
                 mostly = len(s) - len(rare) >= need
-                sides = [(False, rare[: len(rare) - max(need - len(s) + len(rare), 1) + 1])]
+                sides = [(0, rare[: len(rare) - max(need - len(s) + len(rare), 1) + 1])]
                 if mostly:
-                    sides.append((True, s[: len(s) - need + 1]))
+                    sides.append((1, s[: len(s) - need + 1]))
+                map_ = parity(s)
                 for near in (at - 1, at, at + 1) if probe else (at,):
                     for kind, own in sides:
-                        out["id"] += [key] * len(own)
-                        out["label"] += [label] * len(own)
-                        out["n"] += [len(s)] * len(own)
-                        out["shared"] += [len(s) - len(rare)] * len(own)
-                        out["band"] += [near] * len(own)
-                        out["mostly"] += [kind] * len(own)
-                        out["token"] += own.view(np.int64).tolist()
-            return out
+                        rows.append((key, label, len(s), len(s) - len(rare), near, kind))
+                        own_tokens.append(own.view(np.int64))
+                        maps.append(map_)
+            if rows:
+                times = [len(x) for x in own_tokens]
+                out = dict(zip(("id", "label", "n", "shared", "band", "mostly"), np.repeat(np.array(rows, np.int64), times, 0).T, strict=True))
+                yield out | {"token": np.concatenate(own_tokens)} | dict(zip(bits, np.repeat(np.stack(maps), times, 0).T, strict=True))
 
         return step
 
@@ -483,43 +485,84 @@ def _short_pairs(docs: DataFrame, short: DataFrame, common: np.ndarray, found: D
         docs = docs.select("doc_id", "text", F.col("doc_id").alias("label"))
     else:
         docs = docs.join(found, docs["doc_id"] == found["node"], "left").select("doc_id", "text", F.coalesce("component", "doc_id").alias("label"))
-    schema = "id bigint, label bigint, n bigint, shared bigint, band int, mostly boolean, token bigint"
+    names = ["id", "label", "n", "shared", "band", "mostly", "token", *bits]
+    schema = ", ".join(f"{x} bigint" for x in names)
     probes = docs.join(short, docs["doc_id"] == short["a"], "left_semi")
-    probe = map_batches(probes, ["doc_id", "label", "text"], schema, tokens(True)).toDF("p", "plabel", "pn", "ps", "pband", "pmostly", "ptoken")
-    every = map_batches(docs, ["doc_id", "label", "text"], schema, tokens(False))
+    probe = map_arrow(probes, ["doc_id", "label", "text"], schema, tokens(True)).toDF(*(f"p{x}" for x in names))
+    every = map_arrow(docs, ["doc_id", "label", "text"], schema, tokens(False))
     # without an uncommon shingle in common, two sets share no more than their common ones
-    enough = ~F.col("mostly") | (9 * F.least("ps", "shared") >= 4 * (F.col("pn") + F.col("n")))
+    total = F.col("pn") + F.col("n")
+    enough = (F.col("mostly") == 0) | (9 * F.least("pshared", "shared") >= 4 * total)
+    near = 9 * reduce(lambda x, y: x + y, [F.bit_count(F.col(b).bitwiseXOR(F.col(f"p{b}"))) for b in bits]) <= total
     same = (F.col("pband") == F.col("band")) & (F.col("pmostly") == F.col("mostly")) & (F.col("ptoken") == F.col("token"))
-    met = probe.join(every, same & enough & (F.col("plabel") != F.col("label")))
-    return met.select(F.least("p", "id").alias("a"), F.greatest("p", "id").alias("b")).distinct()
+    met = probe.join(every, same & enough & near & (F.col("plabel") != F.col("label")))
+    return met.select(F.least("pid", "id").alias("a"), F.greatest("pid", "id").alias("b")).distinct()
 
 
-def join_components(docs: DataFrame, parts: int | None = None) -> DataFrame:
-    """doc_id, n_shingles and component_id of every row of ``docs``."""
-    spark = docs.sparkSession
-    bound_batches(spark)
-    parts = parts or max(8, int(spark.conf.get("spark.sql.shuffle.partitions")))
+def _sets(docs: DataFrame) -> DataFrame:
+    """doc_id, n_shingles and two 64-bit sums over the shingles of every row, stored."""
 
-    def digest(rows: dict[str, list]) -> dict[str, list]:
-        sets = [shingles(t) for t in rows["text"]]
+    def step(ids: pa.Array, texts: pa.Array) -> Iterator[dict[str, object]]:
+        sets = list(shingle_sets(texts, WORDS))
         total = lambda s: int(s.sum(dtype=np.uint64).view(np.int64)) if len(s) else 0
-        return {
-            "doc_id": rows["doc_id"], "n_shingles": [len(s) for s in sets],
-            "p": [total(s) for s in sets], "q": [total(mix(s)) for s in sets],
-        }
+        yield {"doc_id": ids, "n_shingles": [len(s) for s in sets], "p": [total(s) for s in sets], "q": [total(mix(s)) for s in sets]}
+
+    return stored(map_arrow(docs, ["doc_id", "text"], "doc_id bigint, n_shingles bigint, p bigint, q bigint", step), "sets")
+
+
+def _keyed(docs: DataFrame) -> DataFrame:
+    """(key, row): the rows of ``docs`` that have a doc_id, with a key of their own in order of
+    doc_id and text; written, so that a row has the same key whenever it is read."""
+    ordered = docs.where("doc_id is not null").select(F.struct(*docs.columns).alias("row")).orderBy("row.doc_id", "row.text")
+    return stored(ordered.select(F.monotonically_increasing_id().alias("key"), "row"), "keyed-rows")
+
 
-    sets = stored(map_batches(docs, ["doc_id", "text"], "doc_id bigint, n_shingles bigint, p bigint, q bigint", digest), "sets")
+def _repeats(ids: DataFrame) -> bool:
+    """Whether a doc_id is that of more than one row."""
+    return bool(ids.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").limit(1).count())
+
+
+def join_components(docs: DataFrame, parts: int | None = None) -> DataFrame:
+    """doc_id, n_shingles and component_id of every row of ``docs``."""
+    docs = docs.select("doc_id", "text")
+    bound_batches(docs.sparkSession)
+    sets = _sets(docs)
+    if not _repeats(sets):
+        return _components_of(docs, sets, parts)
+    # rows that share a doc_id are nodes of their own, each linked with the first of them
+    rows = _keyed(docs)
+    keys = rows.select("key", F.col("row.doc_id").alias("doc_id"))
+    firsts = keys.groupBy("doc_id").agg(F.min("key").alias("b"))
+    same = stored(keys.join(firsts, "doc_id").where("key > b").select(F.col("key").alias("a"), "b"), "same-id")
+    texts = rows.select(F.col("key").alias("doc_id"), "row.text")
+    found = _components_of(texts, _sets(texts), parts, same).toDF("key", "n_shingles", "low")
+    named = found.join(keys, "key").join(keys.toDF("low", "component_id"), "low")
+    alone = sets.where("doc_id is null").select("doc_id", "n_shingles", F.lit(None).cast("bigint").alias("component_id"))
+    return named.select("doc_id", "n_shingles", "component_id").unionByName(alone)
+
+
+def _components_of(docs: DataFrame, sets: DataFrame, parts: int | None = None, given: DataFrame | None = None) -> DataFrame:
+    """As ``join_components`` for rows whose doc_ids differ; ``given`` are links (a, b) that hold in any case."""
+    spark = docs.sparkSession
     some = sets.where("n_shingles > 0 and doc_id is not null")
     folded = stored(some.groupBy("n_shingles", "p", "q").agg(F.min("doc_id").alias("least")), "folded")
+    if parts is None:
+        shingles_ = folded.agg(F.sum("n_shingles")).first()[0] or 0
+        parts = max(8, int(spark.conf.get("spark.sql.shuffle.partitions")), shingles_ // PART_SHINGLES)
     # texts are read again, one of each set; they move once, hashed on the side of the ids
     firsts = folded.where("n_shingles > 3").select("least")
-    texts = docs.select("doc_id", "text").join(firsts.hint("shuffle_hash"), docs["doc_id"] == firsts["least"], "left_semi")
+    texts = docs.join(firsts.hint("shuffle_hash"), docs["doc_id"] == firsts["least"], "left_semi")
     found = stored(_buckets(_signature_blocks(texts, parts), parts), "buckets")
     short = found.where("kind = 2").select("a").distinct()
     pairs = found.where("kind = 0").select("a", "b")
     if short.limit(1).count():
-        pairs = pairs.unionByName(_short_pairs(docs, short, np.zeros(0, np.uint64)))
+        pairs = pairs.unionByName(_short_pairs(texts, short, np.zeros(0, np.uint64)))
     links, shared = _verified(pairs, docs)
+    if given is not None:
+        own = sets.join(folded, ["n_shingles", "p", "q"]).select(F.col("doc_id").alias("id"), "least")
+        ends = [own.select(F.col("id").alias(f"id_{x}"), F.col("least").alias(f"least_{x}")) for x in "ab"]
+        given = given.join(ends[0], F.col("a") == F.col("id_a"), "left").join(ends[1], F.col("b") == F.col("id_b"), "left")
+        links = links.unionByName(given.select(F.coalesce("least_a", "a").alias("a"), F.coalesce("least_b", "b").alias("b")))
     reached = stored(components(links), "components")
     rows = _open_rows(found.where("kind = 1"), reached)
     opened = stored(_open_docs(rows), "open-documents")
@@ -527,7 +570,7 @@ def join_components(docs: DataFrame, parts: int | None = None) -> DataFrame:
         # the sets left are searched again, without the shingles that unlinked sets share
         top = shared.groupBy("shingle").agg(F.sum("n").alias("n")).where(F.col("n") >= COMMON_PAIRS).orderBy(F.desc("n"), "shingle").limit(COMMON_SHINGLES)
         common = np.sort(np.array([r.shingle for r in top.collect()], np.int64).view(np.uint64))
-        left = docs.select("doc_id", "text").join(opened.hint("shuffle_hash"), docs["doc_id"] == opened["open_id"], "left_semi")
+        left = docs.join(opened.hint("shuffle_hash"), docs["doc_id"] == opened["open_id"], "left_semi")
         left = stored(left, "open-texts")
         again = stored(_buckets(_signature_blocks(left, parts, common), parts), "buckets")
         short = again.where("kind = 2").select("a").distinct()
@@ -553,17 +596,15 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     Rows with a null doc_id stay. Where a doc_id is repeated, rows are joined by a key of
     their own, in order of doc_id and text, so unlike rows that share a doc_id both stay.
     """
-    some = docs.where("doc_id is not null")
-    if some.groupBy("doc_id").count().where("count > 1").limit(1).count():
-        # written, so that a row has the same key whenever it is read
-        ordered = some.select(F.struct(*docs.columns).alias("row")).orderBy("row.doc_id", "row.text")
-        rows = stored(ordered.select(F.monotonically_increasing_id().alias("key"), "row"), "keyed-rows")
-        found = join_components(rows.select(F.col("key").alias("doc_id"), "row.text")).where("doc_id = component_id").select(F.col("doc_id").alias("first_key"))
-        kept = rows.join(stored(found, "firsts").hint("shuffle_hash"), rows["key"] == F.col("first_key"), "left_semi").select("row.*")
+    if _repeats(docs.select("doc_id")):
+        rows, id_ = _keyed(docs), "key"
+        found = join_components(rows.select(F.col("key").alias("doc_id"), "row.text"))
     else:
-        found = stored(join_components(docs).where("doc_id = component_id").select(F.col("doc_id").alias("first_id")), "firsts")
-        kept = docs.join(found.hint("shuffle_hash"), docs["doc_id"] == F.col("first_id"), "left_semi")
-    return kept.unionByName(docs.where("doc_id is null"))
+        rows, id_ = docs, "doc_id"
+        found = join_components(docs)
+    first = stored(found.where("doc_id = component_id").select(F.col("doc_id").alias("first")), "firsts").hint("shuffle_hash")
+    kept = rows.join(first, rows[id_] == first["first"], "left_semi")
+    return (kept if id_ == "doc_id" else kept.select("row.*")).unionByName(docs.where("doc_id is null"))
 
 
 ORACLE_SQL = r"""
