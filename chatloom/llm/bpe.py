@@ -15,19 +15,28 @@ are read, so extra columns never clash.
 
 from __future__ import annotations
 
+import gc
 import hashlib
 import json
 import re
 from array import array
 from functools import lru_cache
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
-from .common import map_batches
+from .common import map_arrow, map_batches
+from .words import IS_SPACE, text_bytes
 
-#: Words whose ids a worker remembers before it starts anew.
-MEMO_WORDS = 900_000
+#: Words whose ids a worker remembers before it forgets those that were not asked for since as many were new.
+MEMO_WORDS = 450_000
 MEMO_PAIRS = 1_000_000
+#: Steps of the automaton that a worker remembers.
+MEMO_STEPS = 2_000_000
+#: Letters of the longest piece whose ids are remembered.
+MEMO_LETTERS = 64
 
 # The letters, numbers and spaces among the code points below
 # U+0250, for the split pattern of byte-level BPE. Texts with other code points
@@ -42,9 +51,13 @@ _SPLIT = re.compile(
 )
 
 
-def _led(word: str) -> bool:
-    """Whether a word that starts with a space goes on with anything but a space."""
-    return len(word) > 1 and not word[1].isspace()
+#: The spaces beyond ASCII that the split pattern knows, as UTF-8, and the bytes that they begin with.
+_WIDE_SPACES = [int.from_bytes(chr(c).encode()) for c in (0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)]
+#: Latin letters beyond ASCII, all as one of ASCII.
+_LATIN = dict.fromkeys([c for c in range(0x80, 0x250) if chr(c).isalpha()], "a")
+_IS_STOP = np.isin(np.arange(256), list(b".,;:!?"))
+_IS_LETTER = np.isin(np.arange(256), [*range(65, 91), *range(97, 123)])
+_SPACE_LEADS = np.array([0xC2, 0xE1, 0xE2, 0xE3], np.uint8)
 
 
 def _byte_letters() -> dict[str, int]:
@@ -54,19 +67,6 @@ def _byte_letters() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
-class _Pieces(dict):
-    """Ids by piece; pieces that are asked for in vain are noted, and None is given."""
-
-    def __init__(self):
-        super().__init__()
-        self.missing: set[str] = set()
-        self.n_misses = 0
-
-    def __missing__(self, piece: str) -> None:
-        self.missing.add(piece)
-        self.n_misses += 1
-
-
 class TrieBpe:
     """A byte-level BPE vocabulary with its trie encoder."""
 
@@ -97,8 +97,9 @@ class TrieBpe:
             self.made.setdefault(c, (rank, a, b))
         self._spines: tuple[dict, dict] = ({}, {})
         self._follows: dict[int, bool] = {}
+        #: Ids by word or piece of text (a word with what stands beside it), the latest and those before.
         self.memo: dict[str, bytes] = {}
-        self.pieces = _Pieces()
+        self.before: dict[str, bytes] = {}
         self._library = None
         self._added = re.compile("(" + "|".join(map(re.escape, self.added)) + ")") if self.added else None
 
@@ -172,7 +173,7 @@ class TrieBpe:
         computed.
         """
         step, back, ends = self.step, self.back, self.ends
-        known, sizes, follows = self._follows, self.sizes, self.follows
+        known, sizes, follows, memo = self._follows, self.sizes, self.follows, self.memo
         if len(known) > MEMO_PAIRS:
             known.clear()
         # by depth: the last token of the prefix, and the automaton's node
@@ -186,11 +187,15 @@ class TrieBpe:
             del last[shared + 1 :], nodes[shared + 1 :]
             node = nodes[shared]
             for depth in range(shared + 1, len(path) + 1):
-                byte = path[depth - 1]
-                child = step.get(node << 8 | byte)
-                while child is None:
-                    node = back[node]
-                    child = step.get(node << 8 | byte)
+                key = node << 8 | path[depth - 1]
+                child = step.get(key)
+                if child is None:
+                    while child is None:
+                        node = back[node]
+                        child = step.get(node << 8 | key & 255)
+                    # found once, it is a step like any other
+                    if len(step) < MEMO_STEPS:
+                        step[key] = child
                 node = child
                 nodes.append(node)
                 # the one token that ends here and may follow the state it leaves
@@ -205,15 +210,13 @@ class TrieBpe:
                     if fits:
                         break
                 last.append(token)
-            tokens, depth = array("I"), len(path)
+            tokens, depth = [], len(path)
             while depth:
-                tokens.append(last[depth])
-                depth -= sizes[last[depth]]
+                token = last[depth]
+                tokens.append(token)
+                depth -= sizes[token]
             tokens.reverse()
-            if word[0] == " " and _led(word):
-                self.pieces[word[1:]] = tokens.tobytes()
-            else:
-                self.memo[word] = tokens.tobytes()
+            memo[word] = array("I", tokens).tobytes()
             before = path
 
     # -- texts -----------------------------------------------------------
@@ -227,61 +230,122 @@ class TrieBpe:
             self._library = Tokenizer.from_file(self.path).pre_tokenizer
         return [text[a:b] for _, (a, b) in self._library.pre_tokenize_str(text)]
 
-    def encode(self, texts: list[str | None], specials: bool = True) -> list[bytes]:
-        """The ids of each text as little-endian unsigned 32-bit integers.
+    def _cuts(self, raw: np.ndarray, places: np.ndarray, marked: np.ndarray) -> np.ndarray:
+        """The places where the pieces of the texts begin, in order.
 
-        ``specials=False`` takes the strings of added tokens as ordinary text. A
-        space before anything but a space starts a new word in every case, so texts
-        are cut there first, and the ids of these pieces are remembered.
+        No word goes on over the last of a run of spaces that something else follows, so
+        texts are cut before it, and none goes on from a letter to a stop. Texts with an
+        added token (``marked``) or with spaces beyond ASCII are one piece each.
+        """
+        space = IS_SPACE[raw]
+        cut = space.copy()
+        cut[:-1] &= ~space[1:]
+        cut[-1] = False
+        first, last = places[:-1], places[1:]
+        some = last > first
+        # spaces at a text's end, which the next text's first letter does not end
+        ends = last[some] - 1
+        cut[ends] = False
+        cut[first[some]] = True
+        stops = np.flatnonzero(_IS_STOP[raw])
+        stops = stops[stops > 1]
+        before = raw[stops - 1]
+        # a Latin letter of one byte, or of two
+        cut[stops[_IS_LETTER[before] | (raw[stops - 2] == 0xC3) & (before != 0x97) & (before != 0xB7)]] = True
+        lead = np.flatnonzero(np.isin(raw, _SPACE_LEADS))
+        lead = lead[lead + 2 < len(raw)] if len(lead) else lead
+        if len(lead):
+            code = raw[lead].astype(np.int64) << 16 | raw[lead + 1].astype(np.int64) << 8 | raw[lead + 2]
+            wide = np.isin(code, _WIDE_SPACES) | np.isin(code >> 8, _WIDE_SPACES)
+            marked = marked.copy()
+            marked[np.searchsorted(places, lead[wide], "right") - 1] = True
+        if len(raw) > 1 and int(raw[-2]) << 8 | int(raw[-1]) in _WIDE_SPACES:
+            marked = marked.copy()
+            marked[-1 - int(np.argmax(some[::-1]))] = True
+        for i in np.flatnonzero(marked & some):
+            cut[first[i] + 1 : last[i]] = False
+        return np.flatnonzero(cut)
+
+    def encode_array(self, texts: pa.Array, specials: bool = True) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts (u32), and the n + 1 places where the texts' ids begin.
+
+        ``specials=False`` takes the strings of added tokens as ordinary text. Each distinct
+        piece of the texts is looked up once, and the ids of all are taken by its number.
         """
-        if len(self.memo) + len(self.pieces) > MEMO_WORDS:
-            self.memo.clear()
-            self.pieces.clear()
-        memo, pieces = self.memo, self.pieces
-        parts: list[tuple[list[str | int], list[str], list[bytes | None], bool]] = []
+        if len(self.memo) > MEMO_WORDS:
+            self.before, self.memo = self.memo, {}
+        on = gc.isenabled()
+        # a million new strings are no garbage
+        gc.disable()
+        try:
+            return self._encode_array(texts, specials)
+        finally:
+            if on:
+                gc.enable()
+
+    def _encode_array(self, texts: pa.Array, specials: bool) -> tuple[np.ndarray, np.ndarray]:
+        raw, places = text_bytes(texts)
+        if not len(raw):
+            return np.zeros(0, "<u4"), np.zeros(len(places), np.int64)
+        marked = np.zeros(len(texts), bool)
+        for token in self.added if specials else ():
+            marked |= pc.fill_null(pc.match_substring(texts, token), False).to_numpy(zero_copy_only=False)
+        begins = self._cuts(raw, places, marked)
+        edges = np.append(begins, len(raw)).astype(np.int64)
+        pieces = pa.Array.from_buffers(pa.large_string(), len(begins), [None, pa.py_buffer(edges), pa.py_buffer(np.ascontiguousarray(raw))])
+        coded = pieces.dictionary_encode()
+        found = self._pieces_ids(coded.dictionary.to_numpy(zero_copy_only=False).tolist(), bool(marked.any()))
+        sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        flat = np.frombuffer(b"".join(found), "<u4")
+        which = coded.indices.to_numpy()
+        counts = sizes[which]
+        total = np.cumsum(counts)
+        shift = (np.cumsum(sizes) - sizes)[which] - (total - counts)
+        ids = flat[np.repeat(shift, counts) + np.arange(int(total[-1]))]
+        return ids, np.concatenate([[0], total])[np.searchsorted(begins, places)]
+
+    def _pieces_ids(self, pieces: list[str], specials: bool) -> list[bytes]:
+        """The ids of each of the pieces, which differ from one another; with ``specials`` added tokens may be in them."""
+        memo, before = self.memo, self.before
+        found = list(map(memo.get, pieces))
+        marks = tuple(self.added) if specials else ()
+        if specials:
+            # what is remembered is ordinary text
+            found = [None if any(m in text for m in marks) else ids for text, ids in zip(pieces, found, strict=True)]
+        words: list[int] = []
+        cut: list[tuple[int, list[str | int], bool]] = []
         new: set[str] = set()
-        missing = pieces.missing = set()
-        for text in texts:
-            plain: list[str] = []
-            head: list[str | int] = []
-            ids: list[bytes | None] = []
-            before = pieces.n_misses
-            if text:
-                marked = specials and self._added and any(s in text for s in self.added)
-                if marked or "  " in text or text[0] == " " or text[-1] == " " or not (text.isascii() or _OTHER_CODES.search(text) is None):
-                    for i, piece in enumerate(self._added.split(text) if marked else [text]):
-                        if marked and i % 2:
-                            head.append(self.added[piece])
-                        elif piece:
-                            head += self.split(piece)
-                else:
-                    plain = text.split(" ")
-                    # the first piece has no space before it
-                    head = self.split(plain[0])
-                    del plain[0]
-                    ids = list(map(pieces.__getitem__, plain))
-                new.update(w for w in head if isinstance(w, str) and self._known(w) is None)
-            parts.append((head, plain, ids, pieces.n_misses > before))
-        cut = {}
-        for piece in missing:
-            if piece.isalpha():
-                new.add(" " + piece)
-            else:
-                cut[piece] = words = _SPLIT.findall(" " + piece)
-                new.update(w for w in words if self._known(w) is None)
+        for i in [i for i, ids in enumerate(found) if ids is None]:
+            text = pieces[i]
+            # an added token is one by choice, and what is long is not said again
+            marked = bool(marks) and any(m in text for m in marks)
+            if not marked and (ids := before.get(text)) is not None:
+                found[i] = memo[text] = ids
+                continue
+            core = text[1:] if text[0] == " " else text
+            if not marked and core.isalpha() and (core.isascii() or core.translate(_LATIN).isascii()):
+                words.append(i)
+                new.add(text)
+                continue
+            kept = not marked and len(text) <= MEMO_LETTERS
+            parts: list[str | int] = []
+            for k, part in enumerate(self._added.split(text) if marked else (text,)):
+                parts += [self.added[part]] if k % 2 else self.split(part)
+            cut.append((i, parts, kept))
+            new.update([w for w in parts if isinstance(w, str) and w not in memo])
         if new:
             self.learn(new)
-        for piece, words in cut.items():
-            pieces[piece] = b"".join([self._known(w) for w in words])
-        return [
-            b"".join([self._known(w) if isinstance(w, str) else array("I", [w]).tobytes() for w in head])
-            + b"".join([pieces[p] if x is None else x for p, x in zip(plain, ids, strict=True)] if some else ids)
-            for head, plain, ids, some in parts
-        ]
-
-    def _known(self, word: str) -> bytes | None:
-        """The ids of a word if it was learned; one led by a space is kept as its piece."""
-        return self.pieces.get(word[1:]) if word[0] == " " and _led(word) else self.memo.get(word)
+        for i in words:
+            found[i] = memo[pieces[i]]
+        for i, parts, kept in cut:
+            found[i] = ids = b"".join([memo[w] if isinstance(w, str) else array("I", [w]).tobytes() for w in parts])
+            if kept:
+                memo[pieces[i]] = ids
+        return found
+
+    def encode(self, texts: list[str | None], specials: bool = True) -> list[bytes]:
+        """The ids of each text as little-endian unsigned 32-bit integers."""
+        return packed(*self.encode_array(pa.array(texts, pa.large_string()), specials))
 
     def decode(self, ids: bytes) -> str:
         """The text of packed ids, added tokens included; broken UTF-8 is replaced."""
@@ -290,19 +354,26 @@ class TrieBpe:
 
 @lru_cache(maxsize=4)
 def encoder(path: str) -> TrieBpe:
-    """One encoder for each worker and vocabulary file."""
-    return TrieBpe(path)
+    """One encoder for each worker and vocabulary file, which the garbage collector need not walk through."""
+    made = TrieBpe(path)
+    gc.freeze()
+    return made
 
 
 def encode_documents(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Ids of every text: (key, n_tokens long, ids binary of little-endian u32)."""
 
-    def step(rows: dict[str, list]) -> dict[str, list]:
-        ids = encoder(path).encode(rows[text])
-        return {key: rows[key], "n_tokens": [len(x) // 4 for x in ids], "ids": ids}
+    def step(keys: pa.Array, texts: pa.Array):
+        ids, places = encoder(path).encode_array(texts)
+        yield {key: keys, "n_tokens": np.diff(places), "ids": packed(ids, places)}
 
     kind = docs.schema[key].dataType.simpleString()
-    return map_batches(docs, [key, text], f"`{key}` {kind}, n_tokens bigint, ids binary", step)
+    return map_arrow(docs, [key, text], f"`{key}` {kind}, n_tokens bigint, ids binary", step)
+
+
+def packed(ids: np.ndarray, places: np.ndarray) -> list[bytes]:
+    """The ids of each text as bytes."""
+    return [ids[a:b].tobytes() for a, b in zip(places[:-1].tolist(), places[1:].tolist(), strict=True)]
 
 
 def decode_documents(encoded: DataFrame, path: str, key: str = "doc_id") -> DataFrame:
@@ -319,19 +390,19 @@ def decode_documents(encoded: DataFrame, path: str, key: str = "doc_id") -> Data
 def encode_with_digest(docs: DataFrame, path: str) -> DataFrame:
     """Encode and decode every text: doc_id, n_tokens, ids, and digests of ids and decoded text."""
 
-    def step(rows: dict[str, list]) -> dict[str, list]:
+    def step(keys: pa.Array, texts: pa.Array):
         bpe = encoder(path)
-        ids = bpe.encode(rows["text"])
+        ids = packed(*bpe.encode_array(texts))
         digest = lambda data: hashlib.sha256(data).hexdigest()
-        return {
-            "doc_id": rows["doc_id"],
+        yield {
+            "doc_id": keys,
             "n_tokens": [len(x) // 4 for x in ids],
             "ids": ids,
             "ids_sha256": [digest(x) for x in ids],
             "decoded_sha256": [digest(bpe.decode(x).encode()) for x in ids],
         }
 
-    return map_batches(
+    return map_arrow(
         docs, ["doc_id", "text"],
         "doc_id bigint, n_tokens bigint, ids binary, ids_sha256 string, decoded_sha256 string", step,
     )

@@ -32,7 +32,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 
 from .bpe import encoder
-from .common import CHARS_PER_STEP, bound_batches, commit_file, fresh_dir, open_store
+from .common import BYTES_PER_BATCH, bound_batches, commit_file, fresh_dir, open_store
 
 MAGIC = b"PLN1"
 BLOCK_IDS = 1 << 16
@@ -190,19 +190,21 @@ def write_shards(
     def write(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number, n_docs, n_ids = TaskContext.get().partitionId(), 0, 0
         bpe = encoder(vocabulary)
-        end = np.array([end_id], "<u4")
         first = next(iter(batches), None)
         if first is None:
             return
 
         def documents() -> Iterator[tuple[int | None, np.ndarray]]:
             for batch in (b for bs in ([first], batches) for b in bs):
-                rows = max(1, batch.num_rows * CHARS_PER_STEP // max(batch.nbytes, 1))
+                # a batch is bounded but for single long texts
+                rows = max(1, batch.num_rows * 2 * BYTES_PER_BATCH // max(batch.nbytes, 1))
                 for a in range(0, batch.num_rows, rows):
                     part = batch.slice(a, rows)
-                    texts = part.column(1).to_pylist()
-                    for key, ids in zip(part.column(0).to_pylist(), bpe.encode(texts, specials), strict=True):
-                        yield key, np.concatenate([np.frombuffer(ids, "<u4"), end])
+                    ids, places = bpe.encode_array(part.column(1), specials)
+                    ids = np.insert(ids, places[1:], end_id)
+                    places = places + np.arange(len(places))
+                    for key, x, y in zip(part.column(0).to_pylist(), places[:-1].tolist(), places[1:].tolist(), strict=True):
+                        yield key, ids[x:y]
 
         def planes(out) -> None:
             nonlocal n_docs, n_ids
@@ -215,7 +217,10 @@ def write_shards(
         def bare(out) -> None:
             nonlocal n_docs, n_ids
             keys: list[int | None] = []
+            top = np.iinfo(flat).max
             for key, ids in documents():
+                if int(ids.max()) > top:
+                    raise ValueError(f"an id is beyond {top}, the largest that {flat} holds")
                 out.write(ids.astype(flat).tobytes())
                 keys.append(key)
                 n_ids += len(ids)
