@@ -31,10 +31,10 @@ from .common import map_arrow, map_batches
 from .words import IS_SPACE, text_bytes
 
 #: Words whose ids a worker remembers before it forgets those that were not asked for since as many were new.
-MEMO_WORDS = 450_000
-MEMO_PAIRS = 1_000_000
+MEMO_WORDS = 150_000
+MEMO_PAIRS = 500_000
 #: Steps of the automaton that a worker remembers.
-MEMO_STEPS = 2_000_000
+MEMO_STEPS = 500_000
 #: Letters of the longest piece whose ids are remembered.
 MEMO_LETTERS = 64
 

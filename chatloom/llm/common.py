@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
 import tempfile
 import uuid
@@ -29,6 +30,25 @@ def bound_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BYTES_PER_BATCH))
 
 
+Run = Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]
+
+
+def releasing(run: Run) -> Run:
+    """``run``, after which the worker gives free memory back: workers go on from stage to stage,
+    and what one stage needed for a moment would stand beside what the next one needs."""
+
+    def wrapped(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+            if trim:
+                trim(0)
+
+    return wrapped
+
+
 def map_batches(
     df: DataFrame,
     columns: list[str],
@@ -54,7 +74,7 @@ def map_batches(
                     [pa.array(out[f.name], type=f.type) for f in arrow], schema=arrow
                 )
 
-    return df.select(*columns).mapInArrow(run, schema)
+    return df.select(*columns).mapInArrow(releasing(run), schema)
 
 
 def map_arrow(
@@ -76,7 +96,7 @@ def map_arrow(
                 for out in step(*part.columns):
                     yield pa.RecordBatch.from_arrays([pa.array(out[f.name], type=f.type) for f in arrow], schema=arrow)
 
-    return df.select(*columns).mapInArrow(run, schema)
+    return df.select(*columns).mapInArrow(releasing(run), schema)
 
 
 def _steps(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:

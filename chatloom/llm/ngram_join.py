@@ -40,7 +40,7 @@ import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import bound_batches, map_arrow, stored
+from .common import bound_batches, map_arrow, releasing, stored
 from .words import mix, shingle_sets
 
 WORDS = 5
@@ -55,7 +55,7 @@ COMMON_PAIRS = 8
 COMMON_SHINGLES = 500_000
 #: Signatures of one part, which a task holds at once, and those that a mapper gathers before it writes them.
 PART_SHINGLES = 2_000_000
-FLUSH_SIGNATURES, FLUSH_TEXTS = 1_500_000, 30_000
+FLUSH_SIGNATURES, FLUSH_TEXTS = 1_000_000, 30_000
 #: Words of 64 bits in the parity bitmap of a set.
 BITMAP = 8
 
@@ -230,7 +230,7 @@ def _signature_blocks(docs: DataFrame, parts: int, common: np.ndarray | None = N
                     ids, sizes, spare, found, held = [], [], [], [], 0
         yield blocks(ids, sizes, spare, found)
 
-    return docs.select("doc_id", "text").mapInArrow(run, "part bigint, block binary")
+    return docs.select("doc_id", "text").mapInArrow(releasing(run), "part bigint, block binary")
 
 
 BUCKETS = "kind int, a bigint, b bigint, size int, spare int, seg int, units int, n bigint"
@@ -305,7 +305,8 @@ def _buckets(blocks: DataFrame, parts: int) -> DataFrame:
 
     # a task closes its parts one after another, so more parts than tasks take no more memory
     tasks = min(parts, max(8, int(blocks.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
-    return blocks.repartition(tasks, "part").sortWithinPartitions("part").mapInArrow(run, BUCKETS)
+    dealt = blocks.repartitionById(tasks, F.pmod("part", F.lit(tasks)).cast("int"))
+    return dealt.sortWithinPartitions("part").mapInArrow(releasing(run), BUCKETS)
 
 
 # -- verification and components -----------------------------------------
@@ -362,7 +363,7 @@ def _verified(pairs: DataFrame, docs: DataFrame, label: str = "verified") -> tup
                 shared, held = [], 0
         yield counted()
 
-    found = stored(rows.select("a", "b", "text").mapInArrow(run, "kind int, a bigint, b bigint"), label)
+    found = stored(rows.select("a", "b", "text").mapInArrow(releasing(run), "kind int, a bigint, b bigint"), label)
     return found.where("kind = 0").select("a", "b"), found.where("kind = 1").select(F.col("a").alias("shingle"), F.col("b").alias("n"))
 
 

@@ -32,7 +32,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 
 from .bpe import encoder
-from .common import BYTES_PER_BATCH, bound_batches, commit_file, fresh_dir, open_store
+from .common import BYTES_PER_BATCH, bound_batches, commit_file, fresh_dir, open_store, releasing
 
 MAGIC = b"PLN1"
 BLOCK_IDS = 1 << 16
@@ -235,7 +235,7 @@ def write_shards(
     dealt = docs.select("doc_id", "text")
     if ordered:
         dealt = dealt.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
-    rows = dealt.mapInArrow(write, "shard bigint, n_ids bigint, n_docs bigint").collect()
+    rows = dealt.mapInArrow(releasing(write), "shard bigint, n_ids bigint, n_docs bigint").collect()
     return sorted((r.shard, r.n_ids, r.n_docs) for r in rows)
 
 
