@@ -1,24 +1,30 @@
 """Main text of web pages by tree scoring (operator 7).
 
 A page is parsed into a tree of block elements. Blocks that are no part of an
-article by their tag, role or name are cut off. Every paragraph passes points
-for its length and commas to its ancestors, less the further up; a container's
-score is discounted by its link density. The best container is kept with those
-siblings that score well or read as text, and gives its blocks in page order.
+article by their tag, role or name are cut off; a name does not count where it only
+describes the block ("has-sidebar") or where the block holds the page's article. Every
+paragraph passes points for its length and commas to the ``LEVELS`` ancestors next to it,
+less the further up; a container's score is discounted by its link density. The best
+container is kept with those siblings that score well or read as text, and gives its
+blocks in page order. Blocks nested deeper than ``DEPTH`` are taken as siblings, as
+browsers do, so that time is linear in the page.
 
 An element that is no text (a button, an svg ...) but is not closed ends with its
 parent block; then what follows from its first block on is text after all. A head
 needs no end, as all that may stand in it is no text by itself.
 
 Defined results: null, empty and text-free html give the empty string; broken
-markup is read as browsers do it for paragraphs and list items; nothing is
-capped; repeated rows give repeated results.
+markup is read as browsers do it for paragraphs and list items; texts of any length are
+read whole; of containers with equal scores the first in page order counts; repeated
+rows give repeated results; an empty table gives no rows; other columns are not read.
 """
 
 from __future__ import annotations
 
 import re
+from collections import Counter
 from html.parser import HTMLParser
+from itertools import chain, islice
 
 from pyspark.sql import DataFrame
 
@@ -37,8 +43,11 @@ CUT_NAMES = frozenset(
     "ad ads advert adverts advertisement advertising adsense sponsor sponsored promo promotion banner sidebar aside nav navbar "
     "navigation menu breadcrumb breadcrumbs footer masthead topbar toolbar comment comments disqus respond replies cookie cookies "
     "consent gdpr notice notices notification alert popup modal overlay newsletter subscribe subscription signup login share "
-    "sharing social related recommended recommendations widget pagination pager skip".split()
+    "sharing social related recommended recommendations widget pagination pager skip discussion discussions feedback "
+    "responses reply guestbook".split()
 )
+#: Parts of a name that make it a description of the block that bears it.
+DESCRIBING = frozenset("has no not with without is enabled disabled open opened closed layout".split())
 KEEP_TAGS = frozenset(("html", "body", "article", "main"))
 CONTENT_NAMES = frozenset("article content main body entry post story text".split())
 #: What an open paragraph or item ends at.
@@ -49,14 +58,24 @@ _SINGLE = frozenset(("button", "select"))
 _FOREIGN = frozenset(("svg", "math"))
 _FOREIGN_HTML = frozenset(("foreignobject", "annotation-xml"))
 _NAME = re.compile(r"[a-z0-9]+")
+#: Blocks nested deeper are siblings of those at this depth.
+DEPTH = 512
+#: Ancestors that a paragraph's points reach.
+LEVELS = 8
 
 
 class Node:
-    __slots__ = ("tag", "names", "role", "hidden", "parent", "parts", "score", "length", "linked")
+    __slots__ = ("tag", "names", "cut_names", "role", "hidden", "parent", "parts", "score", "length", "linked", "depth", "in_article", "holds")
 
     def __init__(self, tag: str, attrs: dict[str, str | None], parent: Node | None):
         self.tag, self.parent = tag, parent
-        self.names = set(_NAME.findall(f"{attrs.get('class') or ''} {attrs.get('id') or ''}".lower()))
+        self.depth = parent.depth + 1 if parent else 0
+        words = [_NAME.findall(x) for x in f"{attrs.get('class') or ''} {attrs.get('id') or ''}".lower().split()]
+        self.names = {x for word in words for x in word}
+        self.cut_names = any(not CUT_NAMES.isdisjoint(word) and DESCRIBING.isdisjoint(word) for word in words)
+        self.in_article = parent is not None and (parent.in_article or parent.tag in ("article", "main"))
+        #: whether the page's article is in it
+        self.holds = False
         self.role = (attrs.get("role") or "").lower()
         style = (attrs.get("style") or "").replace(" ", "").lower()
         self.hidden = "hidden" in attrs or attrs.get("aria-hidden") == "true" or "display:none" in style
@@ -70,8 +89,14 @@ class Node:
             return True
         if self.tag == "header":
             # the head of an article is text; that of a page is not
-            return not any(p.tag in ("article", "main") for p in self.above())
-        return self.tag not in KEEP_TAGS and bool(self.names & CUT_NAMES)
+            return not self.in_article
+        if self.tag in KEEP_TAGS:
+            # readers' comments may be articles too
+            return self.tag == "article" and self.in_article and self.cut_names
+        return self.cut_names and not self.holds
+
+    def is_article(self) -> bool:
+        return self.tag == "main" or self.role == "main" or (self.tag == "article" and not self.cut_names)
 
     def above(self):
         node = self.parent
@@ -90,6 +115,9 @@ class TreeBuilder(HTMLParser):
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.root = self.at = Node("html", {}, None)
+        #: all blocks, parents first, and how many of each tag are open
+        self.nodes = [self.root]
+        self.open: Counter[str] = Counter()
         self.links = self.silent = 0
         self.silent_tag = ""
         #: what came since silence began, blocks opened in it, and silent tags that are read as text
@@ -116,6 +144,8 @@ class TreeBuilder(HTMLParser):
         self.plain = known
 
     def _is_open(self, tags: tuple, stops: tuple = ()) -> bool:
+        if not any(self.open[t] for t in tags):
+            return False
         node = self.at
         while node is not None and node.parent is not None and node.tag not in stops:
             if node.tag in tags:
@@ -151,8 +181,12 @@ class TreeBuilder(HTMLParser):
             self._close({"p"}, BLOCKS - {"p"})
             if tag in _ENDS:
                 self._close(set(_ENDS[tag]), set(_SCOPE[tag]))
+            if self.at.depth >= DEPTH:
+                self._leave(self.at.parent)
             node = Node(tag, dict(attrs), self.at)
             self.at.parts.append(node)
+            self.nodes.append(node)
+            self.open[tag] += 1
             self.at = node
 
     def handle_startendtag(self, tag, attrs):
@@ -184,15 +218,23 @@ class TreeBuilder(HTMLParser):
 
     def _close(self, tags: set, stops: set | frozenset) -> None:
         """Close the nearest open element of ``tags`` unless one of ``stops`` is nearer."""
+        if not any(self.open[t] for t in tags):
+            return
         node = self.at
         while node.parent is not None:
             if node.tag in tags:
-                self.at = node.parent
+                self._leave(node.parent)
                 return
             if node.tag in stops:
                 return
             node = node.parent
 
+    def _leave(self, parent: Node) -> None:
+        """Close all open blocks below ``parent``."""
+        while self.at is not parent:
+            self.open[self.at.tag] -= 1
+            self.at = self.at.parent
+
     def handle_data(self, data):
         if self.silent:
             self.held.append(("data", data))
@@ -204,6 +246,9 @@ def _tree(html: str) -> Node:
     builder = TreeBuilder()
     builder.feed(html)
     builder.close()
+    for node in reversed(builder.nodes):
+        if node.parent is not None and not node.hidden and (node.holds or node.is_article()):
+            node.parent.holds = True
     return builder.root
 
 
@@ -243,7 +288,7 @@ def main_text(html: str | None) -> str:
         # a paragraph's points go up; text right inside a container counts for itself
         weight = 1.0
         holder = node if node.tag in ("div", "section", "article", "main", "td", "html") else node.parent
-        for level, up in enumerate([holder, *holder.above()] if holder else []):
+        for level, up in enumerate(islice(chain([holder], holder.above()), LEVELS) if holder else ()):
             weight = 1.0 if level == 0 else 0.5 if level == 1 else 1 / (3 * level)
             up.score += points * weight
     for node in reversed(nodes):
