@@ -21,11 +21,13 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import map_batches
+from .common import map_batches, stored
 
-#: Bounds of the training sample: rows of one language, and languages (the most frequent).
+#: Bounds of the training sample: rows of one language, and of all.
 ROWS_PER_LANGUAGE = 300
-MAX_LANGUAGES = 64
+SAMPLE_ROWS = 19_200
+#: How many times as many rows pass the hash threshold before they are ranked.
+OVERSAMPLE = 8
 LANDMARKS_PER_LANGUAGE = 40
 RIDGE = 1e-2
 ORDERS = (1, 2, 3)
@@ -124,20 +126,22 @@ def held_out() -> Column:
 
 
 def train(docs: DataFrame, rows: int = ROWS_PER_LANGUAGE) -> KernelClassifier:
-    """Learn from at most ``rows`` rows of each of ``MAX_LANGUAGES`` languages that are not held out.
+    """Learn from at most ``rows`` texts of each language that are not held out, and at most
+    ``SAMPLE_ROWS`` of all (but one of each language in any case).
 
-    Rows are those with the least hash of doc_id; only they reach the driver, as
-    n-gram buckets.
+    A text's hash decides whether it is in the sample: first against a threshold by the
+    language's row count, so that few rows move, then by rank among those. Only the
+    sample reaches the driver, as n-gram buckets.
     """
-    usable = docs.where("lang is not null and text is not null and doc_id is not null").where(~held_out())
-    top = [r.lang for r in usable.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES).collect()]
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = (
-        usable.where(F.col("lang").isin(top)).select("lang", "doc_id").withColumn("rank", F.row_number().over(order))
-        .where(F.col("rank") <= rows).select(F.col("doc_id").alias("own_id"), "rank").dropDuplicates(["own_id"])
-    )
-    # at most rows * MAX_LANGUAGES ids are broadcast
-    picked = usable.select("doc_id", "lang", "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("own_id"))
+    usable = docs.where("lang is not null and text is not null and doc_id is not null").where(~held_out()).select("lang", "text")
+    counts = stored(usable.groupBy("lang").agg(F.count(F.lit(1)).alias("n_rows")), "languages")
+    rows = max(1, min(rows, SAMPLE_ROWS // max(1, counts.count())))
+    # equal texts have equal hashes, so that more are let through than are wanted
+    limit = F.least(F.lit(1.0), F.lit(OVERSAMPLE * rows) / F.col("n_rows")) * F.lit(float(1 << 31))
+    hashed = usable.join(counts.withColumnRenamed("lang", "own_lang"), F.col("lang") == F.col("own_lang"))
+    hashed = hashed.withColumn("h", F.xxhash64("text")).where(F.shiftrightunsigned("h", 33) < limit)
+    order = Window.partitionBy("lang").orderBy("h", "text")
+    chosen = hashed.select("lang", "h", "text").distinct().withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= rows)
 
     def step(batch: dict[str, list]) -> dict[str, list]:
         ok = [i for i, t in enumerate(batch["text"]) if has_letter(t)]
@@ -146,8 +150,8 @@ def train(docs: DataFrame, rows: int = ROWS_PER_LANGUAGE) -> KernelClassifier:
             "grams": [grams(batch["text"][i]).tobytes() for i in ok],
         }
 
-    found = map_batches(picked, ["lang", "rank", "text"], "lang string, rank int, grams binary", step).collect()
-    found.sort(key=lambda r: (r["rank"], r.lang, bytes(r.grams)))
+    found = map_batches(chosen, ["lang", "rank", "text"], "lang string, rank int, grams binary", step).collect()
+    found.sort(key=lambda r: (r["rank"], r.lang))
     return KernelClassifier.fit([(r.lang, np.frombuffer(bytes(r.grams), np.int32)) for r in found])
 
 
