@@ -8,7 +8,9 @@ models to judge. The fixed patterns' spans always stay.
 
 Defined results: null and empty texts have no spans; spans are code points with
 the end exclusive; spans of different kinds may overlap; repeated rows give
-repeated results; only doc_id and text are read, so extra columns never clash.
+repeated results; texts of any length are read whole; where two runs score the same
+both or neither are secrets; an empty table gives no rows; only doc_id and text are
+read, so extra columns never clash.
 """
 
 from __future__ import annotations
@@ -213,19 +215,23 @@ def redact(docs: DataFrame, samples: list[tuple[str, int]] | None = None) -> Dat
     Where a text changes, ``n_chars``, if there is such a column of numbers, follows.
     """
     scanner = SecretScanner(samples)
-    counted = dict(docs.dtypes).get("n_chars") in ("int", "bigint")
+    # by place, so that any name will do
+    names = [f"own_{i}" for i in range(len(docs.columns))]
+    text = names[docs.columns.index("text")]
+    at = docs.columns.index("n_chars") if "n_chars" in docs.columns else -1
+    size = names[at] if at >= 0 and docs.dtypes[at][1] in ("int", "bigint") else None
 
     def step(rows: dict[str, list]) -> dict[str, list]:
-        out, sizes = [], list(rows.get("n_chars", ()))
-        for i, (text, runs) in enumerate(zip(rows["text"], with_runs(rows["text"]), strict=True)):
-            new = scanner.redact(text, runs=runs)
-            if counted and new != text:
+        out, sizes = [], list(rows[size]) if size else []
+        for i, (old, runs) in enumerate(zip(rows[text], with_runs(rows[text]), strict=True)):
+            new = scanner.redact(old, runs=runs)
+            if size and new != old:
                 sizes[i] = len(new)
             out.append(new)
-        return rows | {"text": out} | ({"n_chars": sizes} if counted else {})
+        return rows | {text: out} | ({size: sizes} if size else {})
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    return map_batches(docs, docs.columns, schema, step)
+    schema = ", ".join(f"{n} {f.dataType.simpleString()}" for n, f in zip(names, docs.schema, strict=True))
+    return map_batches(docs.toDF(*names), names, schema, step).toDF(*docs.columns)
 
 
 def secret_report(docs: DataFrame, samples: list[tuple[str, int]] | None = None) -> DataFrame:
