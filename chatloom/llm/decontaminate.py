@@ -2,11 +2,11 @@
 
 A window is ten consecutive words of a benchmark text (all its words if it has
 fewer). Every place of every document passes three bitmaps of the windows: their
-first two words, their last two, and the whole window. The bitmaps have a fixed
-size and are literals of the plan, so the scan of texts neither shuffles nor
-explodes; the few places left are exploded and joined with the windows
-themselves, which are broadcast up to ``BROADCAST_WINDOWS`` and shuffled beyond.
-Grouping by row then needs counts and places only, never texts.
+first two words, their last two, and the whole window. The bitmaps' size follows the
+number of windows, up to a bound, and they are literals of the plan, so the scan of
+texts neither shuffles nor explodes; the few places left are exploded and joined with
+the windows themselves, which are broadcast up to ``BROADCAST_BYTES`` and shuffled
+beyond. Grouping by row then needs counts and places only, never texts.
 
 The bitmaps compare words in lower case of all letters, which finds a superset;
 the join compares words with A-Z alone in lower case, which is exact.
@@ -25,9 +25,10 @@ from pyspark.sql import functions as F
 from .common import stored
 
 WINDOW = 10
-#: Bits of each bitmap.
-BITS = 1 << 18
-BROADCAST_WINDOWS = 500_000
+#: Bits of a bitmap, at least and at most, and how many there are for each hash in between.
+LEAST_BITS, MOST_BITS, SPARSE = 1 << 18, 1 << 22, 16
+#: Bytes of the windows with their items, and rows of ids, that are broadcast at most.
+BROADCAST_BYTES = 32 << 20
 BROADCAST_IDS = 200_000
 
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -81,25 +82,37 @@ def benchmark_windows(benchmark: DataFrame) -> DataFrame:
     )
 
 
-def _bitmap(windows: DataFrame, length: int, column: str) -> Column:
-    """The hashes of one length's windows as a literal array of ``BITS`` / 64 longs.
+def _bits(n: int) -> int:
+    """Bits of a bitmap of ``n`` hashes: a power of two, so that about one bit in ``SPARSE`` is set, within bounds."""
+    return min(MOST_BITS, max(LEAST_BITS, 1 << (SPARSE * n - 1).bit_length()))
 
-    At most that many rows reach the driver.
-    """
-    slot = F.pmod(F.col("h"), F.lit(BITS))
-    cells = (
-        windows.where(F.col("length") == length).select(F.explode(column).alias("h"))
-        .select((slot / 64).cast("int").alias("cell"), F.call_function("shiftleft", F.lit(1).cast("bigint"), (slot % 64).cast("int")).alias("bit"))
-        .groupBy("cell").agg(F.bit_or("bit").alias("bits")).collect()
-    )
-    filled = {r.cell: r.bits for r in cells}
-    # the optimiser folds this into one array literal
-    return F.expr("array(" + ",".join(f"{filled.get(i, 0)}L" for i in range(BITS // 64)) + ")")
 
+def _bitmaps(windows: DataFrame, sizes: dict[int, int]) -> dict[int, list[tuple[Column, int]]]:
+    """The first, last and whole hashes of the windows of each length as literal arrays of longs, with their bits.
 
-def _has(bitmap: Column, hashed: Column) -> Column:
-    slot = F.pmod(hashed, F.lit(BITS))
-    return F.getbit(F.get(bitmap, (slot / 64).cast("int")), (slot % 64).cast("int")) == 1
+    All come of one job; no more than ``MOST_BITS`` / 64 rows a bitmap reach the driver.
+    """
+    if not sizes:
+        return {}
+    bits = F.create_map(*[F.lit(x) for n, count in sizes.items() for x in (n, _bits(count))])[F.col("length")]
+    each = F.flatten(F.array(*[F.transform(c, lambda h, k=i: F.struct(F.lit(k).alias("kind"), h.alias("h"))) for i, c in enumerate(("first", "last", "whole"))]))
+    rows = windows.select("length", bits.alias("bits"), F.explode(each).alias("x")).select("length", "x.kind", F.pmod(F.col("x.h"), F.col("bits")).alias("slot"))
+    one = F.call_function("shiftleft", F.lit(1).cast("bigint"), (F.col("slot") % 64).cast("int"))
+    cells = rows.groupBy("length", "kind", (F.col("slot") / 64).cast("int").alias("cell")).agg(F.bit_or(one).alias("bits")).collect()
+    filled: dict[tuple[int, int], dict[int, int]] = {}
+    for r in cells:
+        filled.setdefault((r.length, r.kind), {})[r.cell] = r.bits
+    out = {}
+    for n, count in sorted(sizes.items()):
+        # the optimiser folds this into one array literal
+        out[n] = [(F.expr("array(" + ",".join(f"{filled.get((n, k), {}).get(i, 0)}L" for i in range(_bits(count) // 64)) + ")"), _bits(count)) for k in range(3)]
+    return out
+
+
+def _has(bitmap: tuple[Column, int], hashed: Column) -> Column:
+    cells, bits = bitmap
+    slot = F.pmod(hashed, F.lit(bits))
+    return F.getbit(F.get(cells, (slot / 64).cast("int")), (slot % 64).cast("int")) == 1
 
 
 def occurrences(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -108,8 +121,10 @@ def occurrences(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     Columns: row_key, doc_id, n_words, at, length, items (the last three null without a hit).
     """
     windows = stored(benchmark_windows(benchmark), "benchmark-windows")
-    sizes = {r.length: r["count"] for r in windows.groupBy("length").count().collect()}
-    maps = {n: [_bitmap(windows, n, c) for c in ("first", "last", "whole")] for n in sorted(sizes)}
+    items = F.aggregate("items", F.lit(0).cast("bigint"), lambda a, x: a + F.length(x) + 32)
+    counted = windows.groupBy("length").agg(F.count(F.lit(1)).alias("n"), F.sum(F.length("key") + items + 128).alias("n_bytes")).collect()
+    sizes = {r.length: r.n for r in counted}
+    maps = _bitmaps(windows, sizes)
     # the text's words are made once a row: the columns that use them do so several times,
     # so the optimiser does not move the split into them
     split = docs.select(
@@ -148,7 +163,8 @@ def occurrences(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         "row_key", "doc_id", "n_words", F.col("p.at").alias("at"), F.col("p.length").alias("length"), F.col("p.key").alias("key")
     )
     known = windows.select(F.col("length").alias("w_length"), F.col("key").alias("w_key"), "items")
-    known = F.broadcast(known) if sum(sizes.values()) <= BROADCAST_WINDOWS else known
+    # letters may be of four bytes each
+    known = F.broadcast(known) if 4 * sum(r.n_bytes for r in counted) <= BROADCAST_BYTES else known
     return rows.join(known, (rows.key == F.col("w_key")) & (rows.length == F.col("w_length")), "left").select(
         "row_key", "doc_id", "n_words", "at", "length", "items"
     )
@@ -195,10 +211,15 @@ def without_spans(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
     Texts without a hit stay as they are, null included.
     """
-    spans = occurrences(docs, benchmark).where("items is not null").groupBy("row_key").agg(
+    # rows of the same id and text are hit alike
+    digest = F.md5(F.coalesce("text", F.lit("")).cast("binary"))
+    keyed = docs.select(F.struct("doc_id", digest.alias("digest")).alias("doc_id"), "text")
+    spans = occurrences(keyed, benchmark).where("items is not null").groupBy("doc_id").agg(
         F.array_distinct(F.flatten(F.collect_set(F.sequence("at", F.col("at") + F.col("length") - 1)))).alias("hit")
     )
-    rows = docs.select(F.monotonically_increasing_id().alias("row_key"), "doc_id", "text").join(spans, "row_key", "left")
+    spans = spans.select(F.col("doc_id.doc_id").alias("hit_id"), F.col("doc_id.digest").alias("hit_digest"), "hit")
+    own = docs.select("doc_id", "text", digest.alias("digest"))
+    rows = own.join(spans, own["doc_id"].eqNullSafe(spans["hit_id"]) & (own["digest"] == spans["hit_digest"]), "left")
     raw = rows.select("doc_id", "text", "hit", F.when(F.size("hit") > 0, _raw(F.col("text"))).alias("raw"))
     rest = F.filter("raw", lambda x, i: ~F.array_contains("hit", i) & (F.size("raw") > 0))
     return raw.select("doc_id", F.when(F.size("raw") > 0, F.array_join(rest, " ")).otherwise(F.col("text")).alias("text"))
