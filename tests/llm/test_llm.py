@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+import time
 import zlib
 from pathlib import Path
 
@@ -17,7 +18,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from chatloom.llm import bpe, decontaminate, html_text, language, licenses, ngram_join, quality, secrets, separators, token_files
+from chatloom.llm import bpe, decontaminate, html_text, language, licenses, ngram_join, quality, secrets, separators, token_files, words
 from chatloom.llm.common import fresh_dir
 from chatloom.llm.queries import ORACLE_SQL, QUERIES
 
@@ -121,6 +122,41 @@ def test_join_of_odd_rows(odd):
     assert ngram_join.one_of_each(odd).columns == odd.columns
 
 
+def test_join_of_repeated_ids(spark):
+    a, b = ("one two three four five six seven eight nine ten eleven twelve thirteen", "red orange yellow green blue indigo violet black white grey brown pink teal")
+    rows = [(1, a), (1, b), (2, a + " x"), (3, b + " y"), (4, "other"), (4, "other"), (None, a), (5, None), (5, a + " x"), (6, b.upper())]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").withColumn("first_id", F.lit(1)).withColumn("first", F.lit(1))
+    found = joined(df)
+    assert found == brute_components(rows)
+    assert {i: c for i, _, c in found} == {None: None, 1: 1, 2: 1, 3: 1, 4: 4, 5: 1, 6: 1}
+    # a row of a repeated id stands for its own text alone
+    kept = ngram_join.one_of_each(df)
+    assert kept.columns == df.columns
+    # b is 1's too, in another row, and 6 is the same
+    assert sorted((r.doc_id or 0, r.text or "") for r in kept.collect()) == sorted([(0, a), (1, a), (1, b), (4, "other"), (5, "")])
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.one_of(st.none(), st.text("aB \n\té漢\x0b", max_size=30), st.text(max_size=20)), max_size=8))
+def test_words_hashed_together_are_those_of_each_text(texts):
+    import pyarrow as pa
+
+    sets = list(words.shingle_sets(pa.array(["x", *texts, "y"], pa.string()).slice(1, len(texts)), 2))
+    split = [re.findall(rb"[^\x20\x09-\x0d]+", re.sub(rb"[A-Z]", lambda m: m[0].lower(), (t or "").encode())) for t in texts]
+    want = [({tuple(w[i : i + 2]) for i in range(max(1, len(w) - 1))} if w else set()) for w in split]
+    assert [len(s) for s in sets] == [len(s) for s in want]
+    for x, a in zip(sets, want, strict=True):
+        for y, b in zip(sets, want, strict=True):
+            assert len(np.intersect1d(x, y)) == len(a & b)
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.sets(st.integers(0, 3000), max_size=300), st.sets(st.integers(0, 3000), max_size=30))
+def test_parity_bitmaps_differ_in_no_more_than_their_sets(a, change):
+    x, y = (ngram_join.parity(words.mix(np.array(sorted(s), np.uint64))) for s in (a, a ^ change))
+    assert int(np.bitwise_count(x ^ y).sum()) <= len(change)
+
+
 @settings(max_examples=300, deadline=None)
 @given(st.integers(4, 400), st.integers(0, 10**6))
 def test_linked_sets_share_a_signature(n, seed):
@@ -295,11 +331,35 @@ def test_tail_without_separator_is_no_document(spark):
     path.parent.mkdir(parents=True, exist_ok=True)
     np.array([5, 9, 9, 7, 7], "<u4").tofile(path)
     (path.parent / (path.name + ".keys")).write_bytes(np.array([3, 4], "<i8").tobytes() + b"\1\1")
-    files = token_files.shard_rows(spark, [(0, 5, 2)])
+    files = spark.createDataFrame([(0,)], "shard bigint")
     got = sorted(map(tuple, separators.scan_flat(files, folder, 9, 2).collect()))
     assert got == [(0, 3, 0, 2), (1, 4, 2, 1)]
 
 
+def test_scan_of_files_that_others_wrote(spark):
+    folder, rng = fresh_dir(spark, "flat"), np.random.default_rng(3)
+    want, at = [], 0
+    for shard in range(4):
+        ids = rng.integers(0, 4, 0 if shard == 1 else 40).astype("<u2")
+        path = Path(token_files.shard_name(folder, shard).removeprefix("file://"))
+        path.parent.mkdir(parents=True, exist_ok=True)
+        ids.tofile(path)
+        begin = 0
+        for end in np.flatnonzero(ids == 3).tolist():
+            want.append((len(want), None, at + begin, end + 1 - begin))
+            begin = end + 1
+        at += len(ids)
+    files = spark.createDataFrame([(3,), (0,), (2,), (1,)], "shard int")
+    for size in (1, 7, 64):
+        assert sorted(map(tuple, separators.scan_flat(files, folder, 3, size, "<u2").collect())) == want
+    assert separators.scan_flat(empty(files), folder, 3).count() == 0
+
+
+def test_a_file_of_short_ids_refuses_long_ones(spark, odd):
+    with pytest.raises(Exception, match="largest that"):
+        separators.document_lengths(odd, VOCAB, 50256, kind="u1").count()
+
+
 # -- 5 ---------------------------------------------------------------------
 def brute_counts(text):
     w = re.findall(r"[^\x20\x09-\x0d]+", text or "")
@@ -355,6 +415,69 @@ def test_main_text():
     assert html_text.main_text("<article><p>" + "<div>" * 3000 + "deep") == "deep"
 
 
+def test_names_that_describe_a_block_do_not_cut_it():
+    article = "<p>One, two and three words of text that go on, and on.</p>" * 3
+    text = " ".join(["One, two and three words of text that go on, and on."] * 3)
+    for page in (
+        '<body><div class="content has-sidebar"><article>{}</article></div>', '<div id="page" class="no-sidebar"><div class="content">{}</div></div>',
+        '<div class="post share-enabled">{}</div><div class="discussion"><p>I, a reader, think so, too, really, and so on.</p></div>',
+        '<div class="modal"><main>{}</main></div>', '<div class="sidebar-wrapper"><p>not, this, one</p></div><article>{}<section class=comments><article class="comment"><p>hey, you, there</p></article></section></article>',
+        '<article>{}<article class="reply"><p>hey, you, there, again, and, again</p></article></article>',
+    ):
+        assert html_text.main_text(page.format(article)) == text, page
+
+
+def test_deep_pages_take_linear_time():
+    article = "<p>One, two and three words of text that go on, and on.</p>"
+    for page in ("<div>" * 100_000, "<li><ul>" + "<div>" * 20_000 + "<li></li>" * 20_000, "<div>" * 50_000 + "</section>" * 50_000):
+        began = time.process_time()
+        assert "three words" in html_text.main_text(page + article)
+        assert time.process_time() - began < 10
+
+
+def brute_scores(node):
+    """Points of every container by the rule itself: each paragraph's for each of its ancestors."""
+    nodes = html_text._nodes(node)
+    out = {id(n): 0.0 for n in nodes}
+    for n in nodes:
+        text = html_text._own(n)
+        linked = min(sum(len(p[0]) for p in n.parts if isinstance(p, tuple) and p[1]), len(text))
+        if not text:
+            continue
+        points = (1 - linked / len(text)) * (1 + text.count(",") + min(len(text) / 100, 3))
+        up, level = n if n.tag in ("div", "section", "article", "main", "td", "html") else n.parent, 0
+        while up is not None and level < html_text.LEVELS:
+            out[id(up)] += points * (1 if level == 0 else 0.5 if level == 1 else 1 / (3 * level))
+            up, level = up.parent, level + 1
+    return nodes, out
+
+
+def test_best_container_is_that_of_brute_force():
+    rng = random.Random(4)
+    for _ in range(60):
+        blocks = ["<div>" + "".join(f"<p>{'word, ' * rng.randrange(1, 12)}{'<a href=x>link</a> ' * rng.randrange(3)}</p>" for _ in range(rng.randrange(1, 5))) + "</div>" * rng.randrange(2) for _ in range(rng.randrange(1, 7))]
+        page = "".join(blocks)
+        nodes, scores = brute_scores(html_text._tree(page))
+        length, linked = {}, {}
+        for n in reversed(nodes):
+            own = html_text._own(n)
+            length[id(n)] = len(own) + sum(length[id(p)] for p in n.parts if isinstance(p, html_text.Node))
+            linked[id(n)] = min(sum(len(p[0]) for p in n.parts if isinstance(p, tuple) and p[1]), len(own)) + sum(linked[id(p)] for p in n.parts if isinstance(p, html_text.Node))
+        holders = [n for n in nodes if n.tag not in ("p",) and length[id(n)]]
+        best = max(holders, key=lambda n: scores[id(n)] * (1 - linked[id(n)] / length[id(n)]))
+        text = html_text.main_text(page)
+        assert " ".join(html_text._joined([best]).split()) in text, page
+
+
+def test_pages_of_any_kind(spark):
+    rows = [(1, "u", PAGE), (1, "u", PAGE), (None, None, None), (2, "v", ""), (3, None, "<p>" + "long, text " * 50_000), (4, "w", "no markup at all, but words")]
+    pages = spark.createDataFrame(rows, "page_id bigint, url string, html string").withColumns({"text": F.lit("x"), "n_chars": F.lit(0)})
+    got = sorted(((r.page_id or 0, r.url, r.text, r.n_chars) for r in html_text.extract(pages).collect()), key=str)
+    want = sorted(((i or 0, u, html_text.main_text(h), len(html_text.main_text(h))) for i, u, h in rows), key=str)
+    assert got == want and any(n > 500_000 for *_, n in got)
+    assert html_text.extract(empty(pages)).count() == 0
+
+
 def test_elements_without_an_end_do_not_take_the_text():
     article = "<article><p>First, of all.</p><p>Second, too.</p></article>"
     text = "First, of all. Second, too."
