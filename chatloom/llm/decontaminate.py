@@ -95,7 +95,8 @@ def _bitmaps(windows: DataFrame, sizes: dict[int, int]) -> dict[int, list[tuple[
     if not sizes:
         return {}
     bits = F.create_map(*[F.lit(x) for n, count in sizes.items() for x in (n, _bits(count))])[F.col("length")]
-    each = F.flatten(F.array(*[F.transform(c, lambda h, k=i: F.struct(F.lit(k).alias("kind"), h.alias("h"))) for i, c in enumerate(("first", "last", "whole"))]))
+    tagged = lambda c, kind: F.transform(c, lambda h: F.struct(F.lit(kind).alias("kind"), h.alias("h")))
+    each = F.flatten(F.array(*[tagged(c, kind) for kind, c in enumerate(("first", "last", "whole"))]))
     rows = windows.select("length", bits.alias("bits"), F.explode(each).alias("x")).select("length", "x.kind", F.pmod(F.col("x.h"), F.col("bits")).alias("slot"))
     one = F.call_function("shiftleft", F.lit(1).cast("bigint"), (F.col("slot") % 64).cast("int"))
     cells = rows.groupBy("length", "kind", (F.col("slot") / 64).cast("int").alias("cell")).agg(F.bit_or(one).alias("bits")).collect()
