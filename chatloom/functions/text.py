@@ -157,8 +157,14 @@ def restore(text: Column, redactions: Column) -> Column:
     )
 
 
+def number_label(n: Column) -> Column:
+    """A number as a whole one where it is within a hundredth of it, else with one place."""
+    return F.when(F.abs(n - F.round(n)) < 0.01, F.round(n).cast("bigint").cast("string")).otherwise(F.format_string("%.1f", n.cast("double")))
+
+
 def bucket_label(low: Column, high: Column) -> Column:
-    return F.concat_ws("-", F.format_number(low, 0), F.format_number(high, 0))
+    """A bucket's ends, or the one value of a bucket that has no width."""
+    return F.when(low == high, low.cast("bigint").cast("string")).otherwise(F.concat(number_label(low), F.lit("–"), number_label(high)))
 
 
 def cache_key(*parts: Column) -> Column:
@@ -167,7 +173,13 @@ def cache_key(*parts: Column) -> Column:
 
 
 def batch_id(c: Column) -> Column:
-    return F.substring(F.regexp_replace(c, "[^A-Za-z0-9_-]", "_"), 1, 64)
+    """A request's id in the characters that batches allow, at most 64; an empty one is ``req``."""
+    return F.coalesce(F.nullif(F.substring(F.regexp_replace(c, "[^A-Za-z0-9_-]", "_"), 1, 64), F.lit("")), F.lit("req"))
+
+
+def cited_urls(c: Column) -> Column:
+    """Addresses in a model's answer, stops at their end left out, each once in order."""
+    return F.array_distinct(F.transform(F.regexp_extract_all(c, F.lit(r"https?://[^\s)\]>]+"), F.lit(0)), lambda u: F.regexp_replace(u, "[.,;]+$", "")))
 
 
 def json_block(c: Column) -> Column:

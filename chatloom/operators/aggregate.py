@@ -112,6 +112,22 @@ def complete_linkage(distance: np.ndarray, threshold: float) -> np.ndarray:
     return labels
 
 
+def halves(distance: np.ndarray) -> np.ndarray:
+    """Labels of the two clusters that complete linkage would join last."""
+    d = np.array(distance, np.float32)
+    np.fill_diagonal(d, np.inf)
+    labels, left = np.arange(len(d)), len(d)
+    while left > 2:
+        i, j = sorted(divmod(int(d.argmin()), len(d)))
+        merged = np.maximum(d[i], d[j])
+        d[i], d[:, i] = merged, merged
+        d[i, i] = np.inf
+        d[j], d[:, j] = np.inf, np.inf
+        labels[labels == j] = i
+        left -= 1
+    return labels
+
+
 def bisected(distance: np.ndarray, labels: np.ndarray, most: int = 8, tight: float = 0.03) -> np.ndarray:
     """Halve clusters of more than ``most`` members until they fit or all lie within ``tight``."""
     out = labels.copy()
@@ -122,13 +138,7 @@ def bisected(distance: np.ndarray, labels: np.ndarray, most: int = 8, tight: flo
         if len(members) <= most or part.max() <= tight:
             out[members] = members.min()
             continue
-        # the last merge of complete linkage: cut at the height that leaves two
-        lo, hi = 0.0, float(part.max()) * 2 + 1
-        split = complete_linkage(part, hi)
-        for height in np.unique(part)[::-1]:
-            split = complete_linkage(part, float(height))
-            if len(np.unique(split)) >= 2:
-                break
+        split = halves(part)
         parts = [members[split == k] for k in np.unique(split)]
         if len(parts) < 2:
             out[members] = members.min()
@@ -179,6 +189,23 @@ def medoids(pairs: DataFrame, keys: list[str]) -> DataFrame:
     return sums.groupBy(*keys).agg(F.min_by("item", F.struct("total", "item")).alias("medoid"), F.min("total").alias("total"))
 
 
+def vector_medoids(rows: DataFrame, keys: list[str], item: str, vector: str) -> DataFrame:
+    """The item of least summed cosine distance of each group, the first of equals, and its sum.
+
+    An item's cosines to all others of its group add up to one product with the sum of the
+    group's unit vectors, so the cost is linear and no pairs are made. The vectors of a table
+    have one dimension, read beforehand.
+    """
+    from .similarity import dot, unit_vectors
+
+    unit = unit_vectors(rows.select(*keys, item, vector), vector)
+    size = rows.agg(F.max(F.size(vector))).first()[0] or 0
+    sums = unit.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.array(*[F.sum(F.get(vector, F.lit(i))) for i in range(size)]).alias("_sum"))
+    away = F.col("_n") - 1 - (dot(F.col(vector), F.col("_sum")) - dot(F.col(vector), F.col(vector)))
+    each = unit.join(sums, keys).select(*keys, F.col(item).alias("item"), F.round(away, 6).alias("total"))
+    return each.groupBy(*keys).agg(F.min_by("item", F.struct("total", "item")).alias("medoid"), F.min("total").alias("total"))
+
+
 def cohesion(pairs: DataFrame, members: DataFrame) -> DataFrame:
     """1 less the greatest distance within each cluster, 1 for a single member."""
     m = members.select("item", "cluster")

@@ -205,13 +205,20 @@ def resolve(mentions: DataFrame, registry: DataFrame) -> DataFrame:
     """
     fixed = registry.where("claim_id is not null").groupBy("name", "claim_id").agg(F.max_by("canonical", "ord").alias("bound"))
     free = registry.where("claim_id is null")
+    # of each topic of a name: how many rows have it, and the first of them. A mention's topics have one
+    # candidate together if each that is known has one, and all the same
+    by_topic = free.select("name", "ord", "canonical", F.explode(F.array_distinct("topics")).alias("topic")).groupBy("name", "topic").agg(
+        F.count(F.lit(1)).alias("n"), F.min(F.struct("ord", "canonical")).alias("first")
+    )
+    topical = by_topic.groupBy("name").agg(F.map_from_entries(F.collect_list(F.struct("topic", F.struct("n", "first")))).alias("by_topic"))
     last = free.groupBy("name").agg(F.max_by("canonical", "ord").alias("last"), F.count(F.lit(1)).alias("n"))
-    key = ["claim_id", "pos", "name", "topics"]
-    topical = mentions.select(*key).distinct().join(free.select("name", "canonical", F.col("topics").alias("own")), "name")
-    topical = topical.where(F.arrays_overlap("topics", "own")).groupBy(*key).agg(F.count(F.lit(1)).alias("hits"), F.first("canonical").alias("topical"))
-    rows = mentions.join(fixed, ["name", "claim_id"], "left").join(last, "name", "left").join(topical, key, "left")
-    by_topic = F.when((F.col("n") > 1) & (F.col("hits") == 1), F.col("topical"))
-    return rows.select("claim_id", "pos", "name", F.coalesce("bound", by_topic, "last", "name").alias("canonical"))
+    known = last.join(topical, "name", "left")
+    rows = mentions.join(fixed, ["name", "claim_id"], "left").join(known, "name", "left")
+    hits = F.filter(F.transform(F.col("topics"), lambda t: F.element_at("by_topic", t)), lambda h: h.isNotNull())
+    rows = rows.withColumn("_hits", hits)
+    one = (F.size("_hits") > 0) & F.forall("_hits", lambda h: (h["n"] == 1) & (h["first"]["ord"] == F.element_at("_hits", 1)["first"]["ord"]))
+    found = F.when((F.col("n") > 1) & one, F.element_at("_hits", 1)["first"]["canonical"])
+    return rows.select("claim_id", "pos", "name", F.coalesce("bound", found, "last", "name").alias("canonical"))
 
 
 def resolved_lists(resolved: DataFrame) -> DataFrame:
@@ -220,23 +227,106 @@ def resolved_lists(resolved: DataFrame) -> DataFrame:
     return resolved.groupBy("claim_id").agg(F.array_distinct(order).alias("entities"))
 
 
-def mentions(texts: DataFrame, names: DataFrame, longest: int = 6) -> DataFrame:
-    """(claim_id, name, pos): whole-word mentions of names of up to ``longest`` words.
+def mentions(texts: DataFrame, names: DataFrame) -> DataFrame:
+    """(claim_id, name, pos): whole-word mentions of names, however many words they have.
 
-    Word sequences of texts meet names by an equi-join on their normal tokens.
+    Word sequences of texts meet names by an equi-join on their normal tokens; only
+    sequences of the lengths that names have are made.
     """
     @F.pandas_udf("array<string>")
     def words(s: pd.Series) -> pd.Series:
         return s.fillna("").map(lambda t: [normal_token(w) for w in t.split()])
 
     t = texts.select("claim_id", words("text").alias("w"))
-    n = names.select("name", words("name").alias("w")).where("size(w) > 0").select("name", F.array_join("w", " ").alias("key"), F.size("w").alias("size")).where(F.col("size") <= longest)
+    n = names.select("name", words("name").alias("w")).where("size(w) > 0").select("name", F.array_join("w", " ").alias("key"), F.size("w").alias("size"))
     sizes = n.select(F.col("size").alias("k")).distinct()
-    # at most ``longest`` rows
+    # a row for each number of words that names have
     places = t.join(F.broadcast(sizes), F.size("w") >= F.col("k")).select("claim_id", "w", "k", F.explode(F.sequence(F.lit(1), F.size("w") - F.col("k") + 1)).alias("pos"))
     return places.select("claim_id", "k", "pos", F.array_join(F.slice("w", F.col("pos"), F.col("k")), " ").alias("key")).join(n, "key").where("k = size").select("claim_id", "name", (F.col("pos") - 1).alias("pos"))
 
 
+#: Kinds of words that are no names.
+NO_NAMES = ("VERB", "ADV", "ADP", "AUX", "CCONJ", "SCONJ", "DET", "PRON", "PART", "INTJ", "PUNCT")
+WORDS = "array<struct<token:string,core:string,kind:string,ner:string,start:int,end:int>>"
+
+
+def simple_words(text: Column) -> Column:
+    """Words of a text without a model: its runs without white space, of no kind, with their places (code points)."""
+    runs = F.filter(F.split(F.coalesce(text, F.lit("")), r"\s+"), lambda w: w != "")
+    # a word's place is sought from the end of the one before
+    start = F.struct(F.lit(1).alias("at"), F.array().cast(WORDS).alias("out"))
+
+    def step(acc: Column, w: Column) -> Column:
+        at = F.call_function("locate", w, text, acc["at"])
+        word = F.struct(
+            w.alias("token"), w.alias("core"), F.lit(None).cast("string").alias("kind"), F.lit(None).cast("string").alias("ner"), (at - 1).cast("int").alias("start"), (at - 1 + F.length(w)).cast("int").alias("end")
+        )
+        return F.struct((at + F.length(w)).cast("int").alias("at"), F.concat(acc["out"], F.array(word)).alias("out"))
+
+    return F.aggregate(runs, start, step, lambda acc: acc["out"])
+
+
+def with_offsets(rows: DataFrame, text: str, words: str) -> DataFrame:
+    """Words of an analyzer (token, core, kind, ner) with the place of their core in the text.
+
+    Each token is sought from the end of the one before, without regard to case; what stands
+    before the core in its token is left out. If the token is not there its core is
+    sought; a word that is not found has no place and does not move the search.
+    """
+    import re
+
+    @F.pandas_udf(WORDS)
+    def place(t: pd.Series, w: pd.Series) -> pd.Series:
+        out = []
+        for line, given in zip(t, w, strict=True):
+            at, found = 0, []
+            for x in given if given is not None else ():
+                token, core = x["token"] or "", x["core"] or x["token"] or ""
+                low = high = None
+                for needle, lead in ((token, max(0, len(token) - len(core))), (core, 0)):
+                    hit = re.compile(re.escape(needle), re.IGNORECASE).search(line or "", at)
+                    if hit:
+                        low, high = hit.start() + lead, hit.end()
+                        at = hit.end()
+                        break
+                found.append({"token": token, "core": core, "kind": x.get("kind"), "ner": x.get("ner"), "start": low, "end": high})
+            out.append(found)
+        return pd.Series(out)
+
+    return rows.withColumn(words, place(text, words))
+
+
+def word_mentions(texts: DataFrame, names: DataFrame) -> DataFrame:
+    """(claim_id, name, start, end): runs of analyzed words (claim_id, words) that are a name's words and may be one.
+
+    A run of nothing but verbs, particles and the like is no name; a single Hebrew word has to be a
+    proper noun or named entity where its kind is known. Words meet names by an equi-join on their
+    normal forms, sequences of the names' lengths only; words without a place give no span.
+    """
+    @F.pandas_udf("array<string>")
+    def cores(words: pd.Series) -> pd.Series:
+        return words.map(lambda w: [normal_token(x["core"] or "") for x in w] if w is not None else [])
+
+    @F.pandas_udf("struct<key:string,size:int,hebrew:boolean>")
+    def forms(s: pd.Series) -> pd.DataFrame:
+        parts = s.fillna("").map(lambda t: [x for x in map(normal_token, t.split()) if x])
+        return pd.DataFrame({"key": parts.map(" ".join), "size": parts.map(len).astype("int32"), "hebrew": s.fillna("").map(is_hebrew)})
+
+    n = names.select("name", forms("name").alias("f")).select("name", "f.*").where("size > 0")
+    sizes = n.select(F.col("size").alias("k")).distinct()
+    t = texts.select("claim_id", "words", cores("words").alias("w"))
+    # a row for each number of words that names have
+    runs = t.join(F.broadcast(sizes), F.size("w") >= F.col("k")).select(
+        "claim_id", "words", "w", "k", F.explode(F.sequence(F.lit(1), F.size("w") - F.col("k") + 1)).alias("at")
+    )
+    runs = runs.select("claim_id", "k", F.slice("words", F.col("at"), F.col("k")).alias("run"), F.array_join(F.slice("w", F.col("at"), F.col("k")), " ").alias("key"))
+    met = runs.join(n, "key").where("k = size")
+    some = F.exists("run", lambda x: x["kind"].isNull() | ~x["kind"].isin(*NO_NAMES))
+    first, last = F.element_at("run", 1), F.element_at("run", -1)
+    lone = (F.col("size") == 1) & F.col("hebrew") & first["kind"].isNotNull() & first["ner"].isNull() & (first["kind"] != "PROPN")
+    return met.where(some & ~lone & first["start"].isNotNull() & last["end"].isNotNull()).select("claim_id", "name", first["start"].alias("start"), last["end"].alias("end"))
+
+
 def highlights(spans: DataFrame) -> DataFrame:
     """Non-overlapping spans of each claim: own names first, then the longer, then the earlier.
 

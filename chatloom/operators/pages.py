@@ -6,6 +6,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
+#: Keywords that one expression of a scan takes.
+KEYWORDS = 20_000
+
+
 def valid_pages(pages: DataFrame, known_tags: DataFrame, fallback: str = "general") -> DataFrame:
     """Pages with an id, the first of each id; tags not in ``known_tags`` (tag) are dropped."""
     order = Window.partitionBy("page_id").orderBy("ord")
@@ -55,11 +59,13 @@ def navigation(pages: DataFrame, files: DataFrame) -> DataFrame:
 def keyword_tags(texts: DataFrame, key: str, text: str, keywords: DataFrame, most: int = 5) -> DataFrame:
     """Tags with a keyword in the text, at most ``most`` in order of ``ord``; else the overview.
 
-    ``keywords`` (tag, ord, keyword) is a dimension of a few hundred rows and becomes
-    one expression of the scan.
+    ``keywords`` (tag, ord, keyword) is a catalog that people keep and becomes one expression
+    of the scan; more than ``KEYWORDS`` rows are an error, not a cut.
     """
+    if keywords.limit(KEYWORDS + 1).count() > KEYWORDS:
+        raise ValueError(f"more than {KEYWORDS} keywords")
     found: dict[str, tuple[int, list[str]]] = {}
-    for row in keywords.limit(10_000).collect():
+    for row in keywords.collect():
         found.setdefault(row.tag, (row.ord, []))[1].append(row.keyword.lower())
     lowered = F.lower(F.coalesce(F.col(text), F.lit("")))
     flags = []

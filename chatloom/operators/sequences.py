@@ -58,14 +58,24 @@ def quote_asof(messages: DataFrame, within: tuple[str, ...] = ("chat_id",)) -> D
 
 
 def quote_by_time(messages: DataFrame) -> DataFrame:
-    """The quoted message for ordering: the latest by (ts, idx) not later in time, itself excluded."""
-    left = messages.where("quote_text is not null").select("chat_id", F.col("idx").alias("q_idx"), F.col("ts").alias("q_ts"), "quote_sender", "quote_text")
-    right = messages.select(F.col("chat_id").alias("r_chat"), "idx", "ts", "sender", "content")
-    cond = (
-        (F.col("chat_id") == F.col("r_chat")) & (F.col("quote_sender") == F.col("sender")) & (F.col("quote_text") == F.col("content"))
-        & (F.col("ts") <= F.col("q_ts")) & (F.col("idx") != F.col("q_idx"))
+    """The quoted message for ordering: the latest by (ts, idx) not later in time, itself excluded.
+
+    Quoting and quoted rows meet in one window by key, as in ``quote_asof``: a text said very
+    often costs a sort, not its pairs. The frame holds all of the same time, the quoting row's own
+    message too; where that is the latest, the one before it in its key is the answer.
+    """
+    key = ["chat_id", "key_sender", "key_text"]
+    own = messages.select("chat_id", "idx", "ts", F.col("sender").alias("key_sender"), F.col("content").alias("key_text"))
+    before = F.lag("idx").over(Window.partitionBy(*key).orderBy("ts", "idx"))
+    build = own.select(*key, "idx", "ts", F.struct("ts", "idx", before.alias("before")).alias("own"), F.lit(False).alias("probe"))
+    probe = messages.where("quote_text is not null").select(
+        "chat_id", F.col("quote_sender").alias("key_sender"), F.col("quote_text").alias("key_text"), "idx", "ts",
+        F.lit(None).cast(build.schema["own"].dataType).alias("own"), F.lit(True).alias("probe"),
     )
-    return left.join(right, cond).groupBy("chat_id", F.col("q_idx").alias("idx")).agg(F.max_by("idx", F.struct("ts", "idx")).alias("quoted_idx"))
+    until = Window.partitionBy(*key).orderBy("ts").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    met = build.unionByName(probe).withColumn("best", F.max("own").over(until)).where("probe")
+    quoted = F.when(F.col("best.idx") == F.col("idx"), F.col("best.before")).otherwise(F.col("best.idx"))
+    return met.select("chat_id", "idx", quoted.alias("quoted_idx")).where("quoted_idx is not null")
 
 
 def quote_order(messages: DataFrame) -> DataFrame:

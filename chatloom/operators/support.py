@@ -62,7 +62,7 @@ def reaction_summary(messages: DataFrame, keys: tuple[str, ...] = ("claim",)) ->
     return each.groupBy(*keys, "emoji").agg(F.sum("n").alias("n"), F.min(F.struct("idx", "pos")).alias("seen"))
 
 
-def engagement(citations: DataFrame, people: DataFrame, key: str, floor: str = "ids") -> DataFrame:
+def engagement(citations: DataFrame, people: DataFrame, key: str) -> DataFrame:
     """Distinct supporters of several claims together.
 
     ``citations`` (key, claim) may name a claim twice; ``people`` has claim and user.

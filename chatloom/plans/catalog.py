@@ -130,8 +130,8 @@ def merged_claims(spark, sf_dir):
 s AS (SELECT label, item, round(sum(d), 6) AS total FROM (SELECT label, i AS item, d FROM p UNION ALL SELECT label, j, d FROM p) GROUP BY ALL)
 SELECT label, arg_min(item, (total, item)) AS medoid, round(min(total), 4) AS total FROM s GROUP BY label""")
 def medoids(spark, sf_dir):
-    p = similarity.pairs_within(A.vectors(spark, sf_dir), "label", "vec_id", "embedding")
-    return aggregate.medoids(p.withColumn("dist", 1 - F.col("cosine")), ["label"]).withColumn("total", F.round("total", 4))
+    found = aggregate.vector_medoids(A.vectors(spark, sf_dir), ["label"], "vec_id", "embedding")
+    return found.withColumn("total", F.round("total", 4))
 
 
 @query(f"""WITH {A.VEC} SELECT a.label, a.vec_id AS i, b.vec_id AS j, round(list_sum(list_transform(list_zip(a.u, b.u), lambda z: z[1] * z[2])), 6) AS cosine
@@ -593,10 +593,16 @@ def merged_pages(spark, sf_dir):
 # -- threads and sources -------------------------------------------------
 @query()
 def thread_assign(spark, sf_dir):
-    m = A.event_messages(spark, sf_dir)
-    v = A.vectors(spark, sf_dir).groupBy((F.col("vec_id") % 100).alias("k")).agg(F.min_by("embedding", "vec_id").alias("vector"))
-    rows = m.withColumn("k", F.col("id") % 100).join(F.broadcast(v), "k", "left").withColumns({"quote_sender": F.lit(None).cast("string"), "quote_text": F.lit(None).cast("string")})
-    return threads.assign(rows)
+    """Events as messages with a vector each; every seventh quotes its sender, every fifth has a reactor."""
+    m = _quoting(spark, sf_dir)
+    v = A.vectors(spark, sf_dir)
+    n = v.count()
+    quotes = F.col("id") % 7 == 0
+    rows = m.withColumn("k", F.col("id") % n).join(v.select(F.col("vec_id").alias("k"), F.col("embedding").alias("vector")), "k", "left").withColumns({
+        "quote_sender": F.when(quotes, F.col("quote_sender")), "quote_text": F.when(quotes, F.col("quote_text")),
+        "reactors": F.when(F.col("id") % 5 == 0, F.array((F.col("sender") + 10).cast("string"))).otherwise(F.array().cast("array<string>")),
+    })
+    return threads.assign(threads.with_term_weights(rows))
 
 
 _EXPORT = (

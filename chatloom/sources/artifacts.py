@@ -59,10 +59,11 @@ def write_pages(pages: DataFrame, path: str) -> None:
 
 
 def site_config(pages: DataFrame, title: str) -> str:
-    """YAML of a site's navigation. ``pages`` (category, title, path) is a catalog: it is small."""
+    """YAML of a site's navigation, one document that a site generator reads whole. ``pages`` (category, title, path)
+    come to the driver a partition at a time."""
     lines = [f"site_name: {json.dumps(title, ensure_ascii=False)}", "nav:"]
     last = None
-    for row in pages.orderBy("category_ord", "page_ord").limit(100_000).toLocalIterator():
+    for row in pages.orderBy("category_ord", "page_ord").toLocalIterator():
         if row.category != last:
             lines.append(f"  - {json.dumps(row.category, ensure_ascii=False)}:")
             last = row.category

@@ -104,8 +104,12 @@ def phone_messages(rows: DataFrame) -> DataFrame:
 
 
 def map_senders(messages: DataFrame, mapping: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Messages with senders replaced by ``mapping`` (old, new), and the senders without one."""
+    """Messages with senders replaced by ``mapping`` (old, new), and the senders without one, those who only reacted too."""
     m = mapping.select(F.col("old").alias("map_old"), F.col("new").alias("map_new"))
     joined = messages.join(m, messages["sender"] == m["map_old"], "left")
     out = joined.withColumn("sender", F.coalesce("map_new", "sender")).drop("map_old", "map_new")
-    return out, messages.select("sender").distinct().join(m, F.col("sender") == F.col("map_old"), "left_anti")
+    every = messages.select("sender")
+    if "reactions" in messages.columns:
+        reacted = messages.select(F.explode("reactions").alias("r")).select(F.explode("r.senders").alias("sender"))
+        every = every.unionByName(reacted.where("trim(sender) <> ''"))
+    return out, every.distinct().join(m, F.col("sender") == F.col("map_old"), "left_anti")

@@ -96,6 +96,8 @@ class Assigner:
         self.n_threads = 0
         self.previous: Message | None = None
         self.decisions: list[tuple[int, str]] = []
+        #: threads, last times, ids, vectors, means and first rows of the closed threads
+        self._stack: tuple | None = None
 
     # -- similarity ------------------------------------------------------
     def _near(self, m: Message, t: ThreadState, of, mean, like) -> float:
@@ -106,15 +108,45 @@ class Assigner:
 
     def dense(self, m: Message, t: ThreadState) -> float:
         """The same over vectors, with one product for all messages of the window."""
+        ids, units, mean = self._recent(t)
+        u = unit(m.vector)
+        if not len(u) or units.shape[1:] != u.shape:
+            return 0.0
+        return max(0.0, float((units @ u * self.c.decay ** np.abs(m.idx - ids)).max()), float(mean @ u))
+
+    def _recent(self, t: ThreadState) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         if t.recent is None:
             ids = t.ids[-self.c.window :]
             rows = [self.messages[i].vector for i in ids]
             t.recent = (np.array(ids), np.array([unit(v) for v in rows]), unit(np.mean(rows, axis=0)))
-        ids, units, mean = t.recent
+        return t.recent
+
+    def _best_closed(self, m: Message) -> tuple[ThreadState | None, float]:
+        """The closed thread of the last ``lookback_hours`` most like the message, the first of equals, if any is like it.
+
+        The recent vectors of all closed threads are one matrix, made anew after a thread was
+        closed or reopened; threads whose vectors have no common size are compared one by one.
+        """
         u = unit(m.vector)
-        if not len(u) or units.shape[1:] != u.shape:
-            return 0.0
-        return max(0.0, float((units @ u * self.c.decay ** np.abs(m.idx - ids)).max()), float(mean @ u))
+        if not self.closed or not len(u):
+            return None, 0.0
+        if self._stack is None:
+            kept = [(t, *self._recent(t)) for t in self.closed]
+            same = [x for x in kept if x[2].shape[1:] == u.shape]
+            if same:
+                sizes = np.array([len(x[1]) for x in same])
+                self._stack = (
+                    [x[0] for x in same], np.array([x[0].last_time for x in same]), np.concatenate([x[1] for x in same]), np.concatenate([x[2] for x in same]),
+                    np.stack([x[3] for x in same]), np.cumsum(sizes) - sizes,
+                )
+        if self._stack is None or self._stack[3].shape[1:] != u.shape:
+            return None, 0.0
+        threads, last, ids, units, means, first = self._stack
+        near = np.maximum.reduceat(units @ u * self.c.decay ** np.abs(m.idx - ids), first)
+        like = np.maximum(near, means @ u)
+        like[m.time - last > 3600 * self.c.lookback_hours] = 0.0
+        at = int(like.argmax())
+        return (threads[at], float(like[at])) if like[at] > 0 else (None, 0.0)
 
     def semantic(self, m: Message, t: ThreadState) -> float:
         def merged(ids: list[int]) -> dict[str, float]:
@@ -179,10 +211,7 @@ class Assigner:
             second = ranked[1][0] if len(ranked) > 1 else 0.0
             if ranked[0][0] >= self.c.attach and ranked[0][0] - second >= self.c.margin and ranked[0][0] > fresh:
                 return ranked[0][2], "attach_open"
-        best, most = None, 0.0
-        for t in self.closed:
-            if m.time - t.last_time <= 3600 * self.c.lookback_hours and (s := self.dense(m, t)) > most:
-                best, most = t, s
+        best, most = self._best_closed(m)
         if best is not None and most >= self.c.reopen:
             self._reopen(best)
             return best, "reopen_closed"
@@ -193,12 +222,14 @@ class Assigner:
         self.open = [x for x in self.open if x is not t]
         t.open = False
         self.closed.append(t)
+        self._stack = None
 
     def _reopen(self, t: ThreadState) -> None:
         if not t.open:
             self.closed = [x for x in self.closed if x is not t]
             t.open = True
             self.open.append(t)
+            self._stack = None
 
     def _close_stale(self, now: float) -> None:
         for t in [t for t in self.open if now - t.last_time >= 3600 * self.c.close_hours]:
@@ -250,11 +281,12 @@ class Assigner:
             for part in (t, tail):
                 own = [self.messages[i] for i in part.ids]
                 part.recent = None
-                part.people = {m.sender for m in own}
+                part.people = {p for m in own for p in (m.sender, *m.reactors)}
                 part.start, part.last_time, part.last_sender = own[0].time, own[-1].time, own[-1].sender
             for i in ids:
                 self.thread_of[i] = tail
             (self.open if t.open else self.closed).append(tail)
+            self._stack = None
             t = tail
 
     def rows(self) -> list[tuple[int, int, str]]:
@@ -263,17 +295,42 @@ class Assigner:
 
 
 COLUMNS = ("idx", "ts", "sender", "content", "vector", "quote_sender", "quote_text")
+#: Columns that may be absent: weights of a message's terms (else their counts), and who reacted to it.
+OPTIONAL = ("terms", "reactors")
 RESULT = "chat_id string, idx bigint, thread_no int, decision string"
 
 
 def _messages(frame: pd.DataFrame) -> Iterator[Message]:
     for r in frame.sort_values("idx", kind="stable").itertuples():
-        words: dict[str, float] = {}
-        for w in (r.content or "").lower().split():
-            words[w] = words.get(w, 0.0) + 1.0
+        given = getattr(r, "terms", None)
+        words: dict[str, float] = dict(given) if given is not None else {}
+        if given is None:
+            for w in (r.content or "").lower().split():
+                words[w] = words.get(w, 0.0) + 1.0
+        people = getattr(r, "reactors", None)
+        reactors = tuple(str(p) for p in people if p) if people is not None else ()
         quote = None if pd.isna(r.quote_sender) or pd.isna(r.quote_text) else (str(r.quote_sender), str(r.quote_text))
         vector = np.array([] if r.vector is None else r.vector, float)
-        yield Message(int(r.idx), pd.Timestamp(r.ts).timestamp(), str(r.sender), r.content or "", vector, quote, (), words)
+        yield Message(int(r.idx), pd.Timestamp(r.ts).timestamp(), str(r.sender), r.content or "", vector, quote, reactors, words)
+
+
+def _columns(messages: DataFrame) -> DataFrame:
+    return messages.select("chat_id", *COLUMNS, *[c for c in OPTIONAL if c in messages.columns])
+
+
+def with_term_weights(messages: DataFrame) -> DataFrame:
+    """Messages with ``terms``: the tf-idf weight of each term over all messages (chat_id, idx, content)."""
+    from pyspark.sql import functions as F
+
+    from ..operators import similarity
+
+    key = F.concat_ws(":", F.col("chat_id").cast("string"), F.col("idx").cast("string"))
+    docs = messages.select(key.alias("key"), "content")
+    counts = similarity.term_counts(docs, "key", "content")
+    weights = similarity.tfidf(counts, similarity.term_stats(counts)).groupBy(F.col("key").alias("_key")).agg(F.map_from_entries(F.collect_list(F.struct("term", "weight"))).alias("terms"))
+    rows = messages.withColumn("_own", key)
+    none = F.create_map().cast("map<string,double>")
+    return rows.join(weights, rows["_own"] == weights["_key"], "left").withColumn("terms", F.coalesce("terms", none)).drop("_own", "_key")
 
 
 def assign(messages: DataFrame, config: Config = Config()) -> DataFrame:
@@ -288,7 +345,7 @@ def assign(messages: DataFrame, config: Config = Config()) -> DataFrame:
         out.insert(0, "chat_id", str(key[0]))
         return out.astype({"idx": "int64", "thread_no": "int32"})
 
-    return messages.select("chat_id", *COLUMNS).groupBy("chat_id").applyInPandas(run, RESULT)
+    return _columns(messages).groupBy("chat_id").applyInPandas(run, RESULT)
 
 
 def assign_stream(messages: DataFrame, config: Config = Config()) -> DataFrame:
@@ -304,11 +361,12 @@ def assign_stream(messages: DataFrame, config: Config = Config()) -> DataFrame:
         before = {i: n for i, n, _ in chat.rows()}
         for m in _messages(pd.concat(list(frames))):
             chat.add(m)
+        chat._stack = None
         state.update((pickle.dumps(chat),))
         out = pd.DataFrame([r for r in chat.rows() if before.get(r[0]) != r[1]], columns=["idx", "thread_no", "decision"])
         out.insert(0, "chat_id", str(key[0]))
         yield out.astype({"idx": "int64", "thread_no": "int32"})
 
-    return messages.select("chat_id", *COLUMNS).groupBy("chat_id").applyInPandasWithState(
+    return _columns(messages).groupBy("chat_id").applyInPandasWithState(
         run, RESULT, "state binary", "update", GroupStateTimeout.NoTimeout
     )

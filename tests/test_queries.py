@@ -7,7 +7,7 @@ from pathlib import Path
 import duckdb
 import pytest
 
-from chatloom.plans.catalog import QUERIES, SQL
+from chatloom.plans.queries import QUERIES, SQL
 
 DATA = "/root/testdata/sf0.001"
 
