@@ -2,21 +2,10 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-
-def _saved(df: DataFrame) -> DataFrame:
-    """Cut lineage through the shared checkpoint folder, where the session has one."""
-    spark = df.sparkSession
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        path = f"{folder.rstrip('/')}/graph-{uuid.uuid4().hex}"
-        df.write.parquet(path)
-        return spark.read.schema(df.schema).parquet(path)
-    return df.persist()
+from ..sources.artifacts import saved
 
 
 def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
@@ -26,13 +15,13 @@ def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     chains shorten by half a round. Only a count a round reaches the driver. Labels
     only fall, so the rounds end by themselves and have no bound.
     """
-    both = _saved(edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).where("a <> b").distinct())
-    labels = _saved(nodes.select("node", F.col("node").alias("component")).distinct())
+    both = saved(edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).where("a <> b").distinct())
+    labels = saved(nodes.select("node", F.col("node").alias("component")).distinct())
     while True:
         far = both.join(labels, both["b"] == labels["node"]).groupBy("a").agg(F.min("component").alias("near"))
         step = labels.join(far, labels["node"] == far["a"], "left").select("node", "component", F.least("component", F.coalesce("near", "component")).alias("new"))
         up = step.select(F.col("node").alias("up"), F.col("new").alias("up_new"))
-        step = _saved(
+        step = saved(
             step.join(up, step["new"] == up["up"], "left").select("node", F.col("component").alias("old"), F.coalesce("up_new", "new").alias("component"))
         )
         changed = step.where("old <> component").limit(1).count()

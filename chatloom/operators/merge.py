@@ -267,3 +267,13 @@ def representatives(members: DataFrame, claims: DataFrame, chosen: DataFrame) ->
     return rows.join(want, ["topic", "key"], "left").groupBy("topic", "key").agg(
         F.min_by("claim_text", F.struct(~F.coalesce(F.col("claim_text") == F.col("wanted"), F.lit(False)), "pos")).alias("claim_text")
     )
+
+
+GROUP_SORTS = {"support": "support_count", "size": "endorsement_count"}
+
+
+def member_rows(groups: DataFrame, claims: DataFrame) -> DataFrame:
+    """(topic, key, pos, claim_id, claim_text, is_representative): the claims of each group; those with the group's text represent it."""
+    each = groups.select("topic", "key", F.col("claim_text").alias("shown"), F.posexplode("source_claim_ids").alias("pos", "claim_id"))
+    rows = each.join(claims.select("claim_id", "claim_text"), "claim_id")
+    return rows.select("topic", "key", "pos", "claim_id", "claim_text", (F.col("claim_text") == F.col("shown")).alias("is_representative"))

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.artifacts import saved
 
+
+#: Bytes of met pairs with their needles that are broadcast at most.
+BROADCAST_BYTES = 32 << 20
 #: Keywords that one expression of a scan takes.
 KEYWORDS = 20_000
 
@@ -56,8 +60,8 @@ def navigation(pages: DataFrame, files: DataFrame) -> DataFrame:
     return have.join(firsts, "category").withColumn("page_ord", F.row_number().over(order))
 
 
-def keyword_tags(texts: DataFrame, key: str, text: str, keywords: DataFrame, most: int = 5) -> DataFrame:
-    """Tags with a keyword in the text, at most ``most`` in order of ``ord``; else the overview.
+def keyword_hits(keywords: DataFrame, text: Column) -> Column:
+    """The tags of which a keyword is in the text, without regard to case, in order of ``ord``.
 
     ``keywords`` (tag, ord, keyword) is a catalog that people keep and becomes one expression
     of the scan; more than ``KEYWORDS`` rows are an error, not a cut.
@@ -67,14 +71,19 @@ def keyword_tags(texts: DataFrame, key: str, text: str, keywords: DataFrame, mos
     found: dict[str, tuple[int, list[str]]] = {}
     for row in keywords.collect():
         found.setdefault(row.tag, (row.ord, []))[1].append(row.keyword.lower())
-    lowered = F.lower(F.coalesce(F.col(text), F.lit("")))
+    lowered = F.lower(F.coalesce(text, F.lit("")))
     flags = []
     for tag, (_, words) in sorted(found.items(), key=lambda x: x[1][0]):
         hit = F.lit(False)
         for w in words:
             hit = hit | F.contains(lowered, F.lit(w))
         flags.append(F.when(hit, F.lit(tag)))
-    tags = F.slice(F.array_compact(F.array(*flags)), 1, most)
+    return F.array_compact(F.array(*flags)) if flags else F.array().cast("array<string>")
+
+
+def keyword_tags(texts: DataFrame, key: str, text: str, keywords: DataFrame, most: int = 5) -> DataFrame:
+    """Tags with a keyword in the text, at most ``most`` in order of ``ord``; else the overview."""
+    tags = F.slice(keyword_hits(keywords, F.col(text)), 1, most)
     return texts.select(key, F.when(F.size(tags) > 0, tags).otherwise(F.array(F.lit("overview"))).alias("tags"))
 
 
@@ -110,7 +119,12 @@ def contained(needles: DataFrame, hay: DataFrame, needle_words: int = 4, letters
 
     met = n.where("size = 0").crossJoin(hay.select("hay_id")).select("needle_id", "needle", "hay_id")
     for kind, m in sorted(lengths):
-        made = h.select("hay_id", F.explode(F.array_distinct(grams(m) if kind == "words" else parts(m))).alias("key"))
+        made = h.select("hay_id", F.explode(grams(m) if kind == "words" else parts(m)).alias("key"))
         own = keyed.where((F.col("kind") == kind) & (F.col("n") == m))
         met = met.unionByName(own.join(made, "key").select("needle_id", "needle", "hay_id"))
-    return met.join(hay, "hay_id").where(F.contains("hay", F.col("needle"))).select("needle_id", "hay_id").distinct()
+    # what met is little beside the texts, which then need not move
+    met = saved(met.distinct())
+    size = met.agg(F.sum(4 * F.length("needle") + 64)).first()[0] or 0
+    met = F.broadcast(met) if size <= BROADCAST_BYTES else met
+    texts = hay.where("hay is not null").select(F.col("hay_id").alias("_id"), "hay")
+    return texts.join(met, F.col("_id") == F.col("hay_id")).where(F.contains("hay", F.col("needle"))).select("needle_id", "hay_id").distinct()

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.text import strip
+
 NONE = "array<string>"
 EMERGENT = "emergent"
 
@@ -147,34 +149,77 @@ def move_claim(groups: DataFrame, source: str, key: str, target: str) -> DataFra
 
 
 # -- text around pages ---------------------------------------------------------
+# The texts that pages show, in the language of their readers.
+SUPPORTERS, FOR, AGAINST = "תומכים ייחודיים", "בעד", "נגד"
+STANCES = {"positive": "חיובי", "negative": "שלילי", "neutral": "ניטרלי", "factual": "עובדתי"}
+FOOTER = "\n---\n\n*מידע הקהילה מבוסס על %d טענות מתוך שיחות הקבוצה (%s). אינו ייעוץ מקצועי.*\n"
+UNKNOWN = "לא ידוע"
+COMMUNITY, NO_COMMUNITY = "## מידע מהקהילה", "_לא נמצא מידע קהילתי לנושא זה._"
+BACKGROUND = '## רקע כללי\n\n!!! info "ממקורות חיצוניים"\n    המידע להלן נאסף ממקורות ציבוריים באינטרנט ואינו משקף דעות חברי הקבוצה.\n\n'
+SOURCES, SEEN_ON, RELATED = "## מקורות", "נבדק ב-", "## עמודים קשורים"
+
+
 def rtl(text: Column) -> Column:
     """Markdown in a block that is read from right to left."""
-    return F.concat(F.lit('<div dir="rtl" markdown="1">\n\n'), F.rtrim(text), F.lit("\n\n</div>\n"))
+    return F.concat(F.lit('<div dir="rtl" markdown="1">\n\n'), strip(text), F.lit("\n\n</div>\n"))
+
 
+def stance_label(stance: Column) -> Column:
+    """A stance in the readers' language, others as they are."""
+    return F.coalesce(F.create_map(*[F.lit(x) for pair in STANCES.items() for x in pair])[stance], stance)
 
-def support_note(supporters: Column, opposers: Column) -> Column:
-    """How many people back a statement and how many are against it, as a note; counts only."""
-    people = F.when(supporters == 1, F.lit("1 person")).otherwise(F.concat(supporters.cast("string"), F.lit(" people")))
-    against = F.when(opposers > 0, F.concat(F.lit(", "), opposers.cast("string"), F.lit(" against"))).otherwise(F.lit(""))
-    return F.concat(F.lit("("), people, against, F.lit(")"))
+
+def support_note(supporters: Column, positive: Column, negative: Column) -> Column:
+    """How many people back a statement, and how its claims stand where they are of both minds; counts only."""
+    both = F.concat(F.lit(f" · {FOR}: "), positive.cast("string"), F.lit(f" · {AGAINST}: "), negative.cast("string"))
+    return F.concat(F.lit("("), supporters.cast("string"), F.lit(f" {SUPPORTERS}"), F.when((positive > 0) & (negative > 0), both).otherwise(""), F.lit(")"))
 
 
 def page_footers(statements: DataFrame, claims: DataFrame) -> DataFrame:
-    """(page_id, footer): distinct claims that a page's statements cite, and their range of months."""
+    """(page_id, n_claims, first_date, last_date, footer): distinct claims that a page's statements cite, and the range of their dates."""
     cited = statements.select("page_id", F.explode("claim_ids").alias("claim_id")).distinct()
-    rows = cited.join(claims.select("claim_id", F.substring("date", 1, 7).alias("month")).dropDuplicates(["claim_id"]), "claim_id")
-    sums = rows.groupBy("page_id").agg(F.count(F.lit(1)).alias("n_claims"), F.min("month").alias("first_month"), F.max("month").alias("last_month"))
-    span = F.when(F.col("first_month").isNull(), "").when(F.col("first_month") == F.col("last_month"), F.concat(F.lit(", "), "first_month")).otherwise(F.concat(F.lit(", "), "first_month", F.lit(" to "), "last_month"))
-    return sums.select("page_id", "n_claims", "first_month", "last_month", F.concat(F.lit("---\n\n"), F.col("n_claims").cast("string"), F.lit(" claims"), span).alias("footer"))
-
-
-def source_lists(sources: DataFrame) -> DataFrame:
-    """(page_id, sources): a numbered list of links (page_id, ord, title, url), each address once, at its first place."""
-    first = sources.where("trim(url) <> ''").groupBy("page_id", "url").agg(F.min(F.struct("ord", "title")).alias("f"))
-    order = Window.partitionBy("page_id").orderBy("f.ord", "url")
-    line = F.format_string("%d. [%s](%s)", F.row_number().over(order), F.coalesce(F.nullif(F.trim("f.title"), F.lit("")), "url"), "url")
-    rows = first.select("page_id", F.row_number().over(order).alias("n"), line.alias("line"))
-    return rows.groupBy("page_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("n", "line"))), lambda x: x["line"]), "\n").alias("sources"))
+    rows = cited.join(claims.select("claim_id", "date").dropDuplicates(["claim_id"]), "claim_id", "left")
+    date = F.nullif("date", F.lit(""))
+    sums = rows.groupBy("page_id").agg(F.count(F.lit(1)).alias("n_claims"), F.min(date).alias("first_date"), F.max(date).alias("last_date"))
+    span = (
+        F.when(F.col("first_date").isNull(), UNKNOWN).when(F.col("first_date") == F.col("last_date"), F.col("first_date")).otherwise(F.concat("first_date", F.lit("–"), "last_date"))
+    )
+    return sums.withColumn("footer", F.format_string(FOOTER, "n_claims", span))
+
+
+def _listed(rows: DataFrame, order: str, line: Column, head: str, name: str) -> DataFrame:
+    """(page_id, name): a section of one line a row, in order."""
+    body = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), line.alias("l")))), lambda x: x["l"]), "\n")
+    return rows.groupBy("page_id").agg(F.concat(F.lit(f"{head}\n\n"), body, F.lit("\n")).alias(name))
+
+
+def source_lists(sources: DataFrame, day: str) -> DataFrame:
+    """(page_id, sources): a list of links (page_id, ord, title, url), each address once, at its first place, seen on ``day``."""
+    first = sources.where("url <> ''").groupBy("page_id", "url").agg(F.min(F.struct("ord", "title")).alias("f"))
+    rows = first.select("page_id", "url", F.struct("f.ord", "url").alias("o"), F.coalesce(F.nullif("f.title", F.lit("")), "url").alias("title"))
+    return _listed(rows, "o", F.format_string(f"- [%s](%s) — {SEEN_ON}{day}", "title", "url"), SOURCES, "sources")
+
+
+def link_lists(related: DataFrame, pages: DataFrame) -> DataFrame:
+    """(page_id, links): a list of related pages (page_id, other, position) by title."""
+    titles = pages.select(F.col("page_id").alias("other"), F.coalesce("title", "page_id").alias("title"))
+    return _listed(related.join(titles, "other"), "position", F.format_string("- [%s](%s.md)", "title", "other"), RELATED, "links")
+
+
+def page_texts(pages: DataFrame, community: DataFrame, background: DataFrame, sources: DataFrame, links: DataFrame, footers: DataFrame) -> DataFrame:
+    """(page_id, markdown): each page's title, background, community text, sources, related pages and footer, as far as it has them.
+
+    The others are by page_id: community (text), background (text), sources, links and footer.
+    """
+    own = lambda df, c, name: df.select("page_id", F.col(c).alias(name))
+    rows = pages.select("page_id", "title")
+    for df, c, name in ((community, "text", "_c"), (background, "text", "_b"), (sources, "sources", "_s"), (links, "links", "_l"), (footers, "footer", "_f")):
+        rows = rows.join(own(df, c, name), "page_id", "left")
+    said = lambda c: strip(F.coalesce(c, F.lit("")))
+    back = F.when(said("_b") != "", F.concat(F.lit(BACKGROUND), said("_b"), F.lit("\n")))
+    heard = F.concat(F.lit(f"{COMMUNITY}\n\n"), F.when(said("_c") != "", said("_c")).otherwise(NO_COMMUNITY), F.lit("\n"))
+    parts = F.array_compact(F.array(F.concat(F.lit("# "), "title", F.lit("\n")), back, heard, F.col("_s"), F.col("_l")))
+    return rows.select("page_id", rtl(F.concat(F.array_join(parts, "\n"), F.coalesce("_f", F.lit("")))).alias("markdown"))
 
 
 def index_pages(pages: DataFrame, categories: DataFrame) -> DataFrame:

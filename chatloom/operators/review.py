@@ -102,6 +102,31 @@ def thread_meta(threads: DataFrame, classified: DataFrame) -> DataFrame:
     return t.join(F.broadcast(c)).join(F.broadcast(stale))
 
 
+def restructured(messages: DataFrame, classified: DataFrame, moves: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Threads and classes after messages (thread_id, idx, ts, sender, reactions) were given new threads.
+
+    Threads are summed up again, those who only reacted among the participants, and numbered in order of
+    time; classes follow ``moves`` as in ``inherited_class``, those of threads that are no more are left out.
+    """
+    from .sequences import thread_summary
+
+    threads = thread_summary(messages, reactors=True)
+    # a row a thread
+    threads = threads.withColumn("ord", F.row_number().over(Window.orderBy("start_time", "thread_id")) - 1)
+    classes = inherited_class(classified, moves).join(threads.select("thread_id", F.col("ord").alias("thread_ord")), "thread_id")
+    return threads, classes
+
+
+def shown_threads(context: DataFrame, families: DataFrame) -> DataFrame:
+    """(thread_id, shown_id, position): what is shown beside a thread: the one before, its split family in order of time, the one after, each once."""
+    side = lambda c, at: context.select("thread_id", F.col(c).alias("shown_id"), F.lit(at).alias("part"), F.lit(0).alias("place")).where("shown_id is not null")
+    own = families.select("family", F.col("thread_id").alias("shown_id"), F.col("position").alias("place"))
+    kin = families.select("family", "thread_id").join(own, "family").select("thread_id", "shown_id", F.lit(1).alias("part"), "place")
+    rows = side("prev_id", 0).unionByName(kin).unionByName(side("next_id", 2))
+    first = rows.groupBy("thread_id", "shown_id").agg(F.min(F.struct("part", "place")).alias("at"))
+    return first.select("thread_id", "shown_id", F.row_number().over(Window.partitionBy("thread_id").orderBy("at", "shown_id")).alias("position"))
+
+
 # -- redactions (claim_id, claim_text, redactions, pii_review) --------------------
 def _pending() -> Column:
     return F.size(F.coalesce("redactions", F.array())) > 0
@@ -262,6 +287,38 @@ def split_entity(entities: DataFrame, members: DataFrame, tagged: DataFrame, ent
     return left, moved.drop("_at")
 
 
+ENTITY_SORTS = {"count": "member_total", "size": "n_members", "score": "score"}
+
+
+def registry(entities: DataFrame, members: DataFrame) -> DataFrame:
+    """Names and what they stand for, in the form that ``entities.resolve`` takes: ord, name, canonical, claim_id, topics.
+
+    A member with claims of its own binds its name in these claims alone; of one name the
+    last entity counts where nothing else decides.
+    """
+    rows = members.join(entities.select("entity_id", "canonical_name", F.col("ord").alias("entity_ord")), "entity_id")
+    kind = members.schema["claim_ids"].dataType.elementType
+    bound = rows.select(F.col("entity_ord").alias("ord"), "name", F.col("canonical_name").alias("canonical"), F.explode("claim_ids").alias("claim_id"), "topics")
+    free = rows.select(F.col("entity_ord").alias("ord"), "name", F.col("canonical_name").alias("canonical"), F.lit(None).cast(kind).alias("claim_id"), "topics")
+    return free.unionByName(bound)
+
+
+def entity_highlights(own: DataFrame, others: DataFrame) -> DataFrame:
+    """(claim_id, spans): what to mark in each claim: mentions (claim_id, name, start, end) of the entity itself before those of others."""
+    from .entities import highlights
+
+    pick = lambda df, mine: df.select("claim_id", "name", "start", "end", F.lit(mine).alias("own"))
+    return highlights(pick(own, True).unionByName(pick(others, False)))
+
+
+def by_category(rows: DataFrame, category: str = "category", locale: str = "he") -> DataFrame:
+    """Rows with the place of their category in the order that readers of ``locale`` expect."""
+    names = rows.select(category).distinct()
+    place = F.row_number().over(Window.orderBy(F.collate(F.col(category), locale), category))
+    # a row a category
+    return rows.join(names.withColumn("category_place", place), category)
+
+
 def rename_entity(entities: DataFrame, entity_id, name: str) -> DataFrame:
     if not name.strip():
         raise ValueError("a name must not be empty")

@@ -118,12 +118,22 @@ def sessions(messages: DataFrame, hours: float = 12.0) -> DataFrame:
     return messages.withColumn("session", F.sum(F.when(breaks, 1).otherwise(0)).over(order.rowsBetween(Window.unboundedPreceding, 0)))
 
 
-def thread_summary(messages: DataFrame) -> DataFrame:
-    """First and last time, message count, participants and last sender of each thread."""
-    return messages.groupBy("thread_id").agg(
-        F.min("ts").alias("start_time"), F.max("ts").alias("last_time"), F.count(F.lit(1)).alias("num_messages"),
-        F.array_sort(F.collect_set("sender")).alias("participants"), F.max_by("sender", "idx").alias("last_sender"),
-    ).withColumn("num_unique_senders", F.size("participants").cast("bigint"))
+def thread_summary(messages: DataFrame, reactors: bool = False) -> DataFrame:
+    """First and last time, message count, participants and last sender of each thread.
+
+    With ``reactors`` those who only reacted (reactions) are participants too; blank names are nobody.
+    """
+    base = messages.groupBy("thread_id").agg(
+        F.min("ts").alias("start_time"), F.max("ts").alias("last_time"), F.count(F.lit(1)).alias("num_messages"), F.max_by("sender", "idx").alias("last_sender")
+    )
+    people = messages.select("thread_id", "sender")
+    if reactors:
+        reacted = messages.select("thread_id", F.explode("reactions").alias("r")).select("thread_id", F.explode("r.senders").alias("sender"))
+        people = people.unionByName(reacted.where("trim(sender) <> ''"))
+    names = people.distinct().groupBy("thread_id").agg(F.array_sort(F.collect_list("sender")).alias("participants"))
+    return base.join(names, "thread_id", "left").withColumn("participants", F.coalesce("participants", F.array().cast("array<string>"))).withColumn(
+        "num_unique_senders", F.size("participants").cast("bigint")
+    )
 
 
 def pseudonyms(messages: DataFrame) -> DataFrame:
@@ -145,6 +155,46 @@ def rendered(messages: DataFrame) -> DataFrame:
     )
 
 
+# The name of a participant and the mark of reactions in a rendered thread.
+PARTICIPANT, REACTIONS = "משתתף", "תגובות"
+
+
+def rendered_for_model(messages: DataFrame) -> DataFrame:
+    """(thread_id, rendered): lines ``[m0] (2024-01, name 1) text [reactions: 👍×2]`` of the messages that are not blank.
+
+    ``messages`` has thread_id, idx, ts, sender, content and reactions. Participants are numbered in
+    order of their first line; reactions without a sender or an emoji are left out.
+    """
+    from ..functions.text import strip
+
+    shown = messages.withColumn("content", strip(F.coalesce("content", F.lit("")))).where("content <> ''")
+    named = pseudonyms(shown).withColumn("line_no", F.row_number().over(Window.partitionBy("thread_id").orderBy("idx")) - 1)
+    people = lambda r: F.size(F.filter(F.coalesce(r["senders"], F.array().cast("array<string>")), lambda x: x != ""))
+    some = F.filter(F.coalesce("reactions", F.array().cast(messages.schema["reactions"].dataType)), lambda r: (people(r) > 0) & (r["emoji"] != ""))
+    detail = F.array_join(F.transform(some, lambda r: F.concat(r["emoji"], F.lit("×"), people(r).cast("string"))), ", ")
+    suffix = F.when(F.size(some) > 0, F.concat(F.lit(f" [{REACTIONS}: "), detail, F.lit("]"))).otherwise("")
+    line = F.concat(F.format_string(f"[m%d] (%s, {PARTICIPANT} %d) %s", "line_no", F.coalesce(F.date_format("ts", "yyyy-MM"), F.lit("")), "participant", "content"), suffix)
+    return named.select("thread_id", F.struct("line_no", line.alias("t")).alias("l")).groupBy("thread_id").agg(
+        F.array_join(F.transform(F.array_sort(F.collect_list("l")), lambda x: x["t"]), "\n").alias("rendered")
+    )
+
+
+def quote_in_thread(messages: DataFrame) -> DataFrame:
+    """(thread_id, idx, quoted_idx): the earliest earlier message of the thread that a message quotes.
+
+    Texts are equal or one holds the other, white space folded; the sender counts if the quote names
+    one. Threads are cut at a bounded length, so the pairs of a thread are bounded.
+    """
+    from ..functions.text import collapse_spaces
+
+    fold = lambda c: collapse_spaces(F.coalesce(c, F.lit("")))
+    probe = messages.select("thread_id", F.col("idx").alias("at"), "quote_sender", fold("quote_text").alias("q")).where("q <> ''")
+    said = messages.select(F.col("thread_id").alias("of"), "idx", "sender", fold("content").alias("c")).where("c <> ''")
+    same = (F.coalesce("quote_sender", F.lit("")) == "") | (F.col("sender") == F.col("quote_sender"))
+    cond = (F.col("thread_id") == F.col("of")) & (F.col("idx") < F.col("at")) & same & (F.contains("c", F.col("q")) | F.contains("q", F.col("c")))
+    return probe.join(said, cond).groupBy("thread_id", F.col("at").alias("idx")).agg(F.min("idx").alias("quoted_idx"))
+
+
 def neighbors(rows: DataFrame, key: str, order: list[Column], by: list[str] | None = None) -> DataFrame:
     """Key before and after each row in order, its position from 1 and the number of rows.
 
@@ -168,7 +218,8 @@ def split_boundaries(messages: DataFrame, min_part: int = 10, limit: int = 50) -
 
     ``messages`` has pos, ts and similarity to the next message (next_sim). A boundary
     scores half the time gap and half the lack of similarity, less a half after a
-    short gap; the first best one counts if it reaches 0.4.
+    short gap; the first best one counts if it reaches 0.4. With a column ``component``
+    (messages linked by quotes) a place that would cut a component is none.
     """
     order = Window.partitionBy("thread_id").orderBy("pos")
     gap = F.greatest(F.lit(0.0), gap_seconds(F.col("ts"), F.lead("ts").over(order)) / 60)
@@ -177,6 +228,11 @@ def split_boundaries(messages: DataFrame, min_part: int = 10, limit: int = 50) -
         "score", 0.5 * F.least(F.lit(1.0), F.col("gap") / 360) + 0.5 * (1 - F.col("next_sim")) - F.when(F.col("gap") <= 5, 0.5).otherwise(0.0)
     )
     inside = (F.col("n") > limit) & (F.col("pos") >= min_part - 1) & (F.col("pos") < F.col("n") - min_part)
+    if "component" in messages.columns:
+        end = F.max("pos").over(Window.partitionBy("thread_id", "component"))
+        reach = F.max("_end").over(order.rowsBetween(Window.unboundedPreceding, 0))
+        scored = scored.withColumn("_end", end).withColumn("_reach", reach)
+        inside = inside & (F.col("_reach") <= F.col("pos"))
     best = scored.where(inside).groupBy("thread_id").agg(F.max_by(F.struct("pos", "score"), F.struct("score", -F.col("pos"))).alias("b"))
     return best.select("thread_id", "b.pos", "b.score").where("score >= 0.4")
 
@@ -204,7 +260,10 @@ def align_senders(old: DataFrame, new: DataFrame) -> DataFrame:
     return fresh(old).groupBy("chat_id").cogroup(fresh(new).groupBy("chat_id")).applyInPandas(align, schema)
 
 
-def sender_votes(pairs: DataFrame) -> DataFrame:
+def sender_votes(pairs: DataFrame, outgoing: bool = False) -> DataFrame:
+    """Aligned pairs counted, with ``outgoing`` of messages that the phone's owner sent (is_outgoing) only."""
+    if outgoing:
+        pairs = pairs.where("is_outgoing")
     return pairs.groupBy("old_sender", "new_sender").agg(F.count(F.lit(1)).alias("n"), F.min("ord").alias("first_ord"))
 
 
@@ -222,3 +281,25 @@ def sender_mapping(votes: DataFrame, keep_phones: bool = True) -> DataFrame:
     return ranked.select(F.col("old_sender").alias("old"), F.col("new_sender").alias("new"))
 
 
+def owner_mapping(votes: DataFrame, outgoing: DataFrame, you: str = "You", suffix: str = "@c.us") -> DataFrame:
+    """The new name (old, new) of each provider id (senders that end in ``suffix``) and of the phone's owner.
+
+    The owner, whom the phone calls ``you``, takes the most frequent partner of sent messages (``outgoing``
+    votes) if there are any, else of all; others as in ``sender_mapping``.
+    """
+    most = lambda v: v.withColumn("_n", F.row_number().over(Window.partitionBy("old_sender").orderBy(F.desc("n"), "first_ord"))).where("_n = 1")
+    own = most(outgoing.where(F.col("old_sender") == you)).select(F.col("old_sender").alias("old"), F.col("new_sender").alias("sent"))
+    every = most(votes.where(F.col("old_sender") == you)).select(F.col("old_sender").alias("old"), F.col("new_sender").alias("any"))
+    owner = every.join(own, "old", "left").select("old", F.coalesce("sent", "any").alias("new"))
+    return sender_mapping(votes).where((F.col("old") != you) & F.endswith("old", F.lit(suffix))).unionByName(owner)
+
+
+def overlap_mapping(old: DataFrame, new: DataFrame) -> DataFrame:
+    """(old, new) names of senders from the time that two exports of a chat (chat_id, idx, ts, sender, content) share.
+
+    Messages of the old export from the first of the new one on are aligned with it by content;
+    names that stay phone numbers are left out.
+    """
+    first = new.groupBy(F.col("chat_id").alias("_chat")).agg(F.min("ts").alias("_since"))
+    late = old.join(first, old["chat_id"] == first["_chat"]).where("ts >= _since").drop("_chat", "_since")
+    return sender_mapping(sender_votes(align_senders(late, new)), keep_phones=False)

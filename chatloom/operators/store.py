@@ -78,3 +78,37 @@ def page_markdown(pages: DataFrame, statements: DataFrame, measures: DataFrame)
     part = F.when(F.col("section") != "", F.concat(F.lit("## "), "section", F.lit("\n\n"), "body")).otherwise(F.col("body"))
     whole = sections.groupBy("page_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("first", part.alias("p")))), lambda x: x["p"]), "\n\n").alias("text"))
     return pages.join(whole, "page_id").select("page_id", F.concat(F.lit("# "), "title", F.lit("\n\n"), "text", F.lit("\n")).alias("markdown"))
+
+
+def set_related(related: DataFrame, wanted: DataFrame, pages: DataFrame) -> DataFrame:
+    """Related pages (page_id, related, ord) with those of ``wanted`` in place of what their pages had: existing others, each once, in order."""
+    ids = pages.select("page_id").distinct()
+    asked = wanted.join(ids, "page_id", "left_semi")
+    known = asked.where("related <> page_id").join(ids.withColumnRenamed("page_id", "related"), "related", "left_semi")
+    new = known.groupBy("page_id", "related").agg(F.min("ord").alias("ord"))
+    left = related.join(asked.select("page_id").distinct(), "page_id", "left_anti")
+    return left.select("page_id", "related", "ord").unionByName(new.select("page_id", "related", "ord"))
+
+
+def store_counts(pages: DataFrame, statements: DataFrame, links: DataFrame) -> DataFrame:
+    """One row: pages, those with statements, statements, claims that they cite, and links."""
+    one = lambda df, c: df.agg(c)
+    n = F.count(F.lit(1))
+    cited = statements.select(F.explode("claim_ids").alias("claim")).agg(F.count_distinct("claim").alias("claims"))
+    # one row each
+    return one(pages, n.alias("pages")).join(F.broadcast(statements.agg(F.count_distinct("page_id").alias("pages_with_statements"), n.alias("statements")))).join(
+        F.broadcast(cited)
+    ).join(F.broadcast(one(links, n.alias("links"))))
+
+
+def page_catalog(pages: DataFrame, statements: DataFrame) -> DataFrame:
+    """(page_id, line): a line of a prompt for each page, ``- id.md — title (n)`` with the number of its statements."""
+    n = statements.groupBy(F.col("page_id").alias("_of")).agg(F.count(F.lit(1)).alias("_n"))
+    rows = pages.join(n, pages["page_id"] == n["_of"], "left")
+    return rows.select("page_id", F.format_string("- %s.md — %s (%d)", "page_id", "title", F.coalesce("_n", F.lit(0))).alias("line"))
+
+
+def next_statement(statements: DataFrame) -> DataFrame:
+    """(page_id, next): the number that a page's next statement takes, after the greatest in use."""
+    number = F.regexp_extract("statement_id", r"-s(\d+)$", 1)
+    return statements.groupBy("page_id").agg((F.coalesce(F.max(F.when(number != "", number.cast("int"))), F.lit(0)) + 1).alias("next"))

@@ -54,6 +54,13 @@ def support_counts(votes: DataFrame, keys: tuple[str, ...] = ("claim",)) -> Data
     )
 
 
+def message_reactions(reactions: Column | str) -> Column:
+    """(emoji, count, sentiment) of each reaction of one message that somebody made, in order; no names."""
+    r = F.col(reactions) if isinstance(reactions, str) else reactions
+    made = F.transform(r, lambda x: F.struct(x["emoji"].alias("emoji"), F.size(F.filter(x["senders"], lambda p: p != "")).alias("count"), sentiment(x["emoji"]).alias("sentiment")))
+    return F.filter(made, lambda x: x["count"] > 0)
+
+
 def reaction_summary(messages: DataFrame, keys: tuple[str, ...] = ("claim",)) -> DataFrame:
     """Reactions by emoji, in the order in which they are first seen."""
     each = messages.select(*keys, "idx", F.posexplode("reactions").alias("pos", "r")).select(

@@ -55,18 +55,18 @@ clm AS (
 
 def votes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order lines as votes of customers on a part in a year."""
-    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_shipdate", "l_linestatus", "l_returnflag")
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_shipdate", "l_linestatus", "l_returnflag")
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     return lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
         F.col("l_partkey").alias("part"), F.year("l_shipdate").cast("bigint").alias("yr"), F.col("o_custkey").alias("user"),
-        F.when(F.col("l_linestatus") == "F", "statement").otherwise("reaction").alias("role"),
+        F.when(F.col("l_linenumber") % 4 == 3, "opposing").when(F.col("l_linestatus") == "F", "statement").otherwise("reaction").alias("role"),
         F.when(F.col("l_returnflag") == "A", "positive").when(F.col("l_returnflag") == "R", "negative").otherwise("neutral").alias("sentiment"),
         F.date_format("l_shipdate", "yyyy-MM").alias("month"), F.col("l_orderkey").alias("claim"),
     )
 
 
 SUP = """sup AS (
-  SELECT l_partkey AS part, CAST(year(l_shipdate) AS BIGINT) AS yr, o_custkey AS usr, CASE l_linestatus WHEN 'F' THEN 'statement' ELSE 'reaction' END AS role,
+  SELECT l_partkey AS part, CAST(year(l_shipdate) AS BIGINT) AS yr, o_custkey AS usr, CASE WHEN l_linenumber % 4 = 3 THEN 'opposing' WHEN l_linestatus = 'F' THEN 'statement' ELSE 'reaction' END AS role,
     CASE l_returnflag WHEN 'A' THEN 'positive' WHEN 'R' THEN 'negative' ELSE 'neutral' END AS sentiment, strftime(l_shipdate, '%Y-%m') AS month, l_orderkey AS claim
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey)"""
 PEOPLE = """people AS (

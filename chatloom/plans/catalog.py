@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import text as T
 from ..operators import aggregate, edits, entities, graph, pages, sequences, similarity, support, views
 from ..sources import exports
+from ..sources.artifacts import saved
 from ..streaming import threads
 from . import adapters as A
 
@@ -57,9 +58,21 @@ def reaction_totals(spark, sf_dir):
     return support.reaction_summary(m).select("claim", "emoji", "n")
 
 
-@query("""SELECT event_type AS emoji, CAST(count(*) AS BIGINT) AS n FROM events GROUP BY event_type""")
+_USED = "CASE event_type WHEN 'purchase' THEN '👍' WHEN 'error' THEN '👎' WHEN 'click' THEN '🤔' ELSE event_type END"
+
+
+@query(f"""SELECT {_USED} AS emoji, CAST(count(*) AS BIGINT) AS n FROM events WHERE event_type NOT IN ('purchase', 'error') GROUP BY ALL""")
 def emoji_gaps(spark, sf_dir):
-    return support.emoji_coverage(A.table(spark, sf_dir, "events").select(F.col("event_type").alias("emoji"), F.lit(1).alias("n")))
+    e = F.when(F.col("event_type") == "purchase", "👍").when(F.col("event_type") == "error", "👎").when(F.col("event_type") == "click", "🤔").otherwise(F.col("event_type"))
+    return support.emoji_coverage(A.table(spark, sf_dir, "events").select(e.alias("emoji"), F.lit(1).alias("n")))
+
+
+@query(f"""SELECT event_id, {_USED} || ':2:' || CASE event_type WHEN 'purchase' THEN 'positive' WHEN 'error' THEN 'negative' ELSE 'neutral' END AS reactions FROM events""")
+def message_reactions(spark, sf_dir):
+    e = F.when(F.col("event_type") == "purchase", "👍").when(F.col("event_type") == "error", "👎").when(F.col("event_type") == "click", "🤔").otherwise(F.col("event_type"))
+    made = F.array(F.struct(e.alias("emoji"), F.array(F.lit("a"), F.lit(""), F.lit("b")).alias("senders")), F.struct(F.lit("x").alias("emoji"), F.array(F.lit("")).alias("senders")))
+    rows = A.table(spark, sf_dir, "events").select("event_id", support.message_reactions(made).alias("r"))
+    return rows.select("event_id", F.array_join(F.transform("r", lambda x: F.concat_ws(":", x["emoji"], x["count"].cast("string"), x["sentiment"])), ",").alias("reactions"))
 
 
 # -- aggregates ----------------------------------------------------------
@@ -150,6 +163,18 @@ def decayed_similarity(spark, sf_dir):
     return similarity.decayed_similarity(v, "embedding").withColumn("similarity", F.round("similarity", 6))
 
 
+@query(f"""WITH {A.VEC}, r AS (SELECT unit.*, CAST(e.embedding AS DOUBLE[]) AS v, row_number() OVER (PARTITION BY unit.label ORDER BY unit.vec_id) AS rn FROM unit JOIN embeddings e USING (vec_id)),
+p AS (SELECT a.vec_id, max(list_sum(list_transform(list_zip(a.u, b.u), lambda z: z[1] * z[2])) * pow(0.95, a.vec_id - b.vec_id)) AS s
+  FROM r a JOIN r b ON a.label = b.label AND b.rn BETWEEN a.rn - 20 AND a.rn - 1 GROUP BY ALL),
+x AS (SELECT a.vec_id, unnest(b.v) AS val, unnest(range(len(b.v))) AS dim FROM r a JOIN r b ON a.label = b.label AND b.rn BETWEEN a.rn - 20 AND a.rn - 1),
+m AS (SELECT vec_id, dim, avg(val) AS val FROM x GROUP BY ALL), l AS (SELECT vec_id, list(val ORDER BY dim) AS mean, sqrt(sum(val * val)) AS n FROM m GROUP BY vec_id),
+w AS (SELECT l.vec_id, list_sum(list_transform(list_zip(r.u, l.mean), lambda z: z[1] * z[2])) / n AS c FROM l JOIN r ON r.vec_id = l.vec_id)
+SELECT r.label AS thread_id, r.vec_id AS idx, round(greatest(0, coalesce(s, 0), coalesce(c, 0)), 6) AS similarity FROM r LEFT JOIN p ON r.vec_id = p.vec_id LEFT JOIN w ON r.vec_id = w.vec_id""")
+def thread_similarity(spark, sf_dir):
+    v = A.vectors(spark, sf_dir).select(F.col("label").alias("thread_id"), F.col("vec_id").alias("idx"), "embedding")
+    return similarity.thread_similarity(v, "embedding").withColumn("similarity", F.round("similarity", 6))
+
+
 @query()
 def claim_clusters(spark, sf_dir):
     return aggregate.cluster_groups(A.vectors(spark, sf_dir), ["label"], "vec_id", "embedding", 0.7)
@@ -173,15 +198,19 @@ def term_stats(spark, sf_dir):
 @query(f"""WITH {_TERMS}, w AS (SELECT doc_id, c.term, n / sum(n) OVER (PARTITION BY doc_id) * idf AS weight FROM c JOIN s ON c.term = s.term)
 SELECT doc_id, count(*) AS terms, round(sum(weight), 6) AS total, round(max(weight), 9) AS top FROM w GROUP BY doc_id""")
 def tfidf_weights(spark, sf_dir):
-    c = _counts(spark, sf_dir)
+    c = saved(_counts(spark, sf_dir))
     w = similarity.tfidf(c, similarity.term_stats(c))
     return w.groupBy("doc_id").agg(F.count(F.lit(1)).alias("terms"), F.round(F.sum("weight"), 6).alias("total"), F.round(F.max("weight"), 9).alias("top"))
 
 
-@query()
+@query(f"""WITH {_TERMS}, w AS (SELECT doc_id, c.term, n / sum(n) OVER (PARTITION BY doc_id) * idf AS weight FROM c JOIN s ON c.term = s.term),
+nm AS (SELECT doc_id, sqrt(sum(weight * weight)) AS norm FROM w GROUP BY doc_id),
+p AS (SELECT a.doc_id AS query, b.doc_id, sum(a.weight * b.weight) AS dot FROM w a JOIN w b ON a.term = b.term AND a.doc_id % 100 = 0 AND a.doc_id <> b.doc_id GROUP BY ALL),
+k AS (SELECT query, p.doc_id, round(dot / (x.norm * y.norm), 6) AS cosine FROM p JOIN nm x ON x.doc_id = p.doc_id JOIN nm y ON y.doc_id = query)
+SELECT query, doc_id, cosine, CAST(row_number() OVER (PARTITION BY query ORDER BY cosine DESC, doc_id) AS INTEGER) AS rank FROM k QUALIFY rank <= 5""")
 def tfidf_neighbors(spark, sf_dir):
-    c = _counts(spark, sf_dir)
-    w = similarity.tfidf(c, similarity.term_stats(c))
+    c = saved(_counts(spark, sf_dir))
+    w = saved(similarity.tfidf(c, similarity.term_stats(c)))
     return similarity.sparse_top(w, A.table(spark, sf_dir, "documents").where("doc_id % 100 = 0"), "doc_id")
 
 
@@ -368,12 +397,15 @@ def websites(spark, sf_dir):
 
 _LINES = ("hello there", "Dan was added", "Dan was added by Eve", "Eve added Dan", "added by hand: Eve added Dan", "image omitted", "Dan left", "you added Eve", "left over", "", "I removed it")
 _FLAGS = (0, 1, 0, 1, 0, 1, 1, 1, 0, 1, 1)
+_CASES = ", ".join(f"({i}, '{x}', {str(bool(f)).lower()})" for i, (x, f) in enumerate(zip(_LINES, _FLAGS, strict=True)))
 
 
-@query("SELECT * FROM (VALUES " + ", ".join(f"('{x}', {str(bool(f)).lower()})" for x, f in zip(_LINES, _FLAGS, strict=True)) + ") t(line, is_system)")
+@query(f"""WITH c AS (SELECT * FROM (VALUES {_CASES}) t(k, line, flag)) SELECT event_id, flag AS is_system FROM events JOIN c ON k = event_id % {len(_LINES)}""")
 def system_flag(spark, sf_dir):
-    rows = spark.createDataFrame([(x,) for x in _LINES], "line string")
-    return rows.select("line", T.is_system(T.normalize_content(F.col("line"))).alias("is_system"))
+    """Every event says one of the lines, with marks of direction and spaces around it."""
+    said = F.array(*map(F.lit, _LINES))[(F.col("event_id") % len(_LINES)).cast("int")]
+    rows = A.table(spark, sf_dir, "events").select("event_id", F.concat(F.lit("\u200e "), said, F.lit(" \u200f")).alias("line"))
+    return rows.select("event_id", T.is_system(T.normalize_content(F.col("line"))).alias("is_system"))
 
 
 # -- entities ------------------------------------------------------------
@@ -605,14 +637,15 @@ def thread_assign(spark, sf_dir):
     return threads.assign(threads.with_term_weights(rows))
 
 
-_EXPORT = (
-    "[1/2/24, 9:00:00 PM] Dan: hello", "[1/2/24, 9:01:00 PM] Dan: again", "and more", "[1/2/24, 9:02:00 PM] Eve: <image omitted>",
-    "[1/2/24, 9:05:00 PM] Eve: hi",
-)
-
-
-@query("""SELECT * FROM (VALUES (CAST(0 AS BIGINT), TIMESTAMP '2024-01-02 21:00:00', 'Dan', 'hello' || chr(10) || 'again' || chr(10) || 'and more'),
-(CAST(1 AS BIGINT), TIMESTAMP '2024-01-02 21:05:00', 'Eve', 'hi')) t(idx, ts, sender, content)""")
+@query(f"""WITH {A.MSG}, s AS (SELECT chat_id, idx, date_trunc('second', ts) AS ts, 'S' || sender AS sender, content || CASE WHEN idx % 3 = 0 THEN chr(10) || 'and more' ELSE '' END AS content FROM msg),
+f AS (SELECT *, CASE WHEN lag(sender) OVER w = sender AND epoch(ts) - epoch(lag(ts) OVER w) < 120 THEN 0 ELSE 1 END AS new FROM s WINDOW w AS (PARTITION BY chat_id ORDER BY idx)),
+r AS (SELECT *, sum(new) OVER (PARTITION BY chat_id ORDER BY idx) AS run FROM f)
+SELECT 'f' || chat_id AS file, CAST(run - 1 AS BIGINT) AS idx, arg_min(ts, idx) AS ts, any_value(sender) AS sender, string_agg(content, chr(10) ORDER BY idx) AS content FROM r GROUP BY chat_id, run""")
 def parsed_export(spark, sf_dir):
-    lines = spark.createDataFrame([("f", i, x) for i, x in enumerate(_EXPORT)], "file string, line_no int, text string")
-    return exports.parse_new_format(lines).select("idx", "ts", "sender", "content")
+    """The events of each chat written as an export of the new format, system lines between them, and parsed."""
+    m = A.event_messages(spark, sf_dir)
+    head = F.concat(F.lit("\u200e["), F.date_format("ts", "M/d/yy, h:mm:ss a"), F.lit("] "))
+    line = F.concat(head, F.lit("S"), "sender", F.lit(": "), "content")
+    text = F.array(line, F.when(F.col("idx") % 3 == 0, F.lit("and more")), F.when(F.col("idx") % 5 == 0, F.concat(head, F.lit("X: X left"))))
+    rows = m.select(F.concat(F.lit("f"), "chat_id").alias("file"), "idx", F.posexplode(F.array_compact(text)).alias("part", "text"))
+    return exports.parse_new_format(rows.select("file", (F.col("idx") * 3 + F.col("part")).alias("line_no"), "text"))

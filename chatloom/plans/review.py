@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import classify, contacts, merge, plan, review
+from ..operators import classify, contacts, merge, plan, review, sequences
 from . import adapters as A
 from .catalog import query
 
@@ -455,18 +455,18 @@ def index_pages(spark, sf_dir):
 
 
 @query(f"""WITH {A.CLM}, s AS (SELECT DISTINCT source AS page_id, claim_id, month FROM clm WHERE claim_id % 2 = 0), x AS (SELECT page_id, count(*) AS n, min(month) AS a, max(month) AS b FROM s GROUP BY page_id)
-SELECT page_id, n AS n_claims, a AS first_month, b AS last_month, '---' || chr(10) || chr(10) || n || ' claims, ' || CASE WHEN a = b THEN a ELSE a || ' to ' || b END AS footer FROM x""")
+SELECT page_id, n AS n_claims, a AS first_date, b AS last_date, replace(replace('{plan.FOOTER}', '%d', CAST(n AS VARCHAR)), '%s', CASE WHEN a = b THEN a ELSE a || '–' || b END) AS footer FROM x""")
 def page_footers(spark, sf_dir):
     c = A.claims(spark, sf_dir)
     cited = c.where("claim_id % 2 = 0").select(F.col("source").alias("page_id"), F.array("claim_id", "claim_id").alias("claim_ids"))
     return plan.page_footers(cited, c.withColumn("date", F.col("month")))
 
 
-@query("""WITH f AS (SELECT page_id % 7 AS page_id, url, min((page_id, 'a title')) AS f FROM pages WHERE trim(url) <> '' GROUP BY page_id % 7, url), r AS (SELECT page_id, url, row_number() OVER (PARTITION BY page_id ORDER BY f[1], url) AS n FROM
-(SELECT page_id, url, struct_extract(f, 1) AS f0, [struct_extract(f, 1)] AS f FROM f)) SELECT page_id, string_agg(n || '. [a title](' || url || ')', chr(10) ORDER BY n) AS sources FROM r GROUP BY page_id""")
+@query(f"""WITH f AS (SELECT page_id % 7 AS page_id, url, min(page_id) AS o FROM pages WHERE url <> '' GROUP BY page_id % 7, url)
+SELECT page_id, '{plan.SOURCES}' || chr(10) || chr(10) || string_agg('- [a title](' || url || ') — {plan.SEEN_ON}2024-01-02', chr(10) ORDER BY o, url) || chr(10) AS sources FROM f GROUP BY page_id""")
 def source_lists(spark, sf_dir):
     p = A.table(spark, sf_dir, "pages").select((F.col("page_id") % 7).alias("page_id"), F.col("page_id").alias("ord"), F.lit("a title").alias("title"), "url")
-    return plan.source_lists(p)
+    return plan.source_lists(p, "2024-01-02")
 
 
 # -- reviews of threads ------------------------------------------------------------
@@ -528,6 +528,28 @@ def wrong_ranges(spark, sf_dir):
     return review.checked_ranges(e.select("thread_id", "low", "high"), e.select("thread_id", "n")).select("thread_id", "wrong")
 
 
+@query(r"""WITH c AS (SELECT conv_id, turn, role, trim(regexp_replace(text, '\s+', ' ', 'g')) AS t FROM conversations),
+q AS (SELECT conv_id, turn AS spot, CASE WHEN turn % 2 = 1 THEN role END AS who, trim(substr(t, 1, 3)) AS q FROM c WHERE trim(substr(t, 1, 3)) <> '')
+SELECT q.conv_id AS thread_id, spot AS idx, min(c.turn) AS quoted_idx FROM q JOIN c ON c.conv_id = q.conv_id AND c.turn < spot AND c.t <> '' AND (who IS NULL OR who = c.role) AND (contains(c.t, q.q) OR contains(q.q, c.t)) GROUP BY ALL""")
+def quote_in_thread(spark, sf_dir):
+    m = A.conversation_messages(spark, sf_dir)
+    from ..functions import text as T
+
+    start = F.substring(T.collapse_spaces(F.coalesce("content", F.lit(""))), 1, 3)
+    return sequences.quote_in_thread(m.withColumns({"quote_sender": F.when(F.col("idx") % 2 == 1, F.col("sender")), "quote_text": start}))
+
+
+@query(r"""WITH c AS (SELECT conv_id AS thread_id, turn, role, text, trim(text, chr(10) || chr(13) || chr(9) || ' ') AS t FROM conversations WHERE trim(text, chr(10) || chr(13) || chr(9) || ' ') <> ''),
+n AS (SELECT *, row_number() OVER (PARTITION BY thread_id ORDER BY turn) - 1 AS line, min(turn) OVER (PARTITION BY thread_id, role) AS f FROM c),
+p AS (SELECT *, dense_rank() OVER (PARTITION BY thread_id ORDER BY f) AS who FROM n)
+SELECT thread_id, md5(string_agg('[m' || line || '] (2024-01, {P} ' || who || ') ' || t || CASE WHEN turn % 2 = 0 THEN ' [{R}: 👍×2, 🎉×1]' ELSE '' END, chr(10) ORDER BY line)) AS rendered FROM p GROUP BY thread_id""".replace("{P}", sequences.PARTICIPANT).replace("{R}", sequences.REACTIONS))
+def threads_for_model(spark, sf_dir):
+    made = lambda e, *who: F.struct(F.lit(e).alias("emoji"), F.array(*map(F.lit, who)).alias("senders"))
+    some = F.array(made("👍", "a", "b"), made("x", ""), made("", "a"), made("🎉", "c", ""))
+    m = A.conversation_messages(spark, sf_dir).withColumns({"ts": F.lit("2024-01-05 00:00:00").cast("timestamp_ntz"), "reactions": F.when(F.col("idx") % 2 == 0, some).otherwise(F.array().cast("array<struct<emoji:string,senders:array<string>>>"))})
+    return sequences.rendered_for_model(m).select("thread_id", F.md5(F.col("rendered").cast("binary")).alias("rendered"))
+
+
 # -- reviews of redactions -----------------------------------------------------------
 _RED = f"""rd AS (SELECT doc_id AS claim_id, list_transform(regexp_extract_all(text, '{_MAIL}'), lambda x: x) AS mails, CASE doc_id % 5 WHEN 1 THEN 'accepted' WHEN 2 THEN 'restored' END AS pii_review, text FROM documents),
 ps AS (SELECT *, CASE WHEN len(mails) > 0 THEN 'pending' ELSE coalesce(pii_review, '') END AS status FROM rd)"""

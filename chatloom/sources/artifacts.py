@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import json
+import tempfile
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,6 +22,22 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
+def saved(df: DataFrame) -> DataFrame:
+    """``df`` as a table in the shared checkpoint folder, which cuts its lineage; where the session
+    names no such folder, as in tests, in one that Spark has or gets for it."""
+    spark = df.sparkSession
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        own = spark.sparkContext._jsc.sc().getCheckpointDir()
+        if not own.isDefined():
+            spark.sparkContext.setCheckpointDir("file://" + tempfile.mkdtemp(prefix="shared-"))
+            own = spark.sparkContext._jsc.sc().getCheckpointDir()
+        folder = own.get()
+    path = f"{folder.rstrip('/')}/saved-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def resolve(spark: SparkSession, original: str, edited: str) -> str:
     """The edited table's path if there is one, else the original's."""
     return edited if exists(spark, edited) else original

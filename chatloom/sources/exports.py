@@ -14,10 +14,16 @@ OLD_HEADER = f"^{T.MARKS}*(\\d{{1,2}}/\\d{{1,2}}/\\d{{2,4}}), (\\d{{1,2}}:\\d{{2
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
-    """file, line_no and text of every line. A file is one record, as its lines depend
-    on those before; files are read in parallel."""
-    files = spark.read.text(path, wholetext=True).select(F.input_file_name().alias("file"), F.split("value", "\r?\n").alias("lines"))
-    return files.select("file", F.posexplode("lines").alias("line_no", "text"))
+    """file, line_no and text of every line.
+
+    Files are read in blocks by all tasks; a block's place in its file and a line's place in its
+    block number the lines, which are then put in order by file, as they depend on those before.
+    """
+    rows = spark.read.text(path).select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("at"), F.col("value").alias("text")
+    )
+    order = Window.partitionBy("file").orderBy("block", "at")
+    return rows.select("file", (F.row_number().over(order) - 1).alias("line_no"), "text")
 
 
 def parse_new_format(lines: DataFrame, correct_pm: bool = True) -> DataFrame:

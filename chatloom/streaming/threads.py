@@ -235,6 +235,11 @@ class Assigner:
         for t in [t for t in self.open if now - t.last_time >= 3600 * self.c.close_hours]:
             self._shut(t)
 
+    def flush(self) -> None:
+        """The end of a chat: all open threads are closed, in order."""
+        for t in list(self.open):
+            self._shut(t)
+
     # -- splits ----------------------------------------------------------
     def _components(self, ids: list[int]) -> dict[int, int]:
         """The quote component of each message of a thread."""
@@ -341,6 +346,7 @@ def assign(messages: DataFrame, config: Config = Config()) -> DataFrame:
         state = Assigner(config)
         for m in _messages(frame):
             state.add(m)
+        state.flush()
         out = pd.DataFrame(state.rows(), columns=["idx", "thread_no", "decision"])
         out.insert(0, "chat_id", str(key[0]))
         return out.astype({"idx": "int64", "thread_no": "int32"})

@@ -210,10 +210,20 @@ def test_plan_falls_back_to_topics(spark):
 
 
 def test_text_around_pages(spark):
+    n = F.lit
     row = spark.range(1).select(
-        plan.rtl(F.lit("# x\n\n")).alias("rtl"), plan.support_note(F.lit(1), F.lit(0)).alias("one"), plan.support_note(F.lit(3), F.lit(2)).alias("more")
+        plan.rtl(n("\n# x\n\n")).alias("rtl"), plan.support_note(n(1), n(2), n(0)).alias("one"), plan.support_note(n(3), n(2), n(1)).alias("more"), plan.stance_label(n("positive")).alias("s"), plan.stance_label(n("odd")).alias("o")
     ).first()
-    assert row.rtl.startswith('<div dir="rtl"') and row.rtl.endswith("</div>\n") and (row.one, row.more) == ("(1 person)", "(3 people, 2 against)")
+    assert row.rtl == '<div dir="rtl" markdown="1">\n\n# x\n\n</div>\n'
+    assert (row.one, row.more) == (f"(1 {plan.SUPPORTERS})", f"(3 {plan.SUPPORTERS} · {plan.FOR}: 2 · {plan.AGAINST}: 1)") and (row.s, row.o) == (plan.STANCES["positive"], "odd")
+    pages = spark.createDataFrame([("p", "P"), ("q", "Q")], "page_id string, title string")
+    text = lambda rows, c: spark.createDataFrame(rows, f"page_id string, {c} string")
+    links = plan.link_lists(spark.createDataFrame([("p", "q", 1)], "page_id string, other string, position int"), pages)
+    cited = spark.createDataFrame([("p", [1, 2, 2]), ("p", [9])], "page_id string, claim_ids array<int>")
+    feet = plan.page_footers(cited, spark.createDataFrame([(1, "2024-01"), (2, "2024-03")], "claim_id int, date string"))
+    whole = {r.page_id: r.markdown for r in plan.page_texts(pages, text([("p", " said ")], "text"), text([("q", "known")], "text"), text([("p", "SRC\n")], "sources"), links, feet).collect()}
+    assert whole["p"] == f'<div dir="rtl" markdown="1">\n\n# P\n\n{plan.COMMUNITY}\n\nsaid\n\nSRC\n\n{plan.RELATED}\n\n- [Q](q.md)\n' + (plan.FOOTER % (3, "2024-01–2024-03")).rstrip() + "\n\n</div>\n"
+    assert plan.NO_COMMUNITY in whole["q"] and plan.BACKGROUND + "known" in whole["q"] and plan.RELATED not in whole["q"]
     t = spark.createDataFrame([("a", "A", "c", 2, ["X"], []), ("b", "B", "c", 1, [], ["s1", "s2"])], "topic string, title string, category string, claim_count int, entities array<string>, samples array<string>")
     assert [r.l for r in t.select(plan.summary_line().alias("l")).collect()][1] == "- id: b | title: B | claims: 1 | category: c | entities: (none) | samples: s1 / s2"
 
