@@ -213,6 +213,23 @@ def test_gnu_notices_are_told_apart(name, kind, version):
     assert (found.license, found.coverage) == (name, 1.0)
 
 
+def test_templates_are_found_in_any_text_around_them():
+    """Every template planted whole, edited and twice in long texts: found by name, in its place; nothing else is."""
+    s, rng = licenses.LicenseScanner(), random.Random(6)
+    filler = ["lorem", "ipsum", "dolor", "amet", "terms", "work", "code", "page"]
+    for name, text in licenses.TEMPLATES.items():
+        words = licenses.words(text)
+        around = lambda n: [rng.choice(filler) for _ in range(n)]
+        got = s.scan(" ".join([*around(300), *words, *around(200), *words, *around(50)]))
+        assert [(f.license, f.start, f.end) for f in got] == [(name, 300, 300 + len(words)), (name, 500 + len(words), 500 + 2 * len(words))], name
+        if len(words) > 40:
+            edited = [w for i, w in enumerate(words) if i % 11 != 7]
+            (f,) = s.scan(" ".join([*around(80), *edited, *around(80)]))
+            kin = {name, name.replace("LGPL", "GPL").replace("AGPL", "GPL")}
+            assert f.license in kin or f.coverage >= 0.85, name
+    assert s.scan(" ".join(rng.choice(filler) for _ in range(5000))) == []
+
+
 def longest_common(a, b):
     row = [0] * (len(b) + 1)
     for x in a:
@@ -283,6 +300,31 @@ def test_the_ratio_alone_decides():
         assert s.spans(name) == []
 
 
+def test_planted_keys_are_found_and_plain_texts_left_alone(spark, docs):
+    """Recall on keys planted in the table's own texts, and precision on the runs that stand there anyway."""
+    rng = random.Random(11)
+    plain = [r.text for r in docs.collect() if not brute_base(r.text)][:80]
+    letters = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"
+    planted = []
+    for i, text in enumerate(plain):
+        words = text.split(" ")
+        key = "".join(rng.choice(letters) for _ in range(rng.choice((20, 24, 32, 40))))
+        words.insert(rng.randrange(len(words) + 1), key)
+        planted.append((i, " ".join(words), key))
+    df = spark.createDataFrame([(i, t) for i, t, _ in planted] + [(1000 + i, t) for i, t in enumerate(plain)], "doc_id bigint, text string")
+    found = {r.doc_id: [x.split(":") for x in r.spans.split(",") if x] for r in secrets.secret_report(df).collect()}
+    hit = sum(any(kind == "random" and text[int(a) : int(b)] == key for kind, a, b in found[i]) for i, text, key in planted)
+    assert hit >= 0.95 * len(planted)
+    assert sum(bool(found[1000 + i]) for i in range(len(plain))) <= 0.02 * len(plain)
+
+
+def test_redaction_takes_columns_of_any_name(spark):
+    df = spark.createDataFrame([(1, "token = abcdef123 x", 19, "a"), (2, None, None, None)], "doc_id int, text string, n_chars bigint, `odd ``name.x` string")
+    got = secrets.redact(df)
+    assert got.columns == df.columns
+    assert [tuple(r) for r in got.orderBy("doc_id").collect()] == [(1, "[SECRET] x", 10, "a"), (2, None, None, None)]
+
+
 # -- 4 and 6 ----------------------------------------------------------------
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.integers(0, 2**32 - 1), max_size=300), st.sampled_from(["bit", "byte"]), st.integers(1, 64))
@@ -389,6 +431,26 @@ def test_decision_list(spark, docs, odd):
     assert quality.kept_rows(odd, rules).columns == odd.columns
 
 
+def test_verdicts_on_labels_that_were_not_learned_from(spark):
+    """The list learned from one half of the labels, judged on the other; the CASE expression against the rules themselves."""
+    big = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet").groupBy("doc_id").agg(F.min("quality").alias("quality"))
+    half = F.pmod(F.xxhash64(F.lit("half"), "doc_id"), F.lit(2)) == 0
+    rules = quality.learn_from(big, labels.where(half))
+    rows = quality.judged(big.join(labels.where(~half), "doc_id"), rules, ("doc_id", "quality")).where("not base_failed").toPandas()
+    bad, rejected = (rows["quality"] == 0).to_numpy(), (~rows["kept"]).to_numpy()
+    assert rules and bad.sum() > 10
+    # of what is rejected, and of what should be
+    assert bad[rejected].mean() > 0.85 and rejected[bad].mean() > 0.5 and rejected[~bad].mean() < 0.05
+    counted = quality.with_statistics(big)
+    table = counted.select("doc_id", quality.verdict(rules).alias("rule"), *[c.alias(k) for k, c in quality.features().items()]).toPandas()
+    x = {k: table[k].to_numpy(float) for k in quality.features()}
+    first = np.zeros(len(table), int)
+    for i, r in reversed(list(enumerate(rules))):
+        first[quality._holds(r, x, len(table))] = i + 1
+    assert table["rule"].fillna(0).astype(int).tolist() == first.tolist()
+
+
 def test_rules_find_a_conjunction():
     rng = np.random.default_rng(0)
     x = {"a": rng.random(3000), "b": rng.random(3000)}
@@ -597,6 +659,23 @@ def test_languages(spark, odd):
     assert {r.lang_pred for r in language.identify(odd, none).collect()} == {"und"}
 
 
+def test_every_language_is_learned_and_hot_texts_count_once(spark):
+    rng = random.Random(5)
+    rows, n = [], 0
+    for k in range(70):
+        letters = [chr(0x100 + 7 * k + i) for i in range(7)]
+        for _ in range(6):
+            rows.append((n, "".join(rng.choice(letters) for _ in range(60)), f"l{k:02d}"))
+            n += 1
+    rows += [(n + i, "the same text again " * 3, "l00") for i in range(400)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    model = language.train(df)
+    assert len(model.languages) == 70
+    got = {r.doc_id: r.lang_pred for r in language.identify(df.where(f"doc_id < {n}"), model).collect()}
+    assert sum(got[i] == lang for i, _, lang in rows[:n]) > 0.97 * n
+    assert len(language.train(df, 1).languages) == 70
+
+
 def test_weights_are_those_of_the_kernel_itself():
     rng = random.Random(3)
     rows = [(lang, language.grams("".join(rng.choice(letters) for _ in range(40)))) for _ in range(8) for lang, letters in (("a", "abcdef"), ("b", "defghi"))]
