@@ -30,6 +30,10 @@ def bound_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BYTES_PER_BATCH))
 
 
+#: Arrays of at least so many bytes go back to the system as soon as they are freed.
+LARGE_BYTES = 4 << 20
+# Fixed value: the C library's number of that setting.
+_MMAP_THRESHOLD = -3
 Run = Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]
 
 
@@ -38,13 +42,16 @@ def releasing(run: Run) -> Run:
     and what one stage needed for a moment would stand beside what the next one needs."""
 
     def wrapped(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        libc = ctypes.CDLL(None)
+        # by itself the C library would come to keep arrays of up to 32 MB after they are freed
+        if hasattr(libc, "mallopt"):
+            libc.mallopt(_MMAP_THRESHOLD, LARGE_BYTES)
         try:
             yield from run(batches)
         finally:
             pa.default_memory_pool().release_unused()
-            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
-            if trim:
-                trim(0)
+            if hasattr(libc, "malloc_trim"):
+                libc.malloc_trim(0)
 
     return wrapped
 

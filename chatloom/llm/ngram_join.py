@@ -54,8 +54,8 @@ SALT_ROWS = 200
 COMMON_PAIRS = 8
 COMMON_SHINGLES = 500_000
 #: Signatures of one part, which a task holds at once, and those that a mapper gathers before it writes them.
-PART_SHINGLES = 2_000_000
-FLUSH_SIGNATURES, FLUSH_TEXTS = 1_000_000, 30_000
+PART_SHINGLES = 1_000_000
+FLUSH_SIGNATURES, FLUSH_TEXTS = 800_000, 30_000
 #: Words of 64 bits in the parity bitmap of a set.
 BITMAP = 8
 
