@@ -20,6 +20,7 @@ import hashlib
 import json
 import re
 from array import array
+from collections import defaultdict
 from functools import lru_cache
 
 import numpy as np
@@ -31,7 +32,7 @@ from .common import map_arrow, map_batches
 from .words import IS_SPACE, text_bytes
 
 #: Words whose ids a worker remembers before it forgets those that were not asked for since as many were new.
-MEMO_WORDS = 150_000
+MEMO_WORDS = 220_000
 MEMO_PAIRS = 500_000
 #: Steps of the automaton that a worker remembers.
 MEMO_STEPS = 500_000
@@ -96,7 +97,7 @@ class TrieBpe:
             self.ranks[a, b] = rank
             self.made.setdefault(c, (rank, a, b))
         self._spines: tuple[dict, dict] = ({}, {})
-        self._follows: dict[int, bool] = {}
+        self._follows: defaultdict[int, dict[int, bool]] = defaultdict(dict)
         #: Ids by word or piece of text (a word with what stands beside it), the latest and those before.
         self.memo: dict[str, bytes] = {}
         self.before: dict[str, bytes] = {}
@@ -105,7 +106,8 @@ class TrieBpe:
 
     def _automaton(self) -> None:
         """Aho-Corasick over all tokens: ``step`` (node * 256 + byte -> node), ``back`` (the node of
-        the longest shorter ending) and ``ends`` (the tokens that end at a node, longest first)."""
+        the longest shorter ending) and ``ends`` (the tokens that end at a node with their lengths,
+        longest first)."""
         self.step: dict[int, int] = {}
         self.back, self.ends = [0], [()]
         order: list[list[tuple[int, int, int]]] = []  # (node, parent, byte) by depth
@@ -124,7 +126,7 @@ class TrieBpe:
                 node = child
             own[node] = token
         self.back, self.ends = [0] * len(own), [()] * len(own)
-        for level in order:
+        for depth, level in enumerate(order, 1):
             for node, parent, byte in level:
                 at = parent
                 while at:
@@ -133,7 +135,7 @@ class TrieBpe:
                         self.back[node] = found
                         break
                 rest = self.ends[self.back[node]]
-                self.ends[node] = (own[node], *rest) if own[node] >= 0 else rest
+                self.ends[node] = ((own[node], depth), *rest) if own[node] >= 0 else rest
 
     # -- borders ---------------------------------------------------------
     def _spine(self, token: int, right: bool) -> list[tuple[int, float]]:
@@ -173,44 +175,47 @@ class TrieBpe:
         computed.
         """
         step, back, ends = self.step, self.back, self.ends
-        known, sizes, follows, memo = self._follows, self.sizes, self.follows, self.memo
-        if len(known) > MEMO_PAIRS:
+        sizes, follows, memo = self.sizes, self.follows, self.memo
+        known = self._follows
+        if sum(map(len, known.values())) > MEMO_PAIRS:
             known.clear()
         # by depth: the last token of the prefix, and the automaton's node
         last, nodes, before = [-1], [0], b""
         # code points order as their UTF-8 bytes do
         for word in sorted(words):
             path = word.encode()
-            shared, most = 0, min(len(before), len(path))
-            while shared < most and before[shared] == path[shared]:
+            shared = 0
+            for x, y in zip(before, path):
+                if x != y:
+                    break
                 shared += 1
             del last[shared + 1 :], nodes[shared + 1 :]
-            node = nodes[shared]
-            for depth in range(shared + 1, len(path) + 1):
-                key = node << 8 | path[depth - 1]
+            node, depth = nodes[shared], shared
+            for byte in path[shared:]:
+                depth += 1
+                key = node << 8 | byte
                 child = step.get(key)
                 if child is None:
                     while child is None:
                         node = back[node]
-                        child = step.get(node << 8 | key & 255)
+                        child = step.get(node << 8 | byte)
                     # found once, it is a step like any other
                     if len(step) < MEMO_STEPS:
                         step[key] = child
                 node = child
                 nodes.append(node)
                 # the one token that ends here and may follow the state it leaves
-                for token in ends[node]:
-                    at = depth - sizes[token]
-                    if not at:
+                for token, size in ends[node]:
+                    if size == depth:
                         break
-                    pair = last[at] << 32 | token
-                    fits = known.get(pair)
+                    before_it = last[depth - size]
+                    fits = known[before_it].get(token)
                     if fits is None:
-                        fits = known[pair] = follows(last[at], token)
+                        fits = known[before_it][token] = follows(before_it, token)
                     if fits:
                         break
                 last.append(token)
-            tokens, depth = [], len(path)
+            tokens = []
             while depth:
                 token = last[depth]
                 tokens.append(token)
