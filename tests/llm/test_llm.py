@@ -663,8 +663,9 @@ def test_every_language_is_learned_and_hot_texts_count_once(spark):
     rng = random.Random(5)
     rows, n = [], 0
     for k in range(70):
-        letters = [chr(0x100 + 7 * k + i) for i in range(7)]
-        for _ in range(6):
+        letters = [chr(0x4E00 + 7 * k + i) for i in range(7)]
+        # some of each are held out
+        for _ in range(14):
             rows.append((n, "".join(rng.choice(letters) for _ in range(60)), f"l{k:02d}"))
             n += 1
     rows += [(n + i, "the same text again " * 3, "l00") for i in range(400)]
