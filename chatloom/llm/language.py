@@ -26,8 +26,8 @@ from .common import map_batches, stored
 #: Bounds of the training sample: rows of one language, and of all.
 ROWS_PER_LANGUAGE = 300
 SAMPLE_ROWS = 19_200
-#: How many times as many rows pass the hash threshold before they are ranked.
-OVERSAMPLE = 8
+#: How many times as many texts pass the hash threshold before they are ranked, as if at least so many were wanted.
+OVERSAMPLE, LEAST_LET = 8, 8
 LANDMARKS_PER_LANGUAGE = 40
 RIDGE = 1e-2
 ORDERS = (1, 2, 3)
@@ -130,14 +130,14 @@ def train(docs: DataFrame, rows: int = ROWS_PER_LANGUAGE) -> KernelClassifier:
     ``SAMPLE_ROWS`` of all (but one of each language in any case).
 
     A text's hash decides whether it is in the sample: first against a threshold by the
-    language's row count, so that few rows move, then by rank among those. Only the
-    sample reaches the driver, as n-gram buckets.
+    number of the language's different texts, so that few rows move and copies do not
+    crowd others out, then by rank among those. Only the sample reaches the driver, as
+    n-gram buckets.
     """
     usable = docs.where("lang is not null and text is not null and doc_id is not null").where(~held_out()).select("lang", "text")
-    counts = stored(usable.groupBy("lang").agg(F.count(F.lit(1)).alias("n_rows")), "languages")
+    counts = stored(usable.groupBy("lang").agg(F.approx_count_distinct(F.xxhash64("text")).alias("n_texts")), "languages")
     rows = max(1, min(rows, SAMPLE_ROWS // max(1, counts.count())))
-    # equal texts have equal hashes, so that more are let through than are wanted
-    limit = F.least(F.lit(1.0), F.lit(OVERSAMPLE * rows) / F.col("n_rows")) * F.lit(float(1 << 31))
+    limit = F.least(F.lit(1.0), F.lit(OVERSAMPLE * max(rows, LEAST_LET)) / F.col("n_texts")) * F.lit(float(1 << 31))
     hashed = usable.join(counts.withColumnRenamed("lang", "own_lang"), F.col("lang") == F.col("own_lang"))
     hashed = hashed.withColumn("h", F.xxhash64("text")).where(F.shiftrightunsigned("h", 33) < limit)
     order = Window.partitionBy("lang").orderBy("h", "text")
