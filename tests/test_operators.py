@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import datetime as dt
+import math
+import re
+from collections import Counter
 
 import numpy as np
 import pandas as pd
@@ -12,7 +15,8 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from chatloom.functions import text as T
-from chatloom.operators import aggregate, edits, entities, graph, pages, sequences, similarity, store, support, views
+from chatloom.operators import aggregate, edits, entities, graph, pages, sequences, similarity, store, support, text_search, views
+from chatloom.plans.queries import QUERIES
 from chatloom.sources import artifacts, exports
 from chatloom.streaming import threads
 
@@ -111,6 +115,37 @@ def test_engagement_is_a_union(spark):
     assert {r.page: r.support_count for r in support.engagement(c, u, "page").collect()} == {"p": 3, "q": 1}
 
 
+def test_nearest_texts_are_those_of_all_pairs(spark, monkeypatch):
+    """Copies beyond ``k``, repeated and unknown keys, texts without words; many blocks, many batches of queries."""
+    rng = np.random.default_rng(5)
+    rows = [(i, " ".join(f"w{int(x)}" for x in rng.zipf(1.4, int(rng.integers(1, 60))) % 500)) for i in range(120)]
+    rows += [(200 + i, "a copy of Words") for i in range(9)] + [(300, None), (301, " -- "), (302, "alone"), (None, "w1 w2"), (None, "w3"), (10, "w1 more words"), (10, "w1"), (-10, "w2 a")]
+    monkeypatch.setattr(text_search, "BATCH_BYTES", 500)
+    docs = spark.createDataFrame(rows, "id bigint, body string").repartition(5)
+    got = {(r.query, r["rank"]): (r.id, r.cosine) for r in text_search.nearest_texts(docs, "id", "body", F.col("id") % 10 == 0).collect()}
+    counts = {}
+    for i, body in rows:
+        for w in re.findall("[a-z0-9]+", (body or "").lower()):
+            counts.setdefault(i, Counter())[w] += 1
+    df = Counter(w for c in counts.values() for w in c)
+    n = len(counts) - 1
+    weights = {i: {w: x * (math.log((1 + n) / (1 + df[w])) + 1) for w, x in c.items()} for i, c in counts.items() if i is not None}
+    norm = {i: math.sqrt(sum(x * x for x in c.values())) for i, c in weights.items()}
+    want = {}
+    for q in weights:
+        if q % 10 == 0:
+            each = [(-round(sum(x * weights[q][w] for w, x in c.items() if w in weights[q]) / norm[i] / norm[q], 6), i) for i, c in weights.items() if i != q and c.keys() & weights[q].keys()]
+            want |= {(q, r + 1): (i, -c) for r, (c, i) in enumerate(sorted(each)[:5])}
+    assert got.keys() == want.keys()
+    assert all(got[x][0] == want[x][0] and abs(got[x][1] - want[x][1]) < 1e-9 for x in want)
+
+
+def test_neighbors_make_no_rows_of_pairs(spark):
+    """A query and a text that share terms meet within a block, not by a join."""
+    found = QUERIES["tfidf_neighbors"](spark, "/root/testdata/sf0.001")
+    assert "Join" not in found._jdf.queryExecution().toString()
+
+
 # -- clustering --------------------------------------------------------------
 def brute_linkage(d, threshold):
     groups = [[i] for i in range(len(d))]
