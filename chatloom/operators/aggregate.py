@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
@@ -147,39 +149,173 @@ def bisected(distance: np.ndarray, labels: np.ndarray, most: int = 8, tight: flo
     return out
 
 
-def cosine_distance(vectors: np.ndarray) -> np.ndarray:
-    norm = np.linalg.norm(vectors, axis=1, keepdims=True)
-    unit = np.divide(vectors, norm, out=np.zeros_like(vectors, float), where=norm > 0)
-    return (1 - unit @ unit.T).astype(np.float32)
+def cosine_distance(vectors: np.ndarray, others: np.ndarray | None = None) -> np.ndarray:
+    """Distances of the rows of ``vectors`` to those of ``others``, or to one another."""
+
+    def unit(v: np.ndarray) -> np.ndarray:
+        norm = np.linalg.norm(v, axis=1, keepdims=True)
+        return np.divide(v, norm, out=np.zeros_like(v, float), where=norm > 0)
+
+    u = unit(vectors)
+    return (1 - u @ (u if others is None else unit(others)).T).astype(np.float32)
+
+
+Distance = Callable[[np.ndarray, np.ndarray], np.ndarray]
+#: Distances that are held at once.
+CELLS = 2_000_000
+
+
+class Joined(NamedTuple):
+    """Two clusters that became one, and their greatest distance; a cluster of one item is its number."""
+
+    height: np.float32
+    size: int
+    left: Joined | int
+    right: Joined | int
+
+    def items(self) -> list[int]:
+        found, todo = [], [self]
+        while todo:
+            x = todo.pop()
+            if isinstance(x, Joined):
+                todo += (x.left, x.right)
+            else:
+                found.append(x)
+        return found
+
+
+def _nearest(vectors: np.ndarray, members: dict[int, np.ndarray], of: list[int], among: list[int], distance: Distance) -> tuple[np.ndarray, np.ndarray]:
+    """The nearest other cluster of each of ``of``, by the greatest distance of members; of equals the least number."""
+    names, sizes = np.array(among), np.array([len(members[k]) for k in among])
+    order = np.argsort(-sizes, kind="stable")
+    # first members of all clusters, then second ones of those that have one, and so on
+    widths = [len(names), *(np.searchsorted(-sizes[order], -m, side="left") for m in range(1, sizes.max()))]
+    table = vectors[np.concatenate([[members[names[k]][m] for k in order[:w]] for m, w in enumerate(widths)])]
+    back = np.argsort(order)
+    place = {k: i for i, k in enumerate(among)}
+    most = max(1, CELLS // len(table))
+
+    def farthest(rows: np.ndarray) -> np.ndarray:
+        d = distance(vectors[rows], table)
+        out, at = d[:, : widths[0]], widths[0]
+        for w in widths[1:]:
+            np.maximum(out[:, :w], d[:, at : at + w], out=out[:, :w])
+            at += w
+        return out
+
+    near, far = np.zeros(len(of), np.int64), np.zeros(len(of), np.float32)
+    lo = 0
+    while lo < len(of):
+        hi, rows = lo + 1, len(members[of[lo]])
+        while hi < len(of) and rows + len(members[of[hi]]) <= most:
+            rows += len(members[of[hi]])
+            hi += 1
+        if rows > most:
+            whole = members[of[lo]]
+            d = reduce(np.maximum, (farthest(whole[i : i + most]).max(axis=0, keepdims=True) for i in range(0, rows, most)))
+        else:
+            each = [members[k] for k in of[lo:hi]]
+            starts = np.cumsum([0, *map(len, each[:-1])])
+            d = farthest(np.concatenate(each))
+            if rows > hi - lo:
+                d = np.maximum.reduceat(d, starts, axis=0)
+        d = d[:, back]
+        d[np.arange(hi - lo), [place[k] for k in of[lo:hi]]] = np.inf
+        best = d.argmin(axis=1)
+        near[lo:hi], far[lo:hi] = names[best], d[np.arange(hi - lo), best]
+        lo = hi
+    return near, far
+
+
+def complete_tree(vectors: np.ndarray, threshold: float, distance: Distance = cosine_distance) -> list[Joined | int]:
+    """The clusters of ``complete_linkage`` with the joins that made them, from vectors.
+
+    Joins of two clusters that are nearest to each other never hinder one another (a join brings
+    no cluster nearer to a third, and equal distances are told apart by number), so all of a round are made
+    at once. Distances are computed where they are asked for: the memory follows the items, the
+    time their square. A cluster without a neighbour below ``threshold`` is done.
+    """
+    n = len(vectors)
+    members, tree = {i: np.array([i]) for i in range(n)}, dict(enumerate(range(n)))
+    near, far = np.full(n, -1), np.full(n, np.inf, np.float32)
+    live = stale = list(range(n))
+    while stale:
+        near[stale], far[stale] = _nearest(vectors, members, stale, live, distance)
+        done = {k for k in stale if not far[k] < threshold}
+        live = [k for k in live if k not in done]
+        if not live:
+            break
+        # by rounding alone one side may see a distance below the limit that the other does not
+        stale = [k for k in live if near[k] in done]
+        if stale:
+            continue
+        pairs = [(k, int(near[k])) for k in live if k < near[k] and near[near[k]] == k]
+        if not pairs:
+            k = min(live, key=lambda k: (far[k], min(k, near[k]), max(k, near[k])))
+            pairs = [(min(k, int(near[k])), max(k, int(near[k])))]
+        changed = {k for pair in pairs for k in pair}
+        for i, j in pairs:
+            members[i] = np.concatenate([members[i], members.pop(j)])
+            tree[i] = Joined(far[i], len(members[i]), tree[i], tree.pop(j))
+        live = [k for k in live if k in members]
+        stale = [k for k in live if k in changed or near[k] in changed]
+    return list(tree.values())
+
+
+def split_tree(tree: list[Joined | int], most: int = 8, tight: float = 0.03) -> list[np.ndarray]:
+    """The items of each cluster, after those of more than ``most`` were parted as in ``bisected``: the halves
+    of a cluster are the two that were joined last, as the joins within a cluster follow from its own distances."""
+    found, todo = [], list(tree)
+    while todo:
+        x = todo.pop()
+        if not isinstance(x, Joined):
+            found.append(np.array([x]))
+        elif x.size <= most or x.height <= tight:
+            found.append(np.sort(x.items()))
+        else:
+            todo += (x.left, x.right)
+    return found
+
+
+def medoid(vectors: np.ndarray, distance: Distance = cosine_distance) -> int:
+    """The row of the least sum of distances, each to nine places; the first of equals."""
+    if len(vectors) < 3:
+        return 0
+    step = max(1, CELLS // len(vectors))
+    parts = (distance(vectors[i : i + step], vectors).astype(float) for i in range(0, len(vectors), step))
+    return int(np.concatenate([np.rint(d * 1e9).astype(np.int64).sum(axis=1) for d in parts]).argmin())
 
 
 def cluster_groups(
     rows: DataFrame, keys: list[str], item: str, vector: str, threshold: float, most: int = 8, tight: float = 0.03,
-    cap: int = 5_000, distance: Callable[[np.ndarray], np.ndarray] = cosine_distance,
+    cap: int | None = None, distance: Distance = cosine_distance,
 ) -> DataFrame:
     """Complete-linkage cluster and medoid flag of each item within its group.
 
-    A group is clustered by one task, as the method needs all its distances; a group
-    of more than ``cap`` items raises an error rather than giving part of an answer.
+    A group is clustered by one task: its memory follows the group's items, its time their square.
+    Where a ``cap`` is given, a group of more items raises an error rather than giving part of an answer.
     The medoid has the least sum of distances, the first of equals.
     """
     kinds = {k: rows.schema[k].dataType.simpleString() for k in [*keys, item]}
     schema = ", ".join(f"`{k}` {v}" for k, v in kinds.items()) + f", cluster {kinds[item]}, is_medoid boolean"
 
     def run(group: pd.DataFrame) -> pd.DataFrame:
-        if len(group) > cap:
+        if cap is not None and len(group) > cap:
             raise ValueError(f"a group of {len(group)} items is over the limit of {cap}")
         group = group.sort_values(item, kind="stable").reset_index(drop=True)
-        d = distance(np.array(group[vector].tolist(), float))
-        labels = bisected(d, complete_linkage(d, threshold), most, tight)
-        sums = np.where(labels[:, None] == labels[None, :], d, 0).astype(float).round(9).sum(axis=1)
-        best = {k: min(np.flatnonzero(labels == k), key=lambda i: (sums[i], i)) for k in np.unique(labels)}
+        x = np.array(group[vector].tolist(), float)
+        labels, best = np.zeros(len(x), int), np.zeros(len(x), bool)
+        for members in split_tree(complete_tree(x, threshold, distance), most, tight):
+            labels[members] = members[0]
+            best[members[medoid(x[members], distance)]] = True
         out = group[[*keys, item]].copy()
         out["cluster"] = group[item].to_numpy()[labels]
-        out["is_medoid"] = [best[k] == i for i, k in enumerate(labels)]
+        out["is_medoid"] = best
         return out
 
-    return rows.select(*keys, item, vector).groupBy(*keys).applyInPandas(run, schema)
+    # by number, so groups are not put together by their few bytes
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return rows.select(*keys, item, vector).repartition(parts, *keys).groupBy(*keys).applyInPandas(run, schema)
 
 
 def medoids(pairs: DataFrame, keys: list[str]) -> DataFrame:

@@ -186,6 +186,28 @@ def test_group_limit_is_an_error_not_a_cut(spark):
     assert aggregate.cluster_groups(df, ["g"], "i", "v", 0.3).count() == 6
 
 
+@settings(max_examples=60, deadline=None)
+@given(st.integers(0, 40), st.integers(0, 10**6), st.sampled_from([0.05, 0.3, 0.7, 2.5]), st.sampled_from([0.0, 0.03]), st.sampled_from([40, 10**6]))
+def test_tree_of_vectors_gives_the_clusters_of_the_matrix(n, seed, threshold, tight, cells):
+    """With equal distances, copies and vectors without length, whole and in small steps."""
+    x = np.random.default_rng(seed).integers(-2, 3, (n, 3)).astype(float)
+    d = aggregate.cosine_distance(x)
+    want = aggregate.bisected(d, aggregate.complete_linkage(d, threshold), 8, tight)
+    with pytest.MonkeyPatch.context() as m:
+        m.setattr(aggregate, "CELLS", cells)
+        found = aggregate.split_tree(aggregate.complete_tree(x, threshold), 8, tight)
+    got = {int(i): int(part[0]) for part in found for i in part}
+    assert got == dict(enumerate(want))
+
+
+def test_group_of_any_size_is_clustered(spark):
+    n = 1_700
+    angle = np.repeat(np.arange(n) * 2 * np.pi / n, 3) + np.tile([1e-4, 0, 2e-4], n)
+    df = spark.createDataFrame([(1, i, [float(np.cos(a)), float(np.sin(a))]) for i, a in enumerate(angle)], "g int, i int, v array<double>")
+    got = {(r.i, r.cluster, r.is_medoid) for r in aggregate.cluster_groups(df, ["g"], "i", "v", 1e-6).collect()}
+    assert got == {(i, i - i % 3, i % 3 == 0) for i in range(3 * n)}
+
+
 # -- names -------------------------------------------------------------------
 def test_names():
     assert entities.normal_name("Dr. Éva  Cohen-Levi") == "eva cohen levi"
