@@ -102,6 +102,18 @@ def test_stance_clusters_are_those_of_plain_python(spark):
     assert got == want
 
 
+def test_topic_and_stance_of_any_size_are_merged(spark):
+    """More claims of one topic and stance than a matrix of distances was made for; copies at each of 1,700 angles."""
+    n = 1_700
+    at = F.floor(F.col("id") / 3) * F.lit(2 * np.pi / n)
+    rows = spark.range(3 * n).select(
+        F.col("id").alias("claim_id"), F.col("id").alias("ord"), F.concat(F.lit("c"), F.col("id").cast("string")).alias("claim_text"), F.array(F.lit("a")).alias("topics"), F.lit("positive").alias("stance"),
+        F.lit("t").alias("thread_id"), F.lit("2024-01").alias("date"), F.array(F.lit("x")).alias("entities"), F.lit(1).alias("support_count"), F.array().cast(RED).alias("redactions"), F.array(F.cos(at), F.sin(at)).alias("v"),
+    )
+    got = {tuple(r.source_claim_ids) for r in merge.merge_claims(rows, audit(spark, []), "v", None, 1 - 1e-6).collect()}
+    assert got == {(i, i + 1, i + 2) for i in range(0, 3 * n, 3)}
+
+
 def test_edits_of_merged_groups(spark):
     m = spark.createDataFrame([("a", "1", 1, 0), ("a", "1", 2, 1), ("a", "1", 3, 2), ("a", "4", 4, 0), ("b", "1", 9, 0)], "topic string, key string, claim_id bigint, pos bigint")
     rows = lambda df: sorted((r.topic, r.key, r.claim_id, r.pos) for r in df.collect())
