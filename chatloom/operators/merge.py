@@ -8,16 +8,17 @@ a claim that very many people back is counted in parts.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.artifacts import saved
 from .aggregate import cluster_groups
 from .support import sentiment
 
 OVERVIEW = "overview"
 EMERGENT = "emergent"
+#: What ``merge_records`` reads of a claim beside the keys.
+CLAIM = ("claim_id", "ord", "is_medoid", "claim_text", "stance", "thread_id", "date", "entities", "support_count", "redactions")
 AUDIT = (
     "claim_id bigint, supporting_senders array<string>, opposing_senders array<string>, "
     "message_reactions array<struct<emoji:string,senders:array<string>>>, all_supporters array<string>, "
@@ -42,18 +43,20 @@ def participants(audit: DataFrame) -> DataFrame:
     some = lambda c: F.size(F.coalesce(c, F.array())) > 0
     old = F.col("message_reactions").isNull()
     whole = old & some("all_supporters") & ~some("reaction_senders")
-    side = lambda users, name, stated: audit.select("claim_id", F.explode(users).alias("user"), F.lit(name).alias("side"), F.lit(stated).alias("stated"), F.lit(False).alias("reacted"))
-    rows = [
-        side(F.when(~whole, F.col("supporting_senders")), "supporter", True),
-        side(F.when(whole, F.col("all_supporters")), "supporter", False),
-        side("opposing_senders", "opposer", True),
-        side(F.when(old, F.col("reaction_opposers")), "opposer", False),
-    ]
+    part = lambda users, name, stated: F.struct(users.alias("users"), F.lit(name).alias("side"), F.lit(stated).alias("stated"))
+    # one read of the audit for all of them
+    parts = F.array(
+        part(F.when(~whole, F.col("supporting_senders")), "supporter", True),
+        part(F.when(whole, F.col("all_supporters")), "supporter", False),
+        part(F.col("opposing_senders"), "opposer", True),
+        part(F.when(old, F.col("reaction_opposers")), "opposer", False),
+    )
+    named = audit.select("claim_id", F.explode(parts).alias("p")).select("claim_id", F.explode("p.users").alias("user"), "p.side", "p.stated", F.lit(False).alias("reacted"))
     reacted = _reactions(audit).where("sentiment <> 'neutral'").select(
         "claim_id", F.explode("senders").alias("user"), F.when(F.col("sentiment") == "positive", "supporter").otherwise("opposer").alias("side"),
         F.lit(False).alias("stated"), F.lit(True).alias("reacted"),
     ).where("user <> ''")
-    both = reduce(DataFrame.unionByName, [*rows, reacted]).where("user is not null")
+    both = named.unionByName(reacted).where("user is not null")
     return both.groupBy("claim_id", "user", "side").agg(F.max("stated").alias("stated"), F.max("reacted").alias("reacted"))
 
 
@@ -182,6 +185,7 @@ def merge_claims(
 
     Claims of opposite stances never merge. ``groups`` are folded into their representatives
     beforehand, so a group lands where its representative does, and counted with all members.
+    The clustered claims are stored, without vectors: each measure reads them, and none clusters again.
     """
     rest, members = fold_members(claims, groups) if groups is not None else (claims, None)
     rows = by_topic(rest).dropDuplicates(["topic", "claim_id"]).withColumn("stance", F.coalesce("stance", F.lit("neutral")))
@@ -190,8 +194,9 @@ def merge_claims(
     if members is None:
         members = found.select("claim_id", F.col("claim_id").alias("member"), F.lit(0).alias("pos")).where("false")
     # the stance of a member counts for itself within its cluster
-    whole = expanded(found.withColumnRenamed("stance", "cluster_stance"), claims, members)
-    return merge_records(whole, audit, ["topic", "cluster_stance", "cluster"]).withColumnRenamed("cluster_stance", "stance")
+    keys = ["topic", "cluster_stance", "cluster"]
+    whole = saved(expanded(found.withColumnRenamed("stance", "cluster_stance"), claims, members).select(*keys, *CLAIM))
+    return merge_records(whole, audit, keys).withColumnRenamed("cluster_stance", "stance")
 
 
 # -- reviews of merged groups (topic, key, claim_text, stance, support_count, endorsement_count, entities, date_range, source_claim_ids) --

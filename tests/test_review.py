@@ -114,6 +114,30 @@ def test_topic_and_stance_of_any_size_are_merged(spark):
     assert got == {(i, i + 1, i + 2) for i in range(0, 3 * n, 3)}
 
 
+def test_claims_are_clustered_once_for_all_measures(spark, monkeypatch, tmp_path):
+    """Each group once, whatever reads the merged claims, and the plan of the measures holds no clustering."""
+    seen = tmp_path / "seen"
+
+    def noted(rows, keys, item, *rest):
+        found = aggregate.cluster_groups(rows, keys, item, *rest)
+
+        def note(batches):
+            for batch in batches:
+                with seen.open("a") as f:
+                    f.writelines(f"{x}\n" for x in batch.column(item).to_pylist())
+                yield batch
+
+        return found.mapInArrow(note, found.schema)
+
+    monkeypatch.setattr(merge, "cluster_groups", noted)
+    rows = claims(spark, [claim(1, "a"), claim(2, "a2", v=(1.0, 0.02)), claim(3, "b", "negative"), claim(4, "far", v=(0.0, 1.0))])
+    a = audit(spark, [(1, ["ann"], [], [("👍", ["bob"])], [], [], []), (3, ["cy"], [], None, [], [], ["dee"])])
+    out = merge.merge_claims(rows, a, "v")
+    assert {(tuple(r.source_claim_ids), r.support_count) for r in out.collect()} == {((1, 2), 2), ((3,), 1), ((4,), 1)}
+    assert sorted(seen.read_text().split()) == ["1", "2", "3", "4"]
+    assert "Pandas" not in out._jdf.queryExecution().toString()
+
+
 def test_edits_of_merged_groups(spark):
     m = spark.createDataFrame([("a", "1", 1, 0), ("a", "1", 2, 1), ("a", "1", 3, 2), ("a", "4", 4, 0), ("b", "1", 9, 0)], "topic string, key string, claim_id bigint, pos bigint")
     rows = lambda df: sorted((r.topic, r.key, r.claim_id, r.pos) for r in df.collect())
