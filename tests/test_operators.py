@@ -140,6 +140,44 @@ def test_nearest_texts_are_those_of_all_pairs(spark, monkeypatch):
     assert all(got[x][0] == want[x][0] and abs(got[x][1] - want[x][1]) < 1e-9 for x in want)
 
 
+def test_every_text_asks_for_its_neighbors(spark):
+    """The query answers for all documents with a word, not for a part of their ids."""
+    texts = {r.doc_id: set(re.findall("[a-z0-9]+", (r.text or "").lower())) for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()}
+    shared = {w for w, n in Counter(w for x in texts.values() for w in x).items() if n > 1}
+    asked = Counter(r.query for r in QUERIES["tfidf_neighbors"](spark, "/root/testdata/sf0.001").collect())
+    assert asked.keys() == {i for i, x in texts.items() if x & shared} and len(asked) > 100 and max(asked.values()) == 5
+
+
+@pytest.mark.parametrize("dense", [1, 3, 1000])
+def test_blocks_give_what_one_product_gives(monkeypatch, dense):
+    """Steps of a few queries, terms all thin or all dense, more than ``k`` copies, a block of fewer than ``k`` texts."""
+    rng = np.random.default_rng(8)
+    bags = [rng.zipf(1.3, int(rng.integers(1, 60))) % 300 for _ in range(90)] + [np.array([7, 7, 9])] * 6
+    for name, value in {"STEP_QUERIES": 3, "STEP_TERMS": 7, "DENSE": dense}.items():
+        monkeypatch.setattr(text_search, name, value)
+    keys = rng.permutation(len(bags))
+    m = np.array([np.bincount(x, minlength=300) for x in bags], float)
+    df = (m > 0).sum(axis=0)
+    blocks = []
+    for number, part in enumerate([slice(0, 40), slice(40, 42), slice(42, 96)]):
+        some = bags[part]
+        flags = np.ones(len(some), bool)
+        row = text_search._packed(number, [(keys[part], flags, flags, np.array([len(x) for x in some]), np.concatenate(some).astype(np.int64))])
+        here = np.frombuffer(row["hashes"], np.int64)
+        blocks.append(text_search._opened(row | {"shared": here.tobytes(), "df": df[here].tobytes()}, len(bags)))
+    m *= np.log((1 + len(bags)) / (1 + df)) + 1
+    m /= np.linalg.norm(m, axis=1)[:, None]
+    places = np.rint((m @ m.T) * 1e6).astype(int)
+    want = {(keys[a], *x[1:], -x[0]) for a in range(len(bags)) for x in sorted((-places[a, b], keys[b]) for b in range(len(bags)) if a != b and m[a] @ m[b] > 0)[:4]}
+    got = set()
+    for block in blocks:
+        best = text_search._Best(text_search._asked(block), 4)
+        for other in blocks:
+            best.see(other, *text_search._lines(other))
+        got |= {(r["query"], r["key"], r["places"]) for r in best.rows().to_pylist()}
+    assert got == want
+
+
 def test_neighbors_make_no_rows_of_pairs(spark):
     """A query and a text that share terms meet within a block, not by a join."""
     found = QUERIES["tfidf_neighbors"](spark, "/root/testdata/sf0.001")
